@@ -1,10 +1,10 @@
 """Aggregates per group: medians, guarded correlation, last-wins lookups, distinct rows."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceline.operators.history import RunningSum, with_history
-from paceline.operators.skew import HotGroups, hot_groups, lookup_side
+from paceline.operators.history import SPREAD, RunningSum, spread_unkeyed, with_history
+from paceline.operators.skew import HotGroups, all_present, hot_groups, lookup_side, max_group_rows
 
 
 def group_median(df: DataFrame, keys, column, name, approx=False, hot: HotGroups | None = None) -> DataFrame:
@@ -46,26 +46,48 @@ def fill_group_median(df: DataFrame, keys, columns, hot: HotGroups | None = None
     """Fill nulls with the group's own median; an all-null group stays null."""
     keys = list(keys)
     hot = hot_groups(df, keys) if hot is None else hot
-    for column in columns:
-        medians = group_median(df, keys, column, "_median", hot=hot)
-        side = lookup_side(medians)
-        df = df.join(side, keys, "left").withColumn(column, F.coalesce(column, "_median")).drop("_median")
-    return df
-
-
-def fill_global_median(df: DataFrame, columns, otherwise=0.0, approx=False, of: DataFrame | None = None) -> DataFrame:
+    ordinary, huge = hot.divide(df) if hot else (df, None)
+    if huge is not None:
+        for column in columns:
+            # one row per hot group, and hot groups are few: the broadcast is bounded
+            medians = F.broadcast(group_median(huge, keys, column, "_median", hot=hot))
+            huge = huge.join(medians, keys, "left").withColumn(column, F.coalesce(column, "_median")).drop("_median")
+    # the window shares the partitioning of other windows on the same keys
+    ordinary, by = spread_unkeyed(ordinary, keys, hot)
+    known, group = all_present(keys), Window.partitionBy(*by)
+    filled = {c: F.coalesce(F.col(c), F.when(known, F.median(c).over(group))) for c in columns}
+    ordinary = ordinary.withColumns(filled).drop(SPREAD)
+    return ordinary if huge is None else ordinary.unionByName(huge)
+
+
+def fill_global_median(df: DataFrame, columns, otherwise=0.0, of: DataFrame | None = None, rows=None) -> DataFrame:
     """Fill nulls with the whole table's median, or ``otherwise`` if it has none.
 
-    ``of`` names another table to take the medians from (say, rows before a cutoff).
+    ``of`` names another table to take the medians from (say, rows before a cutoff);
+    ``rows`` is the number of rows, where the caller knows it.
     """
-    medians = {c: global_median(df if of is None else of, c, approx) for c in columns}
+    medians = global_medians(df if of is None else of, columns, rows=rows)
     return df.withColumns({c: F.coalesce(c, F.lit(otherwise if m is None else m)) for c, m in medians.items()})
 
 
-def global_median(df: DataFrame, column, approx=False):
-    """One number: the median of a column over the whole table, or None."""
-    rows = group_median(df, [], column, "_median", approx).collect()
-    return rows[0]["_median"] if rows else None
+def global_medians(df: DataFrame, columns, approx=False, rows=None) -> dict:
+    """Column to its median over the whole table (None without values).
+
+    Tables small enough for one task take one aggregate for all columns. Larger ones
+    are reduced to value counts, column by column.
+    """
+    columns = list(columns)
+    if not columns:
+        return {}
+    if approx:
+        found = df.agg(*[F.percentile_approx(c, 0.5, 100_000).alias(c) for c in columns]).first()
+        return {c: found[c] for c in columns}
+    rows = df.count() if rows is None else rows
+    if rows <= max_group_rows(df.sparkSession):
+        found = df.agg(*[F.median(c).alias(c) for c in columns]).first()
+        return {c: found[c] for c in columns}
+    middles = {c: group_median(df, [], c, "_median").collect() for c in columns}
+    return {c: m[0]["_median"] if m else None for c, m in middles.items()}
 
 
 def guarded_corr(x, y):

@@ -183,29 +183,36 @@ def with_history(df: DataFrame, keys, order, features, hot: HotGroups | None = N
     keys, order, features = list(keys), list(order), list(features)
     hot = hot_groups(df, keys) if hot is None else hot
     if not hot:
-        out = _by_window(df, keys, order, features)
+        out = _by_window(df, keys, order, features, hot)
     else:
         ordinary, huge = hot.divide(df)
         out = _by_ranges(huge, keys, order, features, hot)
         if ordinary is not None:
-            out = _by_window(ordinary, keys, order, features).unionByName(out)
+            out = _by_window(ordinary, keys, order, features, hot).unionByName(out)
     filled = {f.name: F.coalesce(F.col(f.name), F.lit(f.fill)) for f in features if f.fill is not None}
     return out.withColumns(filled) if filled else out
 
 
-def _by_window(df, keys, order, features):
-    # Rows without a key are not a group: spread them, so they cannot pile up in one task.
+def _by_window(df, keys, order, features, hot):
+    df, by = spread_unkeyed(df, keys, hot)
+    window = Window.partitionBy(*by).orderBy(*_ascending(order))
     known = all_present(keys)
-    spread = F.when(~known, F.pmod(F.xxhash64(*order), F.lit(NULL_GROUPS)))
-    window = Window.partitionBy(*keys, SPREAD).orderBy(*_ascending(order))
+    added = {f.name: F.when(known, f.over(window)) if hot.unkeyed else f.over(window) for f in features}
+    return df.withColumns(added).drop(SPREAD)
+
+
+def spread_unkeyed(df, keys, hot):
+    """(rows, columns to partition a window by).
+
+    Rows without a key are not a group. When there are many they are spread, so they
+    cannot pile up in one task; their results are masked in any case.
+    """
     if not keys:
-        window = Window.partitionBy(F.lit(0)).orderBy(*_ascending(order))
-        return df.withColumns({f.name: f.over(window) for f in features})
-    return (
-        df.withColumn(SPREAD, spread)
-        .withColumns({f.name: F.when(known, f.over(window)) for f in features})
-        .drop(SPREAD)
-    )
+        return df, [F.lit(0)]
+    if not hot.many_unkeyed:
+        return df, list(keys)
+    spread = F.when(~all_present(keys), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_GROUPS)))
+    return df.withColumn(SPREAD, spread), [*keys, SPREAD]
 
 
 def _by_ranges(df, keys, order, features, hot):

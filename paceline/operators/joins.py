@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from paceline.functions.scalars import before
 from paceline.operators.history import Previous, with_history
-from paceline.operators.skew import lookup_side
 
 RACE = ("year", "round")
 
@@ -14,13 +13,13 @@ def attach(fact: DataFrame, side: DataFrame, keys, values, suffix="_extra", null
     """Left join of the ``values`` that ``side`` has, on ``keys``.
 
     Keys in ``null_safe`` match null with null. A value the fact already has gets
-    ``suffix``. Repeated rows on the right multiply rows, as a join does.
+    ``suffix``. Repeated rows on the right multiply rows, as a join does. Spark
+    broadcasts a side whose files are small and otherwise sorts both, splitting a
+    skewed key of the fact.
     """
     values = [c for c in values if c in side.columns]
     names = {c: c + suffix if c in fact.columns else c for c in values}
-    right = lookup_side(
-        side.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[F.col(c).alias(n) for c, n in names.items()])
-    )
+    right = side.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[F.col(c).alias(n) for c, n in names.items()])
     on = F.lit(True)
     for k in keys:
         same = F.col(k).eqNullSafe(F.col(f"_key_{k}")) if k in null_safe else F.col(k) == F.col(f"_key_{k}")

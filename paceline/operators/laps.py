@@ -14,7 +14,8 @@ from paceline.operators.history import Previous, with_history
 from paceline.operators.ranking import number_rows
 from paceline.operators.skew import HotGroups, hot_groups
 
-IDENTITY = ["year", "round", "DriverNumber", "DriverKey", "DriverName", "Team"]
+DRIVER_RACE = ("year", "round", "DriverNumber")
+IDENTITY = ("DriverKey", "DriverName", "Team")
 STORED_STINTS = 3
 
 
@@ -28,7 +29,7 @@ def lap_seconds(laps: DataFrame) -> DataFrame:
     )
 
 
-def pace(laps: DataFrame, keys, lap="lap", pit="pit", hot: HotGroups | None = None) -> DataFrame:
+def pace(laps: DataFrame, keys, lap="lap", pit="pit", identity=(), hot: HotGroups | None = None) -> DataFrame:
     """Mean, best and spread of lap times, pit laps and the mean time lost in them.
 
     A lap into the pits and the lap out of them each count. The loss of a pit lap is
@@ -38,21 +39,23 @@ def pace(laps: DataFrame, keys, lap="lap", pit="pit", hot: HotGroups | None = No
     keys = list(keys)
     hot = hot_groups(laps, keys) if hot is None else hot
     if not hot:
-        return _pace(laps.withColumn("_median", F.median(lap).over(Window.partitionBy(*keys))), keys, lap, pit)
+        laps = laps.withColumn("_median", F.median(lap).over(Window.partitionBy(*keys)))
+        return _pace(laps, keys, lap, pit, identity)
     ordinary, huge = hot.divide(laps)
     # one median per hot group, and hot groups are few: the broadcast is bounded
     medians = F.broadcast(group_median(huge, keys, lap, "_median", hot=hot))
-    return pace(ordinary, keys, lap, pit, HotGroups(tuple(keys), 0, hot.max_rows)).unionByName(
-        _pace(huge.join(medians, keys), keys, lap, pit)
+    return pace(ordinary, keys, lap, pit, identity, HotGroups(tuple(keys), hot.max_rows)).unionByName(
+        _pace(huge.join(medians, keys), keys, lap, pit, identity)
     )
 
 
-def _pace(laps, keys, lap, pit):
+def _pace(laps, keys, lap, pit, identity):
     time = F.col(lap)
     loss = F.when(F.col(pit), at_zero(time - F.col("_median")))
     return (
         laps.groupBy(*keys)
         .agg(
+            *[F.first(c).alias(c) for c in identity],
             F.avg(time).alias("avg_race_pace"),
             F.min(time).alias("best_lap"),
             F.count_if(F.col(pit)).alias("pitstops_count"),
@@ -76,14 +79,14 @@ def stints(laps: DataFrame, keys, stint="Stint", lap="lap", compound="Compound",
         laps.where(F.col(stint).isNotNull())
         .groupBy(*keys, F.col(stint).cast("int").alias("_stint"))
         .agg(
-            F.count(F.lit(1)).cast("double").alias("length"),
-            F.avg(lap).alias("avg"),
-            F.min_by(F.col(compound), F.when(F.col(compound).isNotNull(), place)).alias("compound"),
+            F.count(F.lit(1)).cast("double").alias("_length"),
+            F.avg(lap).alias("_avg"),
+            F.min_by(F.col(compound), F.when(F.col(compound).isNotNull(), place)).alias("_compound"),
         )
     )
     numbered = number_rows(each, keys, ["_stint"], "_k")
     wide = [
-        F.max(F.when(F.col("_k") == k, F.col(c))).alias(f"stint{k}_{c}")
+        F.max(F.when(F.col("_k") == k, F.col(f"_{c}"))).alias(f"stint{k}_{c}")
         for k in range(1, STORED_STINTS + 1)
         for c in ("length", "avg", "compound")
     ]
@@ -110,20 +113,15 @@ def compound_changes(laps: DataFrame, keys, order, compound="Compound", hot: Hot
     return changes
 
 
-def timing_features(laps: DataFrame, keys=tuple(IDENTITY), order=("lap_number",)) -> DataFrame:
+def timing_features(laps: DataFrame, keys=DRIVER_RACE, order=("lap_number",), identity=IDENTITY) -> DataFrame:
     """One row per driver and race with pace, stint and compound features.
 
-    ``laps`` has lap (seconds), pit (flag), Stint and Compound columns.
+    ``laps`` has lap (seconds), pit (flag), Stint and Compound columns; its keys are
+    not null. The ``identity`` columns it has are the same on all laps of a group.
     """
     keys = list(keys)
     hot = hot_groups(laps, keys)
-    base = pace(laps, keys, hot=hot)
-    parts = [stints(laps, keys, order=order), compound_changes(laps, keys, order, hot=hot)]
-    for part in parts:
-        renamed = part.withColumnsRenamed({k: f"_{k}" for k in keys})
-        same = F.lit(True)
-        for k in keys:
-            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-        base = base.join(renamed, same, "left").drop(*[f"_{k}" for k in keys])
-    counts = ("stint_count", "compound_changes")
-    return base.withColumns({c: F.coalesce(c, F.lit(0)) for c in counts})
+    rows = pace(laps, keys, identity=[c for c in identity if c in laps.columns], hot=hot)
+    rows = rows.join(stints(laps, keys, order=order), keys, "left")
+    rows = rows.join(compound_changes(laps, keys, order, hot=hot), keys, "left")
+    return rows.fillna(0, ["stint_count", "compound_changes"])

@@ -7,7 +7,7 @@ Otherwise only the rows of the hot groups are range-partitioned on (group, order
 which cuts a group into as many consecutive pieces as it needs.
 """
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,16 +35,26 @@ def all_present(columns):
 
 @dataclass(frozen=True)
 class HotGroups:
-    """The groups with more than ``max_rows`` rows; ``table`` holds their keys."""
+    """The groups with more than ``max_rows`` rows; ``table`` holds their keys.
+
+    ``rows`` counts the whole input, ``total`` the rows of hot groups, ``unkeyed`` the
+    rows with a null key, which belong to no group.
+    """
 
     keys: tuple
-    total: int
     max_rows: int
+    rows: int = 0
+    total: int = 0
+    unkeyed: int = 0
     table: DataFrame | None = None
 
     def __bool__(self):
         return self.total > 0
 
+    @property
+    def many_unkeyed(self) -> bool:
+        return self.unkeyed > self.max_rows
+
     @property
     def pieces(self) -> int:
         """Ranges that keep a piece near half of ``max_rows``."""
@@ -71,23 +81,21 @@ def hot_groups(df: DataFrame, keys, max_rows=None) -> HotGroups:
     keys = list(keys)
     if not keys:
         rows = df.count()
-        return HotGroups((), rows if rows > max_rows else 0, max_rows)
-    big = (
-        df.where(all_present(keys))
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > max_rows)
-    )
-    found = big.collect()
-    if not found:
-        return HotGroups(tuple(keys), 0, max_rows)
-    table = spark.createDataFrame(found, big.schema).select(*keys)
-    return HotGroups(tuple(keys), sum(r["_rows"] for r in found), max_rows, table)
-
-
-def no_hot_groups(keys) -> HotGroups:
-    """For callers that already know every group to be small."""
-    return HotGroups(tuple(keys), 0, MAX_ROWS)
+        return HotGroups((), max_rows, rows, rows if rows > max_rows else 0)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    keyed = all_present(keys)
+    summary = sizes.agg(
+        F.sum("_rows").alias("rows"),
+        F.max(F.when(keyed, F.col("_rows"))).alias("largest"),
+        F.sum(F.when(~keyed, F.col("_rows"))).alias("unkeyed"),
+    ).first()
+    found = HotGroups(tuple(keys), max_rows, summary["rows"] or 0, unkeyed=summary["unkeyed"] or 0)
+    if (summary["largest"] or 0) <= max_rows:
+        return found
+    big = sizes.where(keyed & (F.col("_rows") > max_rows))
+    hot = big.collect()
+    table = spark.createDataFrame(hot, big.schema).select(*keys)
+    return replace(found, total=sum(r["_rows"] for r in hot), table=table)
 
 
 def in_ranges(df: DataFrame, keys, order, hot: HotGroups) -> DataFrame:

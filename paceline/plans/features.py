@@ -1,5 +1,7 @@
 """The race pipeline's feature steps, each a composition of the general operators."""
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +47,11 @@ def circuit_importance(df: DataFrame, calendar: DataFrame | None, cutoff=None) -
     return df.join(lookup_side(table), "circuitId", "left").fillna(IMPORTANCE_FILL, ["circuit_importance"])
 
 
-def timing(df: DataFrame, extra: DataFrame | None, cutoff=None) -> DataFrame:
-    """Race timing; gaps take the column's median, missing columns are zero."""
+def timing(df: DataFrame, extra: DataFrame | None, cutoff=None, rows=None) -> DataFrame:
+    """Race timing; gaps take the column's median, missing columns are zero.
+
+    ``rows`` is the number of starts, where the caller knows it.
+    """
     if ENTITY not in df.columns:
         df = df.withColumn(ENTITY, F.lower("DriverName"))
     if extra is None:
@@ -57,10 +62,10 @@ def timing(df: DataFrame, extra: DataFrame | None, cutoff=None) -> DataFrame:
     known = [c for c in TIMING if c in df.columns]
     df = df.withColumns({c: F.col(c).cast("double") for c in known})
     of = df.where(before(*RACE, cutoff)) if cutoff else None
-    return with_defaults(fill_global_median(df, known, of=of), {c: 0.0 for c in TIMING})
+    return with_defaults(fill_global_median(df, known, of=of, rows=rows), {c: 0.0 for c in TIMING})
 
 
-def driver_history(df: DataFrame, hot: HotGroups | None = None) -> DataFrame:
+def driver_history(df: DataFrame, hot: HotGroups | None = None, hot_seasons: HotGroups | None = None) -> DataFrame:
     """Career and circuit means over earlier races, and pace ranked within the season."""
     df = with_defaults(df, {c: 0.0 for c in PACE.values()})
     hot = hot_groups(df, [ENTITY]) if hot is None else hot
@@ -71,19 +76,23 @@ def driver_history(df: DataFrame, hot: HotGroups | None = None) -> DataFrame:
     if "circuitId" in df.columns:
         keys = [ENTITY, "circuitId"]
         # a pair can only be hot if its entity is
-        pairs = hot_groups(df, keys) if hot else HotGroups(tuple(keys), 0, hot.max_rows)
+        pairs = hot_groups(df, keys) if hot else replace(hot, keys=tuple(keys))
         df = with_history(df, keys, ORDER, [Career(n, c, CAREER_FILL) for n, c in skill.items()], pairs)
     else:
         df = df.withColumns({n: F.lit(CAREER_FILL) for n in skill})
     df = fill_group_median(df, [ENTITY], list(PACE), hot)
-    return dense_scaled_rank(df, ["year"], "career_race_pace", "pace_rank_season", fill=0.5)
+    return dense_scaled_rank(df, ["year"], "career_race_pace", "pace_rank_season", fill=0.5, hot=hot_seasons)
 
 
 def enrich(results: DataFrame, calendar=None, extra=None, cutoff=None) -> DataFrame:
-    """All feature steps. ``cutoff`` keeps whole-table statistics to earlier races."""
-    hot = hot_groups(results, [ENTITY])
+    """All feature steps. ``cutoff`` keeps whole-table statistics to earlier races.
+
+    Sizes are looked up once, on the stored results: the steps add columns, and only
+    repeated rows in a context table could add rows.
+    """
+    hot, hot_seasons = hot_groups(results, [ENTITY]), hot_groups(results, ["year"])
     df = form(results, hot)
     df = circuit_importance(df, calendar, cutoff)
-    df = timing(df, extra, cutoff)
+    df = timing(df, extra, cutoff, hot.rows)
     df = sprint_features(df)
-    return driver_history(df, hot)
+    return driver_history(df, hot, hot_seasons)

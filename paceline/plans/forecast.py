@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paceline.functions.scalars import before, finished
 from paceline.operators.catalog import choose_entries, participants, with_display_name
-from paceline.operators.grouped import global_median
+from paceline.operators.grouped import global_medians
 from paceline.operators.joins import RACE, as_of_cutoff, as_of_previous
 from paceline.operators.ranking import encode_labels, finishing_order, label_index
 from paceline.operators.skew import lookup_side
@@ -55,8 +55,8 @@ def encode(df: DataFrame, cutoff=None):
 
 
 def scoring_defaults(df: DataFrame) -> dict:
-    medians = {c: global_median(df, c) if c in df.columns else TIMING_DEFAULTS[c] for c in PACE}
-    return {**SCORING_DEFAULTS, **medians}
+    medians = global_medians(df, [c for c in PACE if c in df.columns])
+    return {**SCORING_DEFAULTS, **TIMING_DEFAULTS, **medians}
 
 
 def race_entries(enriched: DataFrame, entries: DataFrame, year, rnd, defaults=None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paceline.operators.catalog import grid_input
-from paceline.operators.grouped import global_median
+from paceline.operators.grouped import global_medians
 
 # The feature vectors, in order.
 GRID_FEATURES = [
@@ -63,7 +63,7 @@ def train(rows: DataFrame, settings: ForestSettings | None = None) -> TwoStage:
     race_features = [c for c in RACE_FEATURES if c in rows.columns]
     wanted = list(dict.fromkeys([*grid_features, *race_features]))
     gaps = rows.select(*[F.count_if(F.col(c).isNull()).alias(c) for c in wanted]).first()
-    medians = {c: global_median(rows, c) or 0.0 for c in wanted if gaps[c]}
+    medians = {c: m or 0.0 for c, m in global_medians(rows, [c for c in wanted if gaps[c]]).items()}
     grid_rows = rows.where(F.col("grid").isNotNull()).fillna(medians)
     race_rows = rows.where(F.col("position").isNotNull()).fillna(medians)
     return TwoStage(

@@ -40,7 +40,7 @@ def letters_only(text) -> Column:
     single = F.translate(text, "".join(one), "".join(one.values()))
     spelled = F.create_map(*[F.lit(x) for pair in many.items() for x in pair])
     characters = F.transform(F.split(single, ""), lambda c: F.coalesce(spelled[c], c))
-    has_many = text.rlike("[" + "".join(many) + "]")
+    has_many = F.length(F.translate(text, "".join(many), "")) < F.length(text)
     plain = F.when(has_many, F.array_join(characters, "")).otherwise(single)
     # most names are ASCII and need neither table
     plain = F.when(text.rlike(r"^\p{ASCII}*$"), text).otherwise(plain)
@@ -49,9 +49,9 @@ def letters_only(text) -> Column:
 
 def entity_key(given, family) -> Column:
     """``g_family`` from two names, null when either has no letters."""
-    first, last = letters_only(given), letters_only(family)
-    named = (F.length(first) > 0) & (F.length(last) > 0)
-    return F.when(named, F.concat(F.substring(first, 1, 1), F.lit("_"), last))
+    names = F.concat(letters_only(given), F.lit("_"), letters_only(family))
+    # one expression, so that the cleaning above is evaluated once
+    return F.nullif(F.regexp_replace(names, "^(?:([a-z])[a-z]*(_[a-z]+)|.*)$", "$1$2"), F.lit(""))
 
 
 def full_name(given, family) -> Column:

@@ -58,13 +58,21 @@ def label_index(df: DataFrame, column, name) -> DataFrame:
     return number_rows(labels, [], [column], name).withColumn(name, (F.col(name) - 1).cast("int"))
 
 
+def label_side(labels: DataFrame, column, name) -> DataFrame:
+    """The labels as the looked-up side of a join, broadcast if there are few."""
+    return lookup_side(labels.select(F.col(column).alias("_label"), F.col(name)))
+
+
 def as_label(column):
     return F.coalesce(F.col(column).cast("string"), F.lit("None"))
 
 
 def encode_labels(df: DataFrame, labels: DataFrame, column, name, unknown=None) -> DataFrame:
-    """Attach label numbers; unknown labels drop the row, or take ``unknown``."""
-    side = lookup_side(labels.select(F.col(column).alias("_label"), F.col(name)))
+    """Attach label numbers; unknown labels drop the row, or take ``unknown``.
+
+    ``labels`` is a table of ``label_index``, or a ``label_side`` used several times.
+    """
+    side = labels if "_label" in labels.columns else label_side(labels, column, name)
     joined = df.join(side, as_label(column) == F.col("_label"), "inner" if unknown is None else "left")
     if unknown is not None:
         joined = joined.withColumn(name, F.coalesce(F.col(name), F.lit(unknown)))

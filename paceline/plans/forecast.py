@@ -9,10 +9,10 @@ from paceline.functions.scalars import before, finished
 from paceline.operators.catalog import choose_entries, participants, with_display_name
 from paceline.operators.grouped import global_medians
 from paceline.operators.joins import RACE, as_of_cutoff, as_of_previous
-from paceline.operators.ranking import encode_labels, finishing_order, label_index
-from paceline.operators.skew import lookup_side
+from paceline.operators.ranking import encode_labels, finishing_order, label_index, label_side
 from paceline.plans.features import ENTITY, ORDER, PACE, enrich
 from paceline.plans.models import ForestSettings, TwoStage, score, train
+from paceline.session import durable
 
 LABELS = {ENTITY: "driver_id", "Team": "team_id", "circuitId": "circuit_id"}
 TOP = 20
@@ -28,14 +28,15 @@ TIMING_DEFAULTS = {"career_race_pace": 95.0, "career_best_lap": 95.0, "career_pi
 
 @dataclass(frozen=True)
 class Encoders:
-    """One (label, number) table per encoded column."""
+    """One (label, number) lookup per encoded column."""
 
     tables: dict
 
     @classmethod
     def fit(cls, df: DataFrame, cutoff=None):
         rows = df.where(before(*RACE, cutoff)) if cutoff else df
-        return cls({c: label_index(rows, c, name) for c, name in LABELS.items() if c in df.columns})
+        present = {c: name for c, name in LABELS.items() if c in df.columns}
+        return cls({c: label_side(label_index(rows, c, name), c, name) for c, name in present.items()})
 
     def apply(self, df: DataFrame, unknown_circuit=0) -> DataFrame:
         """Unknown drivers and teams drop the row; an unknown circuit counts as 0."""
@@ -135,7 +136,7 @@ def forecast(
     ``entries`` (DriverKey, Team, optional grid) serves a race without rows yet.
     """
     cutoff = (year, rnd)
-    enriched = enrich(results, calendar, extra, cutoff if leak_free else None)
+    enriched = durable(enrich(results, calendar, extra, cutoff if leak_free else None))
     models, encoders = train_before(enriched, cutoff, settings, leak_free)
     if entries is None:
         entries = participants(enriched, year, rnd)
@@ -150,7 +151,7 @@ def walk_forward(results, seasons, calendar=None, extra=None, settings=None, fre
     Each season is scored by models trained on the rows before it. The loop runs over
     seasons; the races of a season are one batch.
     """
-    enriched = enrich(results, calendar, extra)
+    enriched = durable(enrich(results, calendar, extra))
     defaults = scoring_defaults(enriched)
     out = None
     for season in seasons:

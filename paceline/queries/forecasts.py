@@ -1,2 +1,214 @@
-QUERIES = {}
-SQL = {}
+"""Encoded training rows, the two forests, forecasts and backtest metrics."""
+
+from pyspark.sql import functions as F
+
+from paceline.functions.scalars import before
+from paceline.operators.joins import RACE, with_sprint, without_sprint
+from paceline.operators.metrics import backtest, scored
+from paceline.plans.features import enrich
+from paceline.plans.forecast import (
+    encode,
+    forecast,
+    rank,
+    season_entries,
+    race_entries,
+    train_before,
+    walk_forward,
+)
+from paceline.plans.models import ForestSettings, importances
+from paceline.queries.contexts import ON_KEY, RACE_RESULTS, RACE_SPRINTS
+from paceline.session import durable
+from paceline.queries.views import race_calendar, race_results, race_sprints, race_timing
+
+KEY = ["year", "round", "DriverKey"]
+# Registered runs use small forests; the defaults are those of the library.
+SMALL = ForestSettings.smaller(numTrees=10, maxDepth=6)
+
+
+def _facts(spark, folder):
+    return with_sprint(race_results(spark, folder), race_sprints(spark, folder))
+
+
+def _enriched(spark, folder):
+    return durable(enrich(_facts(spark, folder), race_calendar(spark, folder), race_timing(spark, folder)))
+
+
+def training_rows(spark, folder):
+    """Finishers before 2000 with numbered labels; the numbers count all rows' labels."""
+    facts = _facts(spark, folder).withColumn("circuitId", F.concat(F.lit("circuit"), (F.col("round") % 6).cast("string")))
+    rows, _ = encode(facts)
+    return rows.where(before(*RACE, (2000, 1))).select(*KEY, "driver_id", "team_id", "circuit_id")
+
+
+def scoring_rows(spark, folder):
+    """The entries of one race with the stats of their last race before it."""
+    enriched = _plain_features(spark, folder)
+    target = race_results(spark, folder).where((F.col("year") == 2000) & (F.col("round") == 5))
+    rows = race_entries(enriched, target.select("DriverKey", "Team", "grid"), 2000, 5, PLAIN_DEFAULTS)
+    return rows.select(*KEY, "grid", "form_grid", "career_race_avg", "circuit_importance", "circuitId")
+
+
+PLAIN_DEFAULTS = {"form_grid": 13.0, "career_race_avg": 14.0}
+
+
+def _plain_features(spark, folder):
+    """Stored features stand in for computed ones: a gap every sixth round."""
+    rows = race_results(spark, folder)
+    known = F.col("round") % 6 != 0
+    return rows.withColumns(
+        {
+            "form_grid": F.when(known, F.col("grid") + 1),
+            "career_race_avg": F.when(known, F.col("grid") * 2),
+            "circuit_importance": F.col("round") / 100,
+            "circuitId": F.concat(F.lit("circuit"), (F.col("round") % 6).cast("string")),
+        }
+    )
+
+
+def scoring_rows_season(spark, folder):
+    """The same for every race of 1999 and 2000 at once."""
+    enriched = _plain_features(spark, folder)
+    rows = season_entries(enriched, F.col("year").between(1999, 2000), PLAIN_DEFAULTS)
+    return rows.select(*KEY, "form_grid", "career_race_avg", "has_sprint", "sprint_delta")
+
+
+def rf_two_stage(spark, folder):
+    """The forecast of one race from models trained on everything before it."""
+    facts, calendar = _facts(spark, folder), race_calendar(spark, folder)
+    return forecast(facts, 2000, 5, calendar, race_timing(spark, folder), settings=SMALL)
+
+
+def rf_real_grid(spark, folder):
+    """The same race from its real grid, with statistics from before the race only."""
+    facts, calendar = _facts(spark, folder), race_calendar(spark, folder)
+    return forecast(
+        facts, 2000, 5, calendar, race_timing(spark, folder), use_real_grid=True, settings=SMALL, leak_free=True
+    )
+
+
+def rf_importances(spark, folder):
+    models, _ = train_before(_enriched(spark, folder), (2000, 1), SMALL)
+    grid = importances(models.grid, models.grid_features).withColumn("model", F.lit("grid"))
+    race = importances(models.race, models.race_features).withColumn("model", F.lit("race"))
+    return grid.unionByName(race)
+
+
+def rf_ablation(spark, folder):
+    """Importances of the race model without sprint features."""
+    models, _ = train_before(without_sprint(_enriched(spark, folder)), (2000, 1), SMALL)
+    return importances(models.race, models.race_features)
+
+
+def rf_walk_forward(spark, folder):
+    """Metrics of two seasons, each scored by models of the seasons before it, in both modes."""
+    facts = _facts(spark, folder)
+    placed = walk_forward(facts, [1999, 2000], race_calendar(spark, folder), race_timing(spark, folder), SMALL)
+    return backtest(scored(placed.select("mode", *KEY, "Pos"), facts.where(F.col("position").isNotNull())), ["mode"])
+
+
+def _placed(spark, folder):
+    """Places by the grid as the prediction, and by the finish as the actual order."""
+    rows = _facts(spark, folder).where(F.col("position").isNotNull())
+    rows = rows.withColumns({"Grid_Input": F.col("grid"), "Course_Score": F.col("grid") + F.col("position") % 3})
+    real = rank(rows.withColumn("Course_Score", F.col("position"))).select(
+        *KEY, F.col("Pos").cast("double").alias("position"), F.col("Grid").cast("double").alias("grid")
+    )
+    predicted = rank(rows).select(*KEY, "Pos", F.col("sprint_pos").isNotNull().cast("int").alias("has_sprint"))
+    return scored(predicted, real)
+
+
+MEASURES = ["winner", "top3", "top5", "top10", "mae", "grid_mae"]
+
+
+def _rounded(df):
+    return df.withColumns({c: F.round(c, 9) for c in MEASURES})
+
+
+def metrics_overall(spark, folder):
+    return _rounded(backtest(_placed(spark, folder)))
+
+
+def metrics_sprint(spark, folder):
+    return _rounded(backtest(_placed(spark, folder), ["has_sprint"]))
+
+
+def metrics_mode(spark, folder):
+    """Two predictions side by side: the scored order and the real grid."""
+    rows = _placed(spark, folder)
+    oracle = rows.withColumn("mode", F.lit("oracle"))
+    analyst = rows.withColumn("mode", F.lit("analyst")).withColumn("Pos", F.col("real_grid").cast("int"))
+    return _rounded(backtest(oracle.unionByName(analyst), ["mode"]))
+
+
+QUERIES = {
+    "training_rows": training_rows,
+    "scoring_rows": scoring_rows,
+    "scoring_rows_season": scoring_rows_season,
+    "rf_two_stage": rf_two_stage,
+    "rf_real_grid": rf_real_grid,
+    "rf_importances": rf_importances,
+    "rf_ablation": rf_ablation,
+    "rf_walk_forward": rf_walk_forward,
+    "metrics_overall": metrics_overall,
+    "metrics_sprint": metrics_sprint,
+    "metrics_mode": metrics_mode,
+}
+
+PLAIN = f"""
+with {RACE_RESULTS},
+plain as (
+  select *, case when "round" % 6 <> 0 then grid + 1 end as form_grid,
+    case when "round" % 6 <> 0 then grid * 2 end as career_race_avg from results)"""
+
+PLACED = f"""
+with {RACE_RESULTS}, {RACE_SPRINTS},
+placed as (
+  select "year", "round", "DriverKey", cast(sprint_pos is not null as integer) as has_sprint,
+    row_number() over (partition by "year", "round" order by grid + "position" % 3, "DriverKey") as pos,
+    row_number() over (partition by "year", "round" order by "position", "DriverKey") as actual,
+    row_number() over (partition by "year", "round" order by grid, "DriverKey") as real_grid
+  from results left join sprints {ON_KEY} where "position" is not null)"""
+
+MEASURE_SQL = """
+  round(avg(case when pos = 1 then cast(pos = actual as integer) end), 9) as winner,
+  round(avg(case when pos <= 3 then cast(pos = actual as integer) end), 9) as top3,
+  round(avg(case when pos <= 5 then cast(pos = actual as integer) end), 9) as top5,
+  round(avg(case when pos <= 10 then cast(pos = actual as integer) end), 9) as top10,
+  round(avg(abs(pos - actual)), 9) as mae, round(avg(abs(real_grid - actual)), 9) as grid_mae, count(*) as rows"""
+
+SQL = {
+    "training_rows": f"""
+with {RACE_RESULTS},
+encoded as (
+  select *, cast(dense_rank() over (order by "DriverKey") - 1 as integer) as driver_id,
+    cast(dense_rank() over (order by "Team") - 1 as integer) as team_id,
+    cast("round" % 6 as integer) as circuit_id
+  from results)
+select "year", "round", "DriverKey", driver_id, team_id, circuit_id from encoded
+where status in ('Finished', '+1 Lap') and "year" < 2000""",
+    "scoring_rows": f"""
+{PLAIN},
+last_ as (
+  select "DriverKey", form_grid, career_race_avg from plain where ("year", "round") < (2000, 5)
+  qualify row_number() over (partition by "DriverKey" order by "year" desc, "round" desc) = 1)
+select r."year", r."round", r."DriverKey", r.grid, coalesce(l.form_grid, 13.0) as form_grid,
+  coalesce(l.career_race_avg, 14.0) as career_race_avg, cast(0.05 as double) as circuit_importance,
+  'circuit5' as "circuitId"
+from results r left join last_ l using ("DriverKey") where r."year" = 2000 and r."round" = 5""",
+    "scoring_rows_season": f"""
+{PLAIN},
+lagged as (
+  select "year", "round", "DriverKey", coalesce(lag(form_grid) over w, 13.0) as form_grid,
+    coalesce(lag(career_race_avg) over w, 14.0) as career_race_avg, cast(0 as integer) as has_sprint,
+    cast(0 as double) as sprint_delta
+  from plain window w as (partition by "DriverKey" order by "year", "round"))
+select * from lagged where "year" between 1999 and 2000""",
+    "metrics_overall": f"{PLACED} select {MEASURE_SQL} from placed",
+    "metrics_sprint": f"{PLACED} select has_sprint, {MEASURE_SQL} from placed group by has_sprint",
+    "metrics_mode": f"""
+{PLACED},
+modes as (
+  select 'oracle' as mode, pos, actual, real_grid from placed
+  union all select 'analyst', real_grid, actual, real_grid from placed)
+select mode, {MEASURE_SQL} from modes group by mode""",
+}

@@ -1,14 +1,12 @@
 """Landed responses, stored tables and text scalars."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from paceline import schemas
 from paceline.functions.scalars import entity_key, full_name, letters_only, list_mean, number, title_key
 from paceline.operators.laps import timing_features
 from paceline.queries.views import table
-from paceline.session import shared_folder
+from paceline.session import fresh_path
 from paceline.sources import landed
 from paceline.sources.tables import (
     read_table,
@@ -60,8 +58,8 @@ def json_results(spark, folder):
         F.count(F.lit(1)).alias("rows"),
         F.sum("grid").alias("grid"),
         F.sum("position").alias("position"),
-        F.count_distinct("DriverName").alias("names"),
-        F.count_distinct("Team").alias("teams"),
+        F.max("DriverName").alias("name"),
+        F.min("Team").alias("team"),
         F.min("points").alias("points"),
     )
 
@@ -104,7 +102,7 @@ def json_props(spark, folder):
 
 def landed_files(spark, folder):
     """Responses written as files, one document per line, and read back with the fixed schema."""
-    path = _fresh(spark)
+    path = fresh_path(spark)
     _responses(spark, folder, "Results").drop("l_orderkey").write.json(path)
     rows = landed.race_results(landed.read_responses(spark, path, one_per_line=True))
     return rows.groupBy("DriverKey").agg(
@@ -136,7 +134,7 @@ def season_replace(spark, folder):
 
 def season_sink(spark, folder):
     """The same through a stored table, run twice: the second run changes nothing."""
-    path = _fresh(spark)
+    path = fresh_path(spark)
     old = _orders_by_season(spark, folder)
     write_seasons(old.where(F.col("o_orderkey") % 3 != 0), path, 1990, 2005, ["o_orderkey"])
     new = old.where(F.col("year").between(1996, 1997))
@@ -147,7 +145,7 @@ def season_sink(spark, folder):
 
 def season_sink_csv(spark, folder):
     """The season sink on CSV files, and a sink without new rows."""
-    path = _fresh(spark)
+    path = fresh_path(spark)
     old = _orders_by_season(spark, folder)
     write_seasons(old, path, 1990, 2005, ["o_orderkey"], fmt="csv")
     first, last = sprint_range(1996, 2030)
@@ -158,7 +156,7 @@ def season_sink_csv(spark, folder):
 
 def latest_sink(spark, folder):
     """Only the latest race is kept; an empty fetch changes nothing."""
-    path = _fresh(spark)
+    path = fresh_path(spark)
     orders = _orders_by_season(spark, folder)
     write_whole(orders.where(F.col("year") == 1996), path, ["o_totalprice"])
     write_latest(orders.where(F.col("year") == 1999), path)
@@ -168,7 +166,7 @@ def latest_sink(spark, folder):
 
 def missing_sources(spark, folder):
     """Orders with the columns of sources that are not there."""
-    absent = read_table(spark, _fresh(spark), schemas.SPRINT)
+    absent = read_table(spark, fresh_path(spark), schemas.SPRINT)
     orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
     return with_defaults(orders, {"o_totalprice": 1.0, "importance": 0.5, "sprint_pos": None}).withColumn(
         "stored", F.lit(absent is not None)
@@ -239,10 +237,6 @@ def list_means(spark, folder):
     return parts.select("p_partkey", F.round(list_mean(text), 6).alias("mean"))
 
 
-def _fresh(spark):
-    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
-
-
 QUERIES = {
     "json_results": json_results,
     "json_qualifying": json_qualifying,
@@ -283,7 +277,7 @@ SQL = {
     "json_results": f"""
 with {LINES}
 select "DriverKey", "year", "round", status, count(*) as rows, sum(grid) as grid, sum(pos) as "position",
-  count(distinct trim(given || ' ' || family)) as names, count(distinct team) as teams,
+  max(trim(given || ' ' || family)) as name, min(team) as team,
   min(cast(l_suppkey as varchar)) as points
 from lines group by 1, 2, 3, 4""",
     "json_qualifying": f"""

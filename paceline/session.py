@@ -1,6 +1,7 @@
 """Session helpers: the shared folder and durable intermediate results."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,12 +19,21 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="paceline-")
-    if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+def fresh_path(spark: SparkSession) -> str:
+    """A new path in the shared folder, for rows that only this run needs."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder, so a lost executor cannot change them."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """The rows, written to a table in the shared folder and read back.
+
+    This cuts the lineage: a lost executor can neither change the rows nor make them
+    be computed again. Readers prune columns and know the size.
+    """
+    path = fresh_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -29,10 +29,10 @@ def _races(responses):
 def _entries(responses, list_name):
     """One row per entry of the first race of each response."""
     kept, races = _races(responses)
-    return (
-        responses.select(*kept, F.get(races, F.lit(0)).alias("race"))
-        .select(*kept, "race", F.explode(F.col("race")[list_name]).alias("entry"))
-    ), kept
+    first = responses.select(*kept, F.get(races, F.lit(0)).alias("race"))
+    # an outer explode, since a plain one adds a size filter that parses a text twice
+    entries = first.select(*kept, "race", F.explode_outer(F.col("race")[list_name]).alias("entry"))
+    return entries.where(F.col("entry").isNotNull()), kept
 
 
 def _identity():
@@ -88,7 +88,8 @@ def sprint_results(responses: DataFrame) -> DataFrame:
 def calendar(responses: DataFrame) -> DataFrame:
     """One row per race of a season; here every race of a response counts."""
     kept, races = _races(responses)
-    return responses.select(*kept, F.explode(races).alias("race")).select(
+    each = responses.select(*kept, F.explode_outer(races).alias("race")).where(F.col("race").isNotNull())
+    return each.select(
         *kept,
         *_when(),
         F.col("race.raceName").alias("raceName"),

@@ -18,9 +18,8 @@ def find_races(calendar: DataFrame, pattern, order=("year", "round")) -> DataFra
     the first match overall.
     """
     found = calendar.where(name_matches("raceName", pattern))
-    first = found.agg(F.min_by("raceName", F.struct(*order)).alias("first_name"))
-    rounds = last_wins(found, ["year"], ["round"], order)
-    return rounds.crossJoin(F.broadcast(first))  # one row
+    first = found.agg(F.min_by("raceName", F.struct(*order)).alias("name")).first()
+    return last_wins(found, ["year"], ["round"], order).withColumn("first_name", F.lit(first["name"]))
 
 
 def participants(results: DataFrame, year, rnd) -> DataFrame:

@@ -31,9 +31,12 @@ def group_median(df: DataFrame, keys, column, name, approx=False, hot: HotGroups
 
 def _counted_median(df, keys, column, name):
     values = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
-    sizes = values.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     below = with_history(values, keys, [column], [RunningSum("_below", "_n")])
-    sized = below.join(lookup_side(sizes), keys) if keys else below.crossJoin(F.broadcast(sizes))
+    if keys:
+        sizes = values.groupBy(*keys).agg(F.sum("_n").alias("_size"))
+        sized = below.join(lookup_side(sizes), keys)
+    else:
+        sized = below.withColumn("_size", F.lit(df.count()))
     low, high = F.floor((F.col("_size") - 1) / 2), F.floor(F.col("_size") / 2)
     upto = F.col("_below") + F.col("_n")
     holds_low = (F.col("_below") <= low) & (low < upto)
@@ -51,7 +54,8 @@ def fill_group_median(df: DataFrame, keys, columns, hot: HotGroups | None = None
         for column in columns:
             # one row per hot group, and hot groups are few: the broadcast is bounded
             medians = F.broadcast(group_median(huge, keys, column, "_median", hot=hot))
-            huge = huge.join(medians, keys, "left").withColumn(column, F.coalesce(column, "_median")).drop("_median")
+            huge = huge.join(medians, keys, "left").withColumn(column, F.coalesce(column, "_median"))
+            huge = huge.select(df.columns)
     # the window shares the partitioning of other windows on the same keys
     ordinary, by = spread_unkeyed(ordinary, keys, hot)
     known, group = all_present(keys), Window.partitionBy(*by)

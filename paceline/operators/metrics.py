@@ -9,7 +9,7 @@ TOP_K = (3, 5, 10)
 def scored(predictions: DataFrame, actuals: DataFrame, race=("year", "round"), entity="DriverKey") -> DataFrame:
     """Predictions with the actual place and the real grid of the same entry."""
     real = actuals.select(*race, entity, F.col("position").alias("actual"), F.col("grid").alias("real_grid"))
-    return predictions.join(real, [*race, entity])
+    return predictions.drop("actual", "real_grid").join(real, [*race, entity])
 
 
 def backtest(rows: DataFrame, by=(), predicted="Pos", actual="actual", grid="real_grid") -> DataFrame:

@@ -38,7 +38,9 @@ def _ranked_pairs(df, keys, value):
     pairs = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
     ranked = number_rows(pairs, keys, [value], "_rank")
     tops = ranked.groupBy(*keys).agg(F.max("_rank").alias("_top"))
-    return df.join(ranked.join(lookup_side(tops), keys), [*keys, value], "left")
+    ranked = ranked.join(lookup_side(tops), keys)
+    # a value that many rows share is a skewed key, which the adaptive join splits
+    return df.join(ranked, [*keys, value], "left").select(*df.columns, "_rank", "_top")
 
 
 def finishing_order(df: DataFrame, race, grid_score, race_score, tie) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from paceline.session import durable
 
 MAX_ROWS_CONF = "spark.paceline.maxGroupRows"
-MAX_ROWS = 4_000_000
+MAX_ROWS = 2_000_000
 LOOKUP_ROWS_CONF = "spark.paceline.maxLookupRows"
 LOOKUP_ROWS = 200_000
 RANGE = "_range"
@@ -66,7 +66,7 @@ class HotGroups:
             return None, df
         hot = F.broadcast(self.table)
         on = list(self.keys)
-        return df.join(hot, on, "left_anti"), df.join(hot, on, "left_semi")
+        return tuple(df.join(hot, on, how).select(df.columns) for how in ("left_anti", "left_semi"))
 
 
 def hot_groups(df: DataFrame, keys, max_rows=None) -> HotGroups:

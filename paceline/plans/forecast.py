@@ -13,6 +13,7 @@ from paceline.operators.ranking import encode_labels, finishing_order, label_ind
 from paceline.plans.features import ENTITY, ORDER, PACE, enrich
 from paceline.plans.models import ForestSettings, TwoStage, score, train
 from paceline.session import durable
+from paceline.sources.tables import read_race
 
 LABELS = {ENTITY: "driver_id", "Team": "team_id", "circuitId": "circuit_id"}
 TOP = 20
@@ -69,16 +70,12 @@ def race_entries(enriched: DataFrame, entries: DataFrame, year, rnd, defaults=No
     stats = defaults or scoring_defaults(enriched)
     stats = {c: v for c, v in stats.items() if c in enriched.columns}
     rows = as_of_cutoff(enriched, entries, ENTITY, *RACE, (year, rnd), stats, tie=ORDER[2:])
-    race = enriched.where((F.col("year") == year) & (F.col("round") == rnd))
-    known = race.agg(
-        F.first("circuit_importance").alias("circuit_importance"),
-        F.first("circuitId").alias("circuitId") if "circuitId" in enriched.columns else F.lit(None).alias("circuitId"),
-    )
-    rows = rows.drop(*RACE, "circuit_importance", "circuitId").crossJoin(F.broadcast(known))  # one row
+    known = read_race(enriched, year, rnd, ["circuit_importance", "circuitId"]).first()
+    known = known.asDict() if known else {}
     return rows.withColumns(
         {
-            "circuit_importance": F.coalesce("circuit_importance", F.lit(0.5)),
-            "circuitId": F.coalesce("circuitId", F.lit("unknown")),
+            "circuit_importance": F.lit(known.get("circuit_importance", 0.5)),
+            "circuitId": F.lit(known.get("circuitId", "unknown")),
             "year": F.lit(year),
             "round": F.lit(rnd),
             "has_sprint": F.lit(0),

@@ -63,10 +63,11 @@ def customer_median(spark, folder):
 
 
 def overall_median(spark, folder):
-    """One row: the exact medians of whole columns."""
+    """The exact medians of whole columns."""
     lines = table(spark, folder, "lineitem")
-    price = group_median(lines, [], "l_extendedprice", "price")
-    return price.crossJoin(F.broadcast(group_median(lines, [], "l_quantity", "quantity")))  # one row each
+    price = group_median(lines, [], "l_extendedprice", "median").withColumn("measure", F.lit("price"))
+    quantity = group_median(lines, [], "l_quantity", "median").withColumn("measure", F.lit("quantity"))
+    return price.unionByName(quantity)
 
 
 def _gappy_orders(spark, folder):
@@ -168,7 +169,9 @@ corr as (select circuit, {CORR} as importance from pairs where done group by cir
 select o_orderkey, round(coalesce(importance, 0.5), 9) as importance
 from pairs left join corr using (circuit)""",
     "customer_median": "select o_custkey, median(o_totalprice) as median from orders group by o_custkey",
-    "overall_median": "select median(l_extendedprice) as price, median(l_quantity) as quantity from lineitem",
+    "overall_median": """
+select 'price' as measure, median(l_extendedprice) as median from lineitem
+union all select 'quantity', median(l_quantity) from lineitem""",
     "median_fill": f"""
 with {GAPPY}
 select o_orderkey, coalesce(price, median(price) over (partition by o_custkey)) as price from gappy""",

@@ -1,7 +1,8 @@
 """Stored tables: readers, optional sources and the season-range sinks."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from paceline.functions.scalars import outside
@@ -11,17 +12,25 @@ from paceline.sources.landed import FIRST_SPRINT_SEASON
 def read_table(spark: SparkSession, path, schema, fmt="parquet") -> DataFrame | None:
     """The table with its fixed schema, or None where nothing is stored.
 
-    Columns the files lack read as null.
+    Columns the files lack read as null. CSV columns are found by their header, and a
+    file whose header differs from the first one's fails instead of being misread.
     """
-    reader = spark.read.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True).option("enforceSchema", False)
+    reader = spark.read if fmt == "csv" else spark.read.schema(schema)
+    options = {"header": True, "enforceSchema": False} if fmt == "csv" else {}
     try:
-        return reader.format(fmt).load(path)
+        stored = reader.options(**options).format(fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    return typed(stored, schema) if fmt == "csv" else stored
+
+
+def typed(df: DataFrame, schema) -> DataFrame:
+    """The schema's columns; texts that do not convert, and missing columns, are null."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    texts = [F.col(f.name) if f.name in df.columns else F.lit(None) for f in fields]
+    return df.select(*[text.try_cast(f.dataType).alias(f.name) for text, f in zip(texts, fields)])
 
 
 def read_race(table: DataFrame | None, year, rnd, columns) -> DataFrame | None:
@@ -68,20 +77,23 @@ def write_seasons(new: DataFrame, path, first, last, order=(), season="year", fm
     The table is partitioned by season. New seasons replace theirs through Spark's
     dynamic partition overwrite (staged, committed at the end); seasons of the range
     without new rows are dropped afterwards. Running it again gives the same table.
-    Nothing happens when there are no new rows. Rows are laid out by range, so a
-    season of any size is spread over files and sorted along ``order``.
+    Nothing happens when there are no new rows, and a row outside the range fails the
+    write before it is committed. Rows are laid out by range, so a season of any size
+    is spread over files and sorted along ``order``. The seasons that arrived are
+    observed while writing, which spares a pass over the new rows.
     """
-    arrived = {r[0] for r in new.select(season).distinct().collect()}
-    if not arrived:
+    if new.isEmpty():
         return False
-    if any(s is None or not first <= s <= last for s in arrived):
-        raise ValueError(f"new rows lie outside {first}-{last}: {sorted(map(str, arrived))}")
+    stray = F.raise_error(F.concat_ws(" ", F.lit(f"season outside {first}-{last}:"), F.col(season)))
+    checked = new.withColumn(season, F.when(F.col(season).between(first, last), F.col(season)).otherwise(stray))
+    arrived = Observation()
+    checked = checked.observe(arrived, F.collect_set(season).alias("seasons"))
     by = [F.col(season), *[F.col(c).asc_nulls_last() for c in order]]
-    writer = new.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite")
+    writer = checked.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.partitionBy(season).option("partitionOverwriteMode", "dynamic").format(fmt).save(path)
-    drop_seasons(new.sparkSession, path, set(range(first, last + 1)) - arrived, season)
+    drop_seasons(new.sparkSession, path, set(range(first, last + 1)) - set(arrived.get["seasons"]), season)
     return True
 
 

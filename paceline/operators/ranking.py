@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from paceline.operators.history import Ordinal, with_history
 from paceline.operators.skew import HotGroups, hot_groups, lookup_side
+from paceline.session import durable
 
 
 def number_rows(df: DataFrame, keys, order, name, hot: HotGroups | None = None) -> DataFrame:
@@ -16,11 +17,12 @@ def dense_scaled_rank(df: DataFrame, keys, value, name, fill=0.5, rank_name=None
     """Dense rank of ``value`` within ``keys`` divided by the group's largest rank.
 
     Null values are not ranked and get ``fill``. With a hot group the distinct
-    (group, value) pairs are ranked instead of the rows, and joined back.
+    (group, value) pairs are ranked instead of the rows, and joined back; the rows are
+    needed twice for that, so they are written once.
     """
     keys = list(keys)
     hot = hot_groups(df, keys) if hot is None else hot
-    ranked = _ranked_pairs(df, keys, value) if hot else _ranked_rows(df, keys, value)
+    ranked = _ranked_pairs(durable(df), keys, value) if hot else _ranked_rows(df, keys, value)
     scaled = F.coalesce(F.col("_rank").cast("double") / F.col("_top"), F.lit(float(fill)))
     out = ranked.withColumn(name, scaled)
     if rank_name:

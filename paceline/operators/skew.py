@@ -19,6 +19,7 @@ MAX_ROWS = 2_000_000
 LOOKUP_ROWS_CONF = "spark.paceline.maxLookupRows"
 LOOKUP_ROWS = 200_000
 RANGE = "_range"
+MARK = "_hot"
 
 
 def max_group_rows(spark: SparkSession) -> int:
@@ -60,10 +61,27 @@ class HotGroups:
         """Ranges that keep a piece near half of ``max_rows``."""
         return max(2, -(-2 * self.total // self.max_rows))
 
+    def within(self, *keys):
+        """The same hot groups for finer keys, for a marked frame."""
+        return replace(self, keys=(*self.keys, *keys))
+
+    def mark(self, df: DataFrame) -> DataFrame:
+        """Divide once for several steps: each part carries a constant mark.
+
+        Later steps filter on the mark. In the ordinary part it is a constant that
+        Spark folds, so a step does not compute one part to find the other.
+        """
+        if not self or MARK in df.columns:
+            return df
+        ordinary, huge = self.divide(df)
+        return ordinary.withColumn(MARK, F.lit(False)).unionByName(durable(huge.withColumn(MARK, F.lit(True))))
+
     def divide(self, df: DataFrame):
         """(rows of ordinary groups, rows of hot groups)."""
         if not self.keys:
             return None, df
+        if MARK in df.columns:
+            return df.where(~F.col(MARK)), df.where(MARK)
         hot = F.broadcast(self.table)
         on = list(self.keys)
         return tuple(df.join(hot, on, how).select(df.columns) for how in ("left_anti", "left_semi"))

@@ -1,7 +1,5 @@
 """The race pipeline's feature steps, each a composition of the general operators."""
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,12 +8,12 @@ from paceline.operators.grouped import correlation_by, fill_global_median, fill_
 from paceline.operators.history import Career, Recent, with_history
 from paceline.operators.joins import RACE, attach, sprint_features, with_circuit
 from paceline.operators.ranking import dense_scaled_rank
-from paceline.operators.skew import HotGroups, hot_groups, lookup_side
+from paceline.operators.skew import MARK, HotGroups, hot_groups, lookup_side
 from paceline.sources.tables import with_defaults
 
 ENTITY = "DriverKey"
-# Rows of a race keep the stored order (by grid) before the entity breaks ties.
-ORDER = ["year", "round", "grid", ENTITY]
+# An entity has one row per race; repeated rows keep the stored order, by grid.
+ORDER = ["year", "round", "grid"]
 
 # What stands in where there is no history.
 FORM_FILL = 13.0
@@ -69,18 +67,18 @@ def driver_history(df: DataFrame, hot: HotGroups | None = None, hot_seasons: Hot
     """Career and circuit means over earlier races, and pace ranked within the season."""
     df = with_defaults(df, {c: 0.0 for c in PACE.values()})
     hot = hot_groups(df, [ENTITY]) if hot is None else hot
+    df = hot.mark(df)
     career = [Career("career_grid_avg", "grid", CAREER_FILL), Career("career_race_avg", "position", CAREER_FILL)]
     career += [Career(name, column) for name, column in PACE.items()]
     df = with_history(df, [ENTITY], ORDER, career, hot)
     skill = {"circuit_grid_skill": "grid", "circuit_race_skill": "position"}
     if "circuitId" in df.columns:
-        keys = [ENTITY, "circuitId"]
         # a pair can only be hot if its entity is
-        pairs = hot_groups(df, keys) if hot else replace(hot, keys=tuple(keys))
-        df = with_history(df, keys, ORDER, [Career(n, c, CAREER_FILL) for n, c in skill.items()], pairs)
+        pairs = [Career(n, c, CAREER_FILL) for n, c in skill.items()]
+        df = with_history(df, [ENTITY, "circuitId"], ORDER, pairs, hot.within("circuitId"))
     else:
         df = df.withColumns({n: F.lit(CAREER_FILL) for n in skill})
-    df = fill_group_median(df, [ENTITY], list(PACE), hot)
+    df = fill_group_median(df, [ENTITY], list(PACE), hot).drop(MARK)
     return dense_scaled_rank(df, ["year"], "career_race_pace", "pace_rank_season", fill=0.5, hot=hot_seasons)
 
 
@@ -91,7 +89,7 @@ def enrich(results: DataFrame, calendar=None, extra=None, cutoff=None) -> DataFr
     repeated rows in a context table could add rows.
     """
     hot, hot_seasons = hot_groups(results, [ENTITY]), hot_groups(results, ["year"])
-    df = form(results, hot)
+    df = form(hot.mark(results), hot)
     df = circuit_importance(df, calendar, cutoff)
     df = timing(df, extra, cutoff, hot.rows)
     df = sprint_features(df)

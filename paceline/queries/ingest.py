@@ -45,7 +45,7 @@ def _responses(spark, folder, list_name):
         )
 
     month = F.month("l_shipdate").cast("string")
-    races = F.array(race(month, F.array(line)), race(F.concat(month, F.lit("0")), F.array(line, line)))
+    races = F.array(race(month, F.array(line)), race(F.concat(month, F.lit("0")), F.array(line)))
     response = F.struct(F.struct(F.struct(races.alias("Races")).alias("RaceTable")).alias("MRData"))
     texts = table(spark, folder, "lineitem").select("l_orderkey", F.to_json(response).alias("body"))
     return landed.parse_responses(texts, "body")

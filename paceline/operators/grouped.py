@@ -45,21 +45,26 @@ def _counted_median(df, keys, column, name):
     return sized.where(holds_low | holds_high).groupBy(*keys).agg(((lower + upper) / 2).cast("double").alias(name))
 
 
-def fill_group_median(df: DataFrame, keys, columns, hot: HotGroups | None = None) -> DataFrame:
-    """Fill nulls with the group's own median; an all-null group stays null."""
+def fill_group_median(df: DataFrame, keys, columns, hot: HotGroups | None = None, of=None) -> DataFrame:
+    """Fill nulls with the group's own median; an all-null group stays null.
+
+    ``of`` is a condition on the rows that make the medians (say, before a cutoff).
+    """
     keys = list(keys)
     hot = hot_groups(df, keys) if hot is None else hot
     ordinary, huge = hot.divide(df) if hot else (df, None)
     if huge is not None:
         for column in columns:
             # one row per hot group, and hot groups are few: the broadcast is bounded
-            medians = F.broadcast(group_median(huge, keys, column, "_median", hot=hot))
+            known = huge if of is None else huge.where(of)
+            medians = F.broadcast(group_median(known, keys, column, "_median", hot=hot))
             huge = huge.join(medians, keys, "left").withColumn(column, F.coalesce(column, "_median"))
             huge = huge.select(df.columns)
     # the window shares the partitioning of other windows on the same keys
     ordinary, by = spread_unkeyed(ordinary, keys, hot)
     known, group = all_present(keys), Window.partitionBy(*by)
-    filled = {c: F.coalesce(F.col(c), F.when(known, F.median(c).over(group))) for c in columns}
+    used = {c: F.col(c) if of is None else F.when(of, F.col(c)) for c in columns}
+    filled = {c: F.coalesce(F.col(c), F.when(known, F.median(used[c]).over(group))) for c in columns}
     ordinary = ordinary.withColumns(filled).drop(SPREAD)
     return ordinary if huge is None else ordinary.unionByName(huge)
 

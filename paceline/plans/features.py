@@ -63,8 +63,14 @@ def timing(df: DataFrame, extra: DataFrame | None, cutoff=None, rows=None) -> Da
     return with_defaults(fill_global_median(df, known, of=of, rows=rows), {c: 0.0 for c in TIMING})
 
 
-def driver_history(df: DataFrame, hot: HotGroups | None = None, hot_seasons: HotGroups | None = None) -> DataFrame:
-    """Career and circuit means over earlier races, and pace ranked within the season."""
+def driver_history(
+    df: DataFrame, hot: HotGroups | None = None, hot_seasons: HotGroups | None = None, cutoff=None
+) -> DataFrame:
+    """Career and circuit means over earlier races, and pace ranked within the season.
+
+    Gaps in career pace take the driver's median over all races, and a season is
+    ranked as a whole; with ``cutoff`` the races from it on do not affect earlier ones.
+    """
     df = with_defaults(df, {c: 0.0 for c in PACE.values()})
     hot = hot_groups(df, [ENTITY]) if hot is None else hot
     df = hot.mark(df)
@@ -78,8 +84,13 @@ def driver_history(df: DataFrame, hot: HotGroups | None = None, hot_seasons: Hot
         df = with_history(df, [ENTITY, "circuitId"], ORDER, pairs, hot.within("circuitId"))
     else:
         df = df.withColumns({n: F.lit(CAREER_FILL) for n in skill})
-    df = fill_group_median(df, [ENTITY], list(PACE), hot).drop(MARK)
-    return dense_scaled_rank(df, ["year"], "career_race_pace", "pace_rank_season", fill=0.5, hot=hot_seasons)
+    known = before(*RACE, cutoff) if cutoff else None
+    df = fill_group_median(df, [ENTITY], list(PACE), hot, known).drop(MARK)
+    hot_seasons = hot_groups(df, ["year"]) if hot_seasons is None else hot_seasons
+    if not cutoff:
+        return dense_scaled_rank(df, ["year"], "career_race_pace", "pace_rank_season", hot=hot_seasons)
+    df = df.withColumn("_known", known)
+    return dense_scaled_rank(df, ["year", "_known"], "career_race_pace", "pace_rank_season", hot=hot_seasons).drop("_known")
 
 
 def enrich(results: DataFrame, calendar=None, extra=None, cutoff=None) -> DataFrame:
@@ -93,4 +104,4 @@ def enrich(results: DataFrame, calendar=None, extra=None, cutoff=None) -> DataFr
     df = circuit_importance(df, calendar, cutoff)
     df = timing(df, extra, cutoff, hot.rows)
     df = sprint_features(df)
-    return driver_history(df, hot, hot_seasons)
+    return driver_history(df, hot, hot_seasons, cutoff)

@@ -110,8 +110,10 @@ def train_before(enriched: DataFrame, cutoff, settings: ForestSettings | None =
     return train(finishers.where(before(*RACE, cutoff)), settings), encoders
 
 
-def predict_race(models: TwoStage, encoders: Encoders, enriched, entries, year, rnd, use_real=False) -> DataFrame:
-    rows = encoders.apply(race_entries(enriched, entries, year, rnd))
+def predict_race(
+    models: TwoStage, encoders: Encoders, enriched, entries, year, rnd, use_real=False, defaults=None
+) -> DataFrame:
+    rows = encoders.apply(race_entries(enriched, entries, year, rnd, defaults))
     rows = with_display_name(rows, enriched, ORDER)
     return rank(score(models, rows, use_real))
 
@@ -138,7 +140,8 @@ def forecast(
     if entries is None:
         entries = participants(enriched, year, rnd)
     entries, use_real = choose_entries(entries, latest_qualifying, year, rnd, use_real_grid)
-    ranked = predict_race(models, encoders, enriched, entries, year, rnd, use_real)
+    defaults = scoring_defaults(enriched.where(before(*RACE, cutoff)) if leak_free else enriched)
+    ranked = predict_race(models, encoders, enriched, entries, year, rnd, use_real, defaults)
     return ranked.select("Pos", "DriverName", "Team", "Grid", "Delta").orderBy("Pos").limit(TOP)
 
 

@@ -169,9 +169,9 @@ histories as (
   window e as (partition by "DriverKey" order by "year", "round"),
     c as (partition by "DriverKey", "circuitId" order by "year", "round")),
 paced as (
-  select *, coalesce(cp, median(cp) over (partition by "DriverKey")) as career_race_pace,
-    coalesce(cl, median(cl) over (partition by "DriverKey")) as career_best_lap,
-    coalesce(cm, median(cm) over (partition by "DriverKey")) as career_pit_loss
+  select *, coalesce(cp, median(case when {cutoff} then cp end) over (partition by "DriverKey")) as career_race_pace,
+    coalesce(cl, median(case when {cutoff} then cl end) over (partition by "DriverKey")) as career_best_lap,
+    coalesce(cm, median(case when {cutoff} then cm end) over (partition by "DriverKey")) as career_pit_loss
   from histories),
 ranked as (
   select *, case when career_race_pace is not null

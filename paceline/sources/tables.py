@@ -87,14 +87,18 @@ def write_seasons(new: DataFrame, path, first, last, order=(), season="year", fm
     stray = F.raise_error(F.concat_ws(" ", F.lit(f"season outside {first}-{last}:"), F.col(season)))
     checked = new.withColumn(season, F.when(F.col(season).between(first, last), F.col(season)).otherwise(stray))
     arrived = Observation()
-    checked = checked.observe(arrived, F.collect_set(season).alias("seasons"))
+    overwrite_arrived(checked.observe(arrived, F.collect_set(season).alias("seasons")), path, order, season, fmt)
+    drop_seasons(new.sparkSession, path, set(range(first, last + 1)) - set(arrived.get["seasons"]), season)
+    return True
+
+
+def overwrite_arrived(new: DataFrame, path, order=(), season="year", fmt="parquet") -> None:
+    """Replace exactly the seasons that have new rows."""
     by = [F.col(season), *[F.col(c).asc_nulls_last() for c in order]]
-    writer = checked.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite")
+    writer = new.repartitionByRange(*by).sortWithinPartitions(*by).write.mode("overwrite")
     if fmt == "csv":
         writer = writer.option("header", True)
     writer.partitionBy(season).option("partitionOverwriteMode", "dynamic").format(fmt).save(path)
-    drop_seasons(new.sparkSession, path, set(range(first, last + 1)) - set(arrived.get["seasons"]), season)
-    return True
 
 
 def drop_seasons(spark: SparkSession, path, seasons, season="year"):

@@ -41,13 +41,14 @@ def test_places_are_permutations(spark, scores):
 def test_own_and_later_rows_do_not_count(spark, data):
     """Features before a cutoff stay the same when everything from it on changes."""
     results, calendar, extra = race_results(spark, data), race_calendar(spark, data), race_timing(spark, data)
-    later = F.col("year") >= 2000
+    later = (F.col("year") > 1999) | ((F.col("year") == 1999) & (F.col("round") >= 6))
     changed = results.withColumns({c: F.when(later, F.col(c) * 3 + 1).otherwise(F.col(c)) for c in ("grid", "position")})
-    # timing medians and the per-driver fill reach forward, so they are not compared
+    timed = extra.withColumns({c: F.when(later, F.col(c) + 40).otherwise(F.col(c)) for c in ("avg_race_pace", "best_lap")})
     names = ["year", "round", "DriverKey", "form_grid", "form_race", "career_grid_avg", "career_race_avg",
-             "circuit_grid_skill", "circuit_race_skill", "circuit_importance"]
-    first = enrich(results, calendar, extra, (2000, 1)).where(~later)
-    second = enrich(changed, calendar, extra, (2000, 1)).where(~later)
+             "circuit_grid_skill", "circuit_race_skill", "circuit_importance", "avg_race_pace", "career_race_pace",
+             "career_best_lap", "career_pit_loss", "pace_rank_season"]
+    first = enrich(results, calendar, extra, (1999, 6)).where(~later)
+    second = enrich(changed, calendar, timed, (1999, 6)).where(~later)
     assert rows(first, *names) == rows(second, *names)
 
 

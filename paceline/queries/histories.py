@@ -68,7 +68,7 @@ def carried_type(spark, folder):
 def dense_scaled(spark, folder):
     orders = seasoned_orders(spark, folder).select("o_custkey", *ORDER, "o_totalprice", "season")
     rows = with_history(orders, ["o_custkey"], ORDER, [Career("career", "o_totalprice")])
-    rows = rows.withColumn("career", F.round("career", 2))
+    rows = rows.withColumn("career", F.round("career", 6))
     rows = dense_scaled_rank(rows, ["season"], "career", "pace_rank", rank_name="dense")
     return rows.select("o_orderkey", F.col("dense").cast("bigint"), F.round("pace_rank", 9).alias("pace_rank"))
 
@@ -165,7 +165,7 @@ select event_id, last_value(compound ignore nulls) over (partition by user_id or
     "dense_scaled": """
 with careers as (
   select o_orderkey, year(o_orderdate) as season, round(avg(o_totalprice) over (partition by o_custkey
-    order by o_orderdate, o_orderkey rows between unbounded preceding and 1 preceding), 2) as career
+    order by o_orderdate, o_orderkey rows between unbounded preceding and 1 preceding), 6) as career
   from orders),
 ranks as (
   select *, case when career is not null

@@ -19,7 +19,18 @@ from paceline.sources.tables import (
 )
 
 
-def _responses(spark, folder, list_name):
+def _order_lines(spark, folder):
+    """Orders in the shape of lines."""
+    orders, key = table(spark, folder, "orders"), F.col("o_orderkey")
+    flag = F.when(F.col("o_orderpriority") == "1-URGENT", "A").when(F.col("o_orderpriority") == "2-HIGH", "N").otherwise("R")
+    return orders.select(
+        key.alias("l_orderkey"), F.col("o_custkey").alias("l_suppkey"), F.col("o_custkey").alias("l_partkey"),
+        (1 + key % 7).alias("l_linenumber"), (key % 50).alias("l_quantity"), (key % 10 / 100).alias("l_tax"),
+        flag.alias("l_returnflag"), F.col("o_orderstatus").alias("l_linestatus"), F.col("o_orderdate").alias("l_shipdate"),
+    )
+
+
+def _responses(lines, list_name):
     """Every line as the text of a response: its race first, a second race after it."""
     line = F.struct(
         F.struct(
@@ -47,13 +58,13 @@ def _responses(spark, folder, list_name):
     month = F.month("l_shipdate").cast("string")
     races = F.array(race(month, F.array(line)), race(F.concat(month, F.lit("0")), F.array(line)))
     response = F.struct(F.struct(F.struct(races.alias("Races")).alias("RaceTable")).alias("MRData"))
-    texts = table(spark, folder, "lineitem").select("l_orderkey", F.to_json(response).alias("body"))
+    texts = lines.select("l_orderkey", F.to_json(response).alias("body"))
     return landed.parse_responses(texts, "body")
 
 
 def json_results(spark, folder):
     """Whole results per driver key; only the first race of a response counts."""
-    rows = landed.race_results(_responses(spark, folder, "Results"))
+    rows = landed.race_results(_responses(table(spark, folder, "lineitem"), "Results"))
     return rows.groupBy("DriverKey", "year", "round", "status").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum("grid").alias("grid"),
@@ -65,13 +76,13 @@ def json_results(spark, folder):
 
 
 def json_qualifying(spark, folder):
-    rows = landed.qualifying_results(_responses(spark, folder, "QualifyingResults"))
+    rows = landed.qualifying_results(_responses(_order_lines(spark, folder), "QualifyingResults"))
     return rows.groupBy("l_orderkey", "year", "round").agg(F.count("grid").alias("placed"), F.sum("grid").alias("grid"))
 
 
 def json_sprints(spark, folder):
     """Sprints from their first season on; the given lines end before it, so shift them."""
-    responses = _responses(spark, folder, "SprintResults")
+    responses = _responses(_order_lines(spark, folder), "SprintResults")
     races = F.transform(
         F.col("MRData.RaceTable.Races"),
         lambda r: r.withField("season", (r["season"].cast("int") + 23).cast("string")),
@@ -88,7 +99,7 @@ def json_sprints(spark, folder):
 
 def json_calendar(spark, folder):
     """All races of all responses, each once."""
-    rows = landed.calendar(_responses(spark, folder, "Results"))
+    rows = landed.calendar(_responses(_order_lines(spark, folder), "Results"))
     return rows.select("year", "round", "raceName", "circuitId", "date").distinct()
 
 
@@ -103,7 +114,7 @@ def json_props(spark, folder):
 def landed_files(spark, folder):
     """Responses written as files, one document per line, and read back with the fixed schema."""
     path = fresh_path(spark)
-    _responses(spark, folder, "Results").drop("l_orderkey").write.json(path)
+    _responses(table(spark, folder, "lineitem"), "Results").drop("l_orderkey").write.json(path)
     rows = landed.race_results(landed.read_responses(spark, path, one_per_line=True))
     return rows.groupBy("DriverKey").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("grid").alias("grid"), F.sum("position").alias("position")
@@ -267,6 +278,13 @@ lines as (
     cast(trunc(l_quantity) as double) as grid, l_suppkey
   from lineitem)"""
 
+ORDER_LINES = """
+order_lines as (
+  select o_orderkey as l_orderkey, o_custkey as l_suppkey, o_custkey as l_partkey, 1 + o_orderkey % 7 as l_linenumber,
+    o_orderkey % 50 as l_quantity, (o_orderkey % 10) / 100 as l_tax,
+    case o_orderpriority when '1-URGENT' then 'A' when '2-HIGH' then 'N' else 'R' end as l_returnflag,
+    o_orderstatus as l_linestatus, o_orderdate as l_shipdate from orders),""" + LINES.replace("lineitem", "order_lines")
+
 BY_SEASON = """
 old as (
   select cast(year(o_orderdate) as integer) as "year", o_orderkey, o_totalprice, o_orderstatus from orders)"""
@@ -281,15 +299,15 @@ select "DriverKey", "year", "round", status, count(*) as rows, sum(grid) as grid
   min(cast(l_suppkey as varchar)) as points
 from lines group by 1, 2, 3, 4""",
     "json_qualifying": f"""
-with {LINES}
+with {ORDER_LINES}
 select l_orderkey, "year", "round", count(pos) as placed, sum(pos) as grid from lines group by 1, 2, 3""",
     "json_sprints": f"""
-with {LINES}
+with {ORDER_LINES}
 select cast("year" + 23 as integer) as "year", status, count(*) as rows, sum(grid) as sprint_grid,
   sum(pos) as sprint_pos, sum(cast(l_suppkey as double)) as sprint_points
 from lines where "year" + 23 >= 2021 group by 1, 2""",
     "json_calendar": f"""
-with {LINES},
+with {ORDER_LINES},
 races as (
   select "year", "round", status, l_shipdate from lines
   union select "year", "round" * 10, status, l_shipdate from lines)

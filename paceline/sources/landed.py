@@ -30,8 +30,10 @@ def _entries(responses, list_name):
     """One row per entry of the first race of each response."""
     kept, races = _races(responses)
     first = responses.select(*kept, F.get(races, F.lit(0)).alias("race"))
+    # take what is needed before the explode, so that no entry carries the whole race
+    parts = first.select(*kept, "race.season", "race.round", F.col("race")[list_name].alias("entries"))
     # an outer explode, since a plain one adds a size filter that parses a text twice
-    entries = first.select(*kept, "race", F.explode_outer(F.col("race")[list_name]).alias("entry"))
+    entries = parts.select(*kept, "season", "round", F.explode_outer("entries").alias("entry"))
     return entries.where(F.col("entry").isNotNull()), kept
 
 
@@ -44,11 +46,8 @@ def _identity():
     ]
 
 
-def _when():
-    return [
-        F.col("race.season").try_cast("int").alias("year"),
-        F.col("race.round").try_cast("int").alias("round"),
-    ]
+def _when(race=""):
+    return [F.col(f"{race}season").try_cast("int").alias("year"), F.col(f"{race}round").try_cast("int").alias("round")]
 
 
 def race_results(responses: DataFrame) -> DataFrame:
@@ -91,7 +90,7 @@ def calendar(responses: DataFrame) -> DataFrame:
     each = responses.select(*kept, F.explode_outer(races).alias("race")).where(F.col("race").isNotNull())
     return each.select(
         *kept,
-        *_when(),
+        *_when("race."),
         F.col("race.raceName").alias("raceName"),
         F.col("race.Circuit.circuitId").alias("circuitId"),
         F.col("race.date").alias("date"),

@@ -45,30 +45,36 @@ def _counted_median(df, keys, column, name):
     return sized.where(holds_low | holds_high).groupBy(*keys).agg(((lower + upper) / 2).cast("double").alias(name))
 
 
-def fill_group_median(df: DataFrame, keys, columns, hot: HotGroups | None = None, of=None) -> DataFrame:
-    """Fill nulls with the group's own median; an all-null group stays null.
+def with_group_median(df: DataFrame, keys, columns, hot: HotGroups | None = None, of=None) -> DataFrame:
+    """Add, for each ``name: column``, the median of the column over the row's group.
 
     ``of`` is a condition on the rows that make the medians (say, before a cutoff).
+    Rows without a key get no median. Ordinary groups take a window, which shares the
+    shuffle of other windows on the keys; a hot group's median is looked up.
     """
     keys = list(keys)
     hot = hot_groups(df, keys) if hot is None else hot
     ordinary, huge = hot.divide(df) if hot else (df, None)
     if huge is not None:
-        for column in columns:
+        known = huge if of is None else huge.where(of)
+        for name, column in columns.items():
             # one row per hot group, and hot groups are few: the broadcast is bounded
-            known = huge if of is None else huge.where(of)
-            medians = F.broadcast(group_median(known, keys, column, "_median", hot=hot))
-            huge = huge.join(medians, keys, "left").withColumn(column, F.coalesce(column, "_median"))
-            huge = huge.select(df.columns)
-    # the window shares the partitioning of other windows on the same keys
+            huge = huge.join(F.broadcast(group_median(known, keys, column, name, hot=hot)), keys, "left")
+        huge = huge.select(*df.columns, *columns)
     ordinary, by = spread_unkeyed(ordinary, keys, hot)
-    known, group = all_present(keys), Window.partitionBy(*by)
-    used = {c: F.col(c) if of is None else F.when(of, F.col(c)) for c in columns}
-    filled = {c: F.coalesce(F.col(c), F.when(known, F.median(used[c]).over(group))) for c in columns}
-    ordinary = ordinary.withColumns(filled).drop(SPREAD)
+    keyed, group = all_present(keys), Window.partitionBy(*by)
+    used = {n: F.col(c) if of is None else F.when(of, F.col(c)) for n, c in columns.items()}
+    ordinary = ordinary.withColumns({n: F.when(keyed, F.median(c).over(group)) for n, c in used.items()}).drop(SPREAD)
     return ordinary if huge is None else ordinary.unionByName(huge)
 
 
+def fill_group_median(df: DataFrame, keys, columns, hot: HotGroups | None = None, of=None) -> DataFrame:
+    """Fill nulls with the group's own median; an all-null group stays null."""
+    names = {f"_median_{c}": c for c in columns}
+    filled = {c: F.coalesce(c, name) for name, c in names.items()}
+    return with_group_median(df, keys, names, hot, of).withColumns(filled).drop(*names)
+
+
 def fill_global_median(df: DataFrame, columns, otherwise=0.0, of: DataFrame | None = None, rows=None) -> DataFrame:
     """Fill nulls with the whole table's median, or ``otherwise`` if it has none.
 

@@ -133,17 +133,21 @@ class Ordinal:
 
 @dataclass(frozen=True)
 class Carried:
-    """Forward fill: the last non-null ``column`` up to and with the current row."""
+    """Forward fill: the last non-null ``column`` up to the current row, or before it."""
 
     name: str
     column: str
     order: tuple
+    own: bool = True
     fill: float | None = None
     reach = 0
     running = True
 
+    def _frame(self, window):
+        return window.rowsBetween(Window.unboundedPreceding, 0) if self.own else _before(window)
+
     def over(self, window):
-        return F.last(self.column, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0))
+        return F.last(self.column, ignorenulls=True).over(self._frame(window))
 
     def totals(self):
         place = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in self.order])
@@ -155,8 +159,7 @@ class Carried:
 
     def local(self, window, own):
         value = F.when(own, F.col(self.column))
-        here = F.last(value, ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, 0))
-        return {f"{self.name}_seen_here": here}
+        return {f"{self.name}_seen_here": F.last(value, ignorenulls=True).over(self._frame(window))}
 
     def joined(self):
         return F.coalesce(F.col(f"{self.name}_seen_here"), F.col(f"{self.name}_seen"))

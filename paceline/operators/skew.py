@@ -71,7 +71,7 @@ class HotGroups:
         Later steps filter on the mark. In the ordinary part it is a constant that
         Spark folds, so a step does not compute one part to find the other.
         """
-        if not self or MARK in df.columns:
+        if not self or not self.keys or MARK in df.columns:
             return df
         ordinary, huge = self.divide(df)
         return ordinary.withColumn(MARK, F.lit(False)).unionByName(durable(huge.withColumn(MARK, F.lit(True))))

@@ -132,7 +132,7 @@ filled as (
 marked as (
   select *, lag(compound) over (partition by user_id order by ts, event_id) as last_ from filled)
 select user_id, greatest(count(*) filter (compound is distinct from last_) - 1, 0) as compound_changes
-from marked group by user_id having count(compound) > 0"""
+from marked group by user_id"""
 
 SQL = {
     "lap_features": f"with {EVENT_LAPS}, {_pace_sql('user_id')} select * from paces",

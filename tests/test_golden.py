@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paceline.functions import scalars
 from paceline.operators.catalog import find_races, grid_input, with_display_name
-from paceline.operators.grouped import correlation_by, fill_group_median, last_wins
+from paceline.operators.grouped import correlation_by, fill_group_median, global_medians, group_median, last_wins
 from paceline.operators.history import Career, Carried, Recent, with_history
 from paceline.operators.joins import as_of_cutoff, sprint_features, with_circuit, with_sprint
 from paceline.operators.laps import compound_changes, lap_seconds, pace, stints, timing_features
@@ -238,4 +238,10 @@ def test_display_name_and_grid(spark):
 
 def test_compound_changes_without_any_compound(spark):
     laps = spark.createDataFrame([("d", 1, None)], "d string, lap_number int, Compound string")
-    assert compound_changes(laps, ["d"], ["lap_number"]).isEmpty()
+    assert rows(compound_changes(laps, ["d"], ["lap_number"])) == [("d", 0)]
+
+
+def test_approximate_medians(spark):
+    df = spark.range(1, 1002).select(F.col("id").cast("double").alias("v"), (F.col("id") % 2).alias("k"))
+    assert global_medians(df, ["v"], approx=True) == {"v": 501.0}
+    assert rows(group_median(df, ["k"], "v", "m", approx=True)) == [(0, 500.0), (1, 501.0)]

@@ -23,6 +23,15 @@ def test_one_shuffle_for_all_histories(spark, data):
     assert exchanges == ["year", ENTITY]  # the season ranks, and everything by entity
 
 
+def test_laps_are_shuffled_once(spark, data):
+    text = plan(all_queries()["timing_rows"](spark, data))
+    scans = text.split("+- FileScan parquet")
+    assert len(scans) == 3  # all laps for median and compounds, and for the stint aggregates
+    shuffled = re.findall(r"Exchange hashpartitioning\((.*?), 4\)", text)
+    names = [re.findall(r"(\w+)#", s) for s in shuffled]
+    assert names == [["user_id"], ["user_id"], ["user_id", "_groupingexpression"]]  # the second one moves stints
+
+
 def test_no_python_and_no_products(spark, data):
     for name, query in all_queries().items():
         if not name.startswith("rf_"):

@@ -47,6 +47,7 @@ FEATURES = [
     Career("career", "v"),
     Previous("last", "c"),
     Carried("carried", "c", ("season", "seq")),
+    Carried("before", "c", ("season", "seq"), own=False),
     Ordinal("place"),
 ]
 

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paceline.functions.scalars import before, finished
-from paceline.operators.catalog import choose_entries, participants, with_display_name
+from paceline.operators.catalog import choose_entries, find_races, participants, with_display_name
 from paceline.operators.grouped import global_medians
 from paceline.operators.joins import RACE, as_of_cutoff, as_of_previous
 from paceline.operators.ranking import encode_labels, finishing_order, label_index, label_side
 from paceline.plans.features import ENTITY, ORDER, PACE, enrich
+from paceline.plans.load import load_facts, read_stored
 from paceline.plans.models import ForestSettings, TwoStage, score, train
 from paceline.session import durable
 from paceline.sources.tables import read_race
@@ -161,3 +162,18 @@ def walk_forward(results, seasons, calendar=None, extra=None, settings=None, fre
             placed = rank(score(models, rows, use_real)).withColumn("mode", F.lit(mode))
             out = placed if out is None else out.unionByName(placed)
     return out
+
+
+def forecast_by_name(spark, folder, name, season, use_real_grid=False, settings=None, fmt="parquet"):
+    """Forecast the race whose name matches, from the stored tables.
+
+    None where no results are stored or the season has no such race.
+    """
+    facts, calendar = load_facts(spark, folder, fmt), read_stored(spark, folder, "calendar", fmt)
+    if facts is None or calendar is None:
+        return None
+    race = find_races(calendar, name).where(F.col("year") == season).first()
+    if race is None:
+        return None
+    extra, latest = (read_stored(spark, folder, t, fmt) for t in ("extra", "latest_qualifying"))
+    return forecast(facts, season, race["round"], calendar, extra, use_real_grid, latest, settings=settings)

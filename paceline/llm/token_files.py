@@ -86,9 +86,8 @@ class Encoder:
         split = [pieces_of(t) for t in texts]
         known = self.known
         new = list({p for pieces in split for p in pieces}.difference(known))
-        if len(known) + len(new) > CACHE_PIECES:
-            known.clear()
-            new = list({p for pieces in split for p in pieces})
+        if len(known) + len(new) > CACHE_PIECES:  # keep what these texts need again
+            known = self.known = {p: known[p] for pieces in split for p in pieces if p in known}
         for piece, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
             known[piece] = np.array(got.ids, dtype="<u4").tobytes()
         out = [b"".join(map(known.__getitem__, pieces)) for pieces in split]

@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 from paceline.llm.batches import without
 from paceline.session import durable, fresh_path
 
-DISK_STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+#: State on disk. A store is closed after each commit: an open one reserves megabytes of each executor's disk.
+DISK_STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+}
 #: Files that one micro-batch reads.
 BATCH_FILES = 10_000
 #: Hits are broadcast as (locator, locator) pairs up to this many rows; beyond it they are joined by shuffle.

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from paceline.llm import bpe, chat, decontaminate, sharding, stream_dedup, token_files
+from paceline.llm import bpe, chat, decontaminate, quality, sharding, stream_dedup, token_files
 from paceline.session import durable, fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -54,6 +54,14 @@ def op6_exact_dedup(spark, folder):
     return stream_dedup.exact_dedup(docs).drop("text")
 
 
+def op8_quality(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op9_token_files(spark, folder):
     docs = table(spark, folder, "documents")
     files = fresh_path(spark)
@@ -74,7 +82,7 @@ def op10_feistel_shards(spark, folder):
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_chat, op4_decontaminate, op6_exact_dedup, op9_token_files, op10_feistel_shards)}
+QUERIES = {f.__name__: f for f in (op2_bpe, op3_chat, op4_decontaminate, op6_exact_dedup, op8_quality, op9_token_files, op10_feistel_shards)}
 
 SQL = {
     "op4_decontaminate": r"""

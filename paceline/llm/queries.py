@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from paceline.llm import bpe, chat, decontaminate, quality, sharding, stream_dedup, token_files
+from paceline.llm import bpe, chat, decontaminate, ngram_join, quality, sharding, stream_dedup, token_files
 from paceline.session import durable, fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -19,6 +19,10 @@ def tokenizer_path():
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_ngram_join(spark, folder):
+    return ngram_join.similarity_groups(table(spark, folder, "documents"))
+
+
 def op2_bpe(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     ids = bpe.encode(docs, tokenizer_path()).select("doc_id", "ids")
@@ -82,7 +86,7 @@ def op10_feistel_shards(spark, folder):
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe, op3_chat, op4_decontaminate, op6_exact_dedup, op8_quality, op9_token_files, op10_feistel_shards)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_chat, op4_decontaminate, op6_exact_dedup, op8_quality, op9_token_files, op10_feistel_shards)}
 
 SQL = {
     "op4_decontaminate": r"""

@@ -3,12 +3,9 @@
 The words that a slice of a partition brings and that are not known yet are laid out in one
 sequence of symbols. An index maps every mergeable pair to all its positions there. The
 active rank that is lowest is applied at all its positions at once; each merge touches only
-the lists of the pairs beside it. Normalisation and splitting follow the tokenizer's file.
+the lists of the pairs beside it.
 """
 
-import json
-import os
-import re
 from heapq import heappop, heappush
 
 import numpy as np
@@ -17,17 +14,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paceline.llm.batches import slices, with_columns, without
+from paceline.llm.words import TextIds
 
 #: Bytes of text whose new words are merged together.
 SLICE = 4_000_000
-#: Words and pieces of text a worker remembers; the memory is dropped when it is full.
-KNOWN = 500_000
-KNOWN_CHARS = 64
-#: White space to str.split() but not to the tokenizer.
-ODD_SPACE = re.compile("[\x1c-\x1f]")
-#: Fixed value: the tokenizer's rule for words, and what it comes to for printable ASCII in lower case.
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-PLAIN = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+")
 
 
 class PairIndex:
@@ -113,75 +103,19 @@ class PairIndex:
         return out
 
 
-class Codec:
-    """Encodes and decodes texts as the tokenizer file says, without special tokens added."""
-
-    shared = {}
-
-    @classmethod
-    def of(cls, path):
-        """The codec of this Python worker, with what it knows from earlier tasks."""
-        if path not in cls.shared:
-            cls.shared[path] = cls(path)
-        return cls.shared[path]
+class Codec(TextIds):
+    """Encodes texts with the pair index, and decodes ids, as the tokenizer file says."""
 
     def __init__(self, path):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
-        from tokenizers import Tokenizer
-
-        with open(path, encoding="utf-8") as file:
-            content = json.load(file)
-        rules = Tokenizer.from_file(path)
-        self.normalize, self.split = rules.normalizer.normalize_str, rules.pre_tokenizer.pre_tokenize_str
-        self.index = PairIndex(content["model"])
-        self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
-        if content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] != SPLIT:
-            raise ValueError("a tokenizer with other rules for splitting")
-        self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
+        super().__init__(path)
+        self.index = PairIndex(self.content["model"])
         names = {**self.index.ids, **self.special}
         self.names = [""] * (max(names.values()) + 1)
         for name, number in names.items():
             self.names[number] = name
-        self.words, self.pieces = {}, {}
-
-    def _words(self, piece):
-        """The words of a piece of text, and the ids of special tokens as they stand in it."""
-        if piece.isascii() and piece.isprintable() and "<" not in piece:  # what the rules come to for plain characters
-            return PLAIN.findall(piece.lower())
-        words = []
-        for part in self.marks.split(piece):
-            if part in self.special:
-                words.append(self.special[part])
-            elif part:
-                words += [word for word, _ in self.split(self.normalize(part))]
-        return words
-
-    def encode(self, texts):
-        """Ids of each text, as bytes of 32-bit integers.
-
-        White space is dropped by the tokenizer and separates words, so texts are cut there
-        and every distinct piece is worked on once.
-        """
-        cut = [t.split(" ") if ODD_SPACE.search(t) else t.split() for t in texts]
-        new = {p for pieces in cut for p in pieces}.difference(self.pieces)
-        if len(self.pieces) + len(new) > KNOWN:  # keep what this slice needs again
-            self.pieces = {p: self.pieces[p] for pieces in cut for p in pieces if p in self.pieces}
-        split = {p: self._words(p) for p in new}
-        unknown = list({w for words in split.values() for w in words if isinstance(w, str)}.difference(self.words))
-        if len(self.words) + len(unknown) > KNOWN:
-            self.words = {w: self.words[w] for words in split.values() for w in words if w in self.words}
-        for word, ids in zip(unknown, self.index.encode(unknown)):
-            self.words[word] = np.array(ids, dtype="<i4").tobytes()
-        for piece, words in split.items():
-            self.pieces[piece] = b"".join(
-                self.words[w] if isinstance(w, str) else np.int32(w).tobytes() for w in words
-            )
-        out = [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in cut]
-        for known, names in ((self.pieces, new), (self.words, unknown)):
-            for name in names:
-                if len(name) > KNOWN_CHARS:
-                    known.pop(name, None)
-        return out
+
+    def word_ids(self, words):
+        return self.index.encode(words)
 
     def decode(self, ids):
         """The text of ids; the tokenizer has no decoder, so tokens are joined by a space."""

@@ -14,8 +14,6 @@ Layout of a file:
 Checksums are the lower 32 bits of xxhash64 over the decompressed bytes of a frame.
 """
 
-import os
-import re
 import struct
 import uuid
 from dataclasses import dataclass
@@ -31,6 +29,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from paceline.llm.batches import free_name, slices
+from paceline.llm.words import TextIds
 from paceline.session import durable, fresh_path
 
 #: Fixed values of the published seekable format.
@@ -40,61 +39,16 @@ ENTRY = np.dtype([("key", "<i8"), ("has_key", "<u1"), ("frame", "<u4"), ("frames
 FRAME_IDS = 1 << 20
 LEVEL = 3
 END_ID = 2
-#: Distinct pieces of text whose ids a task keeps; the memory is dropped when it is full.
-CACHE_PIECES = 300_000
-CACHE_PIECE_CHARS = 64
 MANIFEST = "part int, path string, documents long, tokens long, bytes long"
 FOUND = "part int, place long, doc_id long, n_tokens long, ids_crc32 long, ids binary"
 
 
-#: White space to str.split() but not to the tokenizers library.
-ODD_SPACE = re.compile("[\x1c-\x1f]")
+class Encoder(TextIds):
+    """Ids of whole texts by the tokenizers library, which is asked once for each distinct word."""
 
-
-def pieces_of(text):
-    """The text cut at white space. A cut too few costs time only, a cut inside a word would change ids."""
-    return text.split(" ") if ODD_SPACE.search(text) else text.split()
-
-
-class Encoder:
-    """Ids of whole texts by the tokenizers library, which is asked once for each distinct piece.
-
-    The tokenizer must treat pieces between white space on their own, as one that drops white
-    space does; then the ids of a text are those of its pieces in a row.
-    """
-
-    shared = {}
-
-    @classmethod
-    def of(cls, path):
-        """The encoder of this Python worker, with what it knows from earlier tasks."""
-        if path not in cls.shared:
-            cls.shared[path] = cls(path)
-        return cls.shared[path]
-
-    def __init__(self, path):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.known = {}
-
-    def __call__(self, texts):
-        """The ids of each text as bytes."""
-        split = [pieces_of(t) for t in texts]
-        known = self.known
-        new = list({p for pieces in split for p in pieces}.difference(known))
-        if len(known) + len(new) > CACHE_PIECES:  # keep what these texts need again
-            known = self.known = {p: known[p] for pieces in split for p in pieces if p in known}
-        for piece, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            known[piece] = np.array(got.ids, dtype="<u4").tobytes()
-        out = [b"".join(map(known.__getitem__, pieces)) for pieces in split]
-        for piece in new:
-            if len(piece) > CACHE_PIECE_CHARS:
-                del known[piece]
-        return out
+    def word_ids(self, words):
+        tokenize = self.tokenizer.model.tokenize
+        return [[t.id for t in tokenize(w)] for w in words]
 
 
 @dataclass
@@ -180,7 +134,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key="doc_id"
         store, base = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
         store.create_dir(base, recursive=True)
         name, own = f"{base}/part-{part:06d}.ids.zst", f"{base}/.{uuid.uuid4().hex}"
-        encode, writer, out = Encoder.of(tokenizer), None, None
+        encode, writer, out = Encoder.of(tokenizer).encode, None, None
         end = struct.pack("<I", end_id)
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()

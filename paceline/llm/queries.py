@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from paceline.llm import bpe, chat, decontaminate, ngram_join, quality, secret_scan, sharding, stream_dedup, token_files
+from paceline.llm import bpe, chat, decontaminate, ngram_join, pii, quality, secret_scan, sharding, stream_dedup, token_files
 from paceline.session import durable, fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -62,6 +62,10 @@ def op6_exact_dedup(spark, folder):
     return stream_dedup.exact_dedup(docs).drop("text")
 
 
+def op7_pii(spark, folder):
+    return pii.summary(pii.scan(table(spark, folder, "documents")))
+
+
 def op8_quality(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, folder, "labels"))
@@ -90,7 +94,7 @@ def op10_feistel_shards(spark, folder):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_chat, op4_decontaminate, op5_secrets, op6_exact_dedup, op8_quality, op9_token_files, op10_feistel_shards)}
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_chat, op4_decontaminate, op5_secrets, op6_exact_dedup, op7_pii, op8_quality, op9_token_files, op10_feistel_shards)}
 
 SQL = {
     "op4_decontaminate": r"""

@@ -1,8 +1,57 @@
-"""A corpus pipeline out of the operators of ``paceline.llm``."""
+"""A corpus pipeline out of the operators of ``paceline.llm``.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept. All but the
+last keep the columns of ``documents``; the last one returns ids.
+"""
+
+from pyspark.sql import functions as F
+
+from paceline.llm import bpe, decontaminate, ngram_join, quality, stream_dedup
+from paceline.llm.queries import digests, table, tokenizer_path
+from paceline.session import durable
+
+
+def good_quality(spark, docs, sf_dir):
+    """Documents whose quality score reaches the threshold."""
+    return quality.good(docs, table(spark, sf_dir, "labels"))
+
+
+def distinct_texts(spark, docs, sf_dir):
+    """One document of each set of texts that are equal but for white space."""
+    return stream_dedup.kept_rows(docs)
+
+
+def distinct_ngrams(spark, docs, sf_dir):
+    """One document of each group of near copies."""
+    return ngram_join.one_of_each(docs)
+
+
+def uncontaminated(spark, docs, sf_dir):
+    """Documents in which no window of a benchmark item occurs."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoded(spark, docs, sf_dir):
+    """Ids of every text, and digests of the ids and of what they decode to."""
+    ids = bpe.encode(docs, tokenizer_path()).select("doc_id", "lang", "source", "ids")
+    decoded = bpe.decode(ids, tokenizer_path())
+    return digests(decoded, F.col("lang"), F.col("source"), F.col("ids"))
+
+
+STAGES = [
+    ("quality classifier", good_quality),
+    ("exact dedup", distinct_texts),
+    ("n-gram Jaccard join", distinct_ngrams),
+    ("benchmark decontamination", uncontaminated),
+    ("BPE encoding and decoding", encoded),
+]
+#: A trained classifier and a BPE are beyond SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The rows of the last stage over ``documents``; every stage's rows are written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        docs = durable(stage(spark, docs, sf_dir))
+    return docs

@@ -29,11 +29,11 @@ def op2_bpe(spark, folder):
     return digests(bpe.decode(ids, tokenizer_path()))
 
 
-def digests(decoded):
+def digests(decoded, *more):
     listed = F.array_join(F.col("ids").cast("array<string>"), " ")
     return decoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"), *more,
     )
 
 

@@ -34,6 +34,7 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 SETS = f"node long, n_shingles long, digest binary, signature array<tinyint>, part int, counts binary"
 MAX_ROUNDS = 100
+SHORT_LIST = 16
 
 
 class WordHashes(dict):
@@ -133,7 +134,7 @@ def rarity(described: DataFrame):
 
 
 def prefixes(docs: DataFrame, grades, size=WORDS, percent=PERCENT) -> DataFrame:
-    """(n-gram, node, place) of every n-gram in a prefix that more than one node has.
+    """(n-gram, node, place) of every n-gram in a prefix that nodes which may be similar share.
 
     Entries travel packed by range of the n-gram; equal sets within a task travel once.
     """
@@ -146,7 +147,7 @@ def prefixes(docs: DataFrame, grades, size=WORDS, percent=PERCENT) -> DataFrame:
         for batch in batches:
             nodes = batch.column("node").to_pylist()
             for first, texts in slices(batch, "text"):
-                keys, owners, places = [], [], []
+                keys, owners, places, sizes = [], [], [], []
                 for node, text in zip(nodes[first:], texts):
                     found = shingles(text, known, size)
                     digest = xxhash.xxh3_128_digest(found.tobytes())
@@ -159,34 +160,57 @@ def prefixes(docs: DataFrame, grades, size=WORDS, percent=PERCENT) -> DataFrame:
                     keys.append(found[order])
                     owners.append(np.full(count, node, dtype=np.int64))
                     places.append(np.arange(count, dtype=np.int32))
+                    sizes.append(np.full(count, len(found), dtype=np.int32))
                 if not keys:
                     continue
-                keys, owners, places = np.concatenate(keys), np.concatenate(owners), np.concatenate(places)
+                keys, owners, places, sizes = (np.concatenate(x) for x in (keys, owners, places, sizes))
                 piece = (keys // width).astype(np.int64)
                 order = np.argsort(piece, kind="stable")
                 listed, starts = np.unique(piece[order], return_index=True)
-                cut = [np.split(x[order], starts[1:]) for x in (keys, owners, places)]
+                cut = [np.split(x[order], starts[1:]) for x in (keys, owners, places, sizes)]
                 columns = [pa.array(listed.astype(np.int32))] + [pa.array([p.tobytes() for p in x], pa.binary()) for x in cut]
-                yield pa.RecordBatch.from_arrays(columns, names=["piece", "keys", "nodes", "places"])
+                yield pa.RecordBatch.from_arrays(columns, names=["piece", "keys", "nodes", "places", "sizes"])
 
     def unpack(batches):
         held = {}
         for batch in batches:
             for row in batch.to_pylist():
-                held.setdefault(row["piece"], []).append((row["keys"], row["nodes"], row["places"]))
+                held.setdefault(row["piece"], []).append((row["keys"], row["nodes"], row["places"], row["sizes"]))
         for rows in held.values():
-            keys, nodes, places = (np.frombuffer(b"".join(r[k] for r in rows), dtype=t) for k, t in enumerate(("<u8", "<i8", "<i4")))
-            _, at, counts = np.unique(keys, return_inverse=True, return_counts=True)
-            alive = np.flatnonzero(counts[at] > 1)
+            keys, nodes, places, sizes = (
+                np.frombuffer(b"".join(r[k] for r in rows), dtype=t) for k, t in enumerate(("<u8", "<i8", "<i4", "<i4"))
+            )
+            order = np.argsort(keys, kind="stable")
+            keys, nodes, places, sizes = keys[order], nodes[order], places[order], sizes[order]
+            alive = np.flatnonzero(with_partner(keys, places, sizes, percent))
             for k in range(0, len(alive), 50_000):
                 some = alive[k : k + 50_000]
                 columns = [pa.array(keys[some].view(np.int64)), pa.array(nodes[some]), pa.array(places[some])]
                 yield pa.RecordBatch.from_arrays(columns, names=["ngram", "member", "place"])
 
-    packed = docs.mapInArrow(pack, "piece int, keys binary, nodes binary, places binary")
+    packed = docs.mapInArrow(pack, "piece int, keys binary, nodes binary, places binary, sizes binary")
     return packed.repartition(pieces, "piece").mapInArrow(unpack, "ngram long, member long, place int")
 
 
+def with_partner(keys, places, sizes, percent=PERCENT):
+    """Which entries (sorted by key) have another one in their list that length and place leave possible.
+
+    Lists of up to SHORT_LIST entries are gone through; in longer ones every entry stays.
+    """
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
+    lengths = np.diff(np.append(starts, len(keys)))
+    alive = np.repeat(lengths > SHORT_LIST, lengths)
+    sizes, rest = sizes.astype(np.int64), (sizes - places).astype(np.int64)
+    for k in range(1, SHORT_LIST):
+        near, far = slice(None, -k), slice(k, None)
+        fits = keys[near] == keys[far]
+        fits &= np.minimum(sizes[near], sizes[far]) * 100 >= np.maximum(sizes[near], sizes[far]) * percent
+        fits &= np.minimum(rest[near], rest[far]) * (100 + percent) >= (sizes[near] + sizes[far]) * percent
+        alive[near] |= fits
+        alive[far] |= fits
+    return alive
+
+
 def candidates(pairs: DataFrame, percent=PERCENT) -> DataFrame:
     """Distinct pairs (a, b), a < b, that pass the three filters.
 

@@ -302,6 +302,7 @@ def joined(docs: DataFrame, size=WORDS, percent=PERCENT) -> DataFrame:
     described = durable(describe(docs, size))
     sets = described.where(F.col("part").isNull()).drop("part", "counts")
     classes = sets.where("n_shingles > 0").groupBy("n_shingles", "digest").agg(F.min("node").alias("class"), F.first("signature").alias("signature"))
+    classes = durable(classes)  # else the join reuses its partitions, and a set that many documents have can't be split
     members = sets.select("node", "n_shingles", "digest").join(classes, ["n_shingles", "digest"], "left")
     members = durable(members.select("node", "n_shingles", F.coalesce("class", "node").alias("class"), "signature"))
 

@@ -4,7 +4,7 @@ import sys
 import unicodedata
 from functools import lru_cache
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: a row counts as a finish when its status contains one of these.
@@ -78,6 +78,12 @@ def finite_or_null(value) -> Column:
     return F.when(~F.isnan(_col(value)), _col(value))
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """The frame with NaN as null in every column of floating-point numbers."""
+    numbers = [f.name for f in df.schema if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: finite_or_null(c) for c in numbers}) if numbers else df
+
+
 def seconds(duration) -> Column:
     """Day-time interval to seconds."""
     return _col(duration).cast("interval second").cast("decimal(18,6)").cast("double")

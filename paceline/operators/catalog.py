@@ -3,12 +3,13 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paceline import schemas
 from paceline.functions.scalars import name_matches, title_key
 from paceline.operators.grouped import distinct_rows, last_wins
 from paceline.operators.skew import lookup_side
 from paceline.sources.tables import has_race, read_race
 
-QUALIFYING_COLUMNS = ["DriverKey", "DriverName", "Team", "grid", "year", "round"]
+QUALIFYING_COLUMNS = [field.split()[0] for field in schemas.QUALIFYING.split(",")]
 
 
 def find_races(calendar: DataFrame, pattern, order=("year", "round")) -> DataFrame:
@@ -50,7 +51,12 @@ def grid_input(predicted, real, use_real):
 
 
 def with_display_name(rows: DataFrame, names: DataFrame, order, entity="DriverKey", name="DriverName") -> DataFrame:
-    """Name from the history (last one wins), else the row's own, else the key in title case."""
+    """Name from the history (last one wins), else the row's own, else the key in title case.
+
+    Only the history of the rows' entities is looked through.
+    """
+    wanted = lookup_side(rows.select(entity).distinct())
+    names = names.join(wanted, entity, "left_semi")
     known = last_wins(names.where(F.col(name).isNotNull()), [entity], [name], order)
     side = lookup_side(known.withColumnRenamed(name, "_known"))
     own = [F.col(name)] if name in rows.columns else []

@@ -121,10 +121,14 @@ def correlation_by(df: DataFrame, key, x, y, name, fill=0.5) -> DataFrame:
     return df.groupBy(key).agg(F.coalesce(guarded_corr(x, y), F.lit(fill)).alias(name))
 
 
+def in_stored_order(order):
+    """A struct that sorts as the columns do, nulls last."""
+    return F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])
+
+
 def last_wins(df: DataFrame, keys, values, order) -> DataFrame:
     """One row per key: the values of the row that is last in ``order``."""
-    place = F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])
-    row = F.max_by(F.struct(*values), place).alias("_row")
+    row = F.max_by(F.struct(*values), in_stored_order(order)).alias("_row")
     return df.groupBy(*keys).agg(row).select(*keys, "_row.*")
 
 

@@ -189,9 +189,13 @@ def with_history(df: DataFrame, keys, order, features, hot: HotGroups | None = N
         out = _by_window(df, keys, order, features, hot)
     else:
         ordinary, huge = hot.divide(df)
-        out = _by_ranges(huge, keys, order, features, hot)
+        out = _by_ranges(huge.where(all_present(keys)), keys, order, features, hot)
         if ordinary is not None:
             out = _by_window(ordinary, keys, order, features, hot).unionByName(out)
+        if keys:
+            # rows of a hot group may lack a finer key: they are in no group, and never share a task
+            nulls = {f.name: F.lit(None).cast(out.schema[f.name].dataType) for f in features}
+            out = out.unionByName(huge.where(~all_present(keys)).withColumns(nulls))
     filled = {f.name: F.coalesce(F.col(f.name), F.lit(f.fill)) for f in features if f.fill is not None}
     return out.withColumns(filled) if filled else out
 
@@ -200,7 +204,7 @@ def _by_window(df, keys, order, features, hot):
     df, by = spread_unkeyed(df, keys, hot)
     window = Window.partitionBy(*by).orderBy(*_ascending(order))
     known = all_present(keys)
-    added = {f.name: F.when(known, f.over(window)) if hot.unkeyed else f.over(window) for f in features}
+    added = {f.name: F.when(known, f.over(window)) for f in features}
     return df.withColumns(added).drop(SPREAD)
 
 

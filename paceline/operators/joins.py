@@ -4,7 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paceline.functions.scalars import before
-from paceline.operators.history import Previous, with_history
+from paceline.operators.grouped import in_stored_order
+from paceline.operators.history import Carried, Previous, with_history
+from paceline.operators.skew import all_present, lookup_side
 
 RACE = ("year", "round")
 
@@ -73,11 +75,15 @@ def as_of_cutoff(history: DataFrame, targets: DataFrame, entity, season, seq, cu
     """Each target entity with the stats of its last row strictly before a cutoff.
 
     ``stats`` maps a column to its default, used where the entity has no earlier row
-    or the last one is null (it does not look further back). One aggregate; no window.
+    or the last one is null (it does not look further back). Of several rows of its last
+    race the one that is last by ``tie``, nulls last, counts. One aggregate over the
+    history of the targets; no window.
     """
-    place = F.struct(season, seq, *tie)
+    place = in_stored_order([season, seq, *tie])
+    wanted = lookup_side(targets.select(entity).distinct())
     last = (
         history.where(before(season, seq, cutoff))
+        .join(wanted, entity, "left_semi")
         .groupBy(entity)
         .agg(F.max_by(F.struct(*stats), place).alias("_last"))
     )
@@ -86,11 +92,23 @@ def as_of_cutoff(history: DataFrame, targets: DataFrame, entity, season, seq, cu
     return joined.select(*[c for c in targets.columns if c not in stats], *filled)
 
 
-def as_of_previous(rows: DataFrame, entity, order, stats, hot=None) -> DataFrame:
-    """Every row with the stats of the entity's row before it, all races in one pass."""
-    packed = rows.withColumn("_stats", F.struct(*stats))
-    packed = with_history(packed, [entity], order, [Previous("_last", "_stats")], hot)
-    filled = [F.coalesce(F.col(f"_last.{c}"), _default(v)).alias(c) for c, v in stats.items()]
+def as_of_previous(rows: DataFrame, entity, order, stats, race=None, hot=None) -> DataFrame:
+    """Every row with the stats of the entity's last row strictly before its race, all races in one pass.
+
+    ``race`` are the leading columns of ``order`` that name the race (all of them, if not
+    given). An entity may have several rows in a race: they all get what the last row of
+    the race before holds, as in ``as_of_cutoff``. A row without a race has nothing before it.
+    """
+    race = list(race or order)
+    packed = rows.withColumns({"_stats": F.struct(*stats), "_race": F.struct(*race)})
+    seen = [Previous("_before", "_stats"), Previous("_race_before", "_race")]
+    packed = with_history(packed, [entity], order, seen, hot)
+    # the first row of a race knows the row before the race; the others of the race take it from there
+    first = ~F.col("_race").eqNullSafe(F.col("_race_before"))
+    packed = packed.withColumn("_start", F.when(first, F.struct(F.col("_before"))))
+    packed = with_history(packed, [entity], order, [Carried("_kept", "_start", tuple(order))], hot)
+    known = all_present(race)
+    filled = [F.coalesce(F.when(known, F.col(f"_kept._before.{c}")), _default(v)).alias(c) for c, v in stats.items()]
     return packed.select(*[c for c in rows.columns if c not in stats], *filled)
 
 

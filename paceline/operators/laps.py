@@ -8,7 +8,7 @@ first and numbered afterwards, so numbering sees stints and not laps.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.functions.scalars import at_zero, seconds
+from paceline.functions.scalars import at_zero, seconds, without_nan
 from paceline.operators.grouped import with_group_median
 from paceline.operators.history import Carried, with_history
 from paceline.operators.ranking import number_rows
@@ -20,9 +20,9 @@ STORED_STINTS = 3
 
 
 def lap_seconds(laps: DataFrame) -> DataFrame:
-    """Landed laps with durations as seconds and pit times as a flag."""
+    """Landed laps with durations as seconds and pit times as a flag; NaN stints count as unknown."""
     pit = F.col("PitInTime").isNotNull() | F.col("PitOutTime").isNotNull()
-    return laps.select(
+    return without_nan(laps).select(
         *[c for c in laps.columns if c not in ("LapTime", "PitInTime", "PitOutTime")],
         seconds("LapTime").alias("lap"),
         pit.alias("pit"),

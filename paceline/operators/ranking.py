@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paceline.operators.history import Ordinal, with_history
-from paceline.operators.skew import HotGroups, hot_groups, lookup_side
+from paceline.operators.history import SPREAD, Ordinal, spread_unkeyed, with_history
+from paceline.operators.skew import HotGroups, all_present, hot_groups, lookup_side
 from paceline.session import durable
 
 
@@ -16,13 +16,13 @@ def number_rows(df: DataFrame, keys, order, name, hot: HotGroups | None = None)
 def dense_scaled_rank(df: DataFrame, keys, value, name, fill=0.5, rank_name=None, hot=None) -> DataFrame:
     """Dense rank of ``value`` within ``keys`` divided by the group's largest rank.
 
-    Null values are not ranked and get ``fill``. With a hot group the distinct
+    Null values and rows with a null key are not ranked and get ``fill``. With a hot group the distinct
     (group, value) pairs are ranked instead of the rows, and joined back; the rows are
     needed twice for that, so they are written once.
     """
     keys = list(keys)
     hot = hot_groups(df, keys) if hot is None else hot
-    ranked = _ranked_pairs(durable(df), keys, value) if hot else _ranked_rows(df, keys, value)
+    ranked = _ranked_pairs(durable(df), keys, value) if hot else _ranked_rows(df, keys, value, hot)
     scaled = F.coalesce(F.col("_rank").cast("double") / F.col("_top"), F.lit(float(fill)))
     out = ranked.withColumn(name, scaled)
     if rank_name:
@@ -30,14 +30,16 @@ def dense_scaled_rank(df: DataFrame, keys, value, name, fill=0.5, rank_name=None
     return out.drop("_rank", "_top")
 
 
-def _ranked_rows(df, keys, value):
-    group = Window.partitionBy(*keys)
-    ranked = F.when(F.col(value).isNotNull(), F.dense_rank().over(group.orderBy(F.col(value).asc_nulls_last())))
-    return df.withColumn("_rank", ranked).withColumn("_top", F.max("_rank").over(group))
+def _ranked_rows(df, keys, value, hot):
+    df, by = spread_unkeyed(df, keys, hot)
+    group = Window.partitionBy(*by)
+    ranked = F.dense_rank().over(group.orderBy(F.col(value).asc_nulls_last()))
+    ranked = F.when(all_present([*keys, value]), ranked)
+    return df.withColumn("_rank", ranked).withColumn("_top", F.max("_rank").over(group)).drop(SPREAD)
 
 
 def _ranked_pairs(df, keys, value):
-    pairs = df.where(F.col(value).isNotNull()).select(*keys, value).distinct()
+    pairs = df.where(all_present([*keys, value])).select(*keys, value).distinct()
     ranked = number_rows(pairs, keys, [value], "_rank")
     tops = ranked.groupBy(*keys).agg(F.max("_rank").alias("_top"))
     ranked = ranked.join(lookup_side(tops), keys)

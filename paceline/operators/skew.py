@@ -18,6 +18,7 @@ MAX_ROWS_CONF = "spark.paceline.maxGroupRows"
 MAX_ROWS = 2_000_000
 LOOKUP_ROWS_CONF = "spark.paceline.maxLookupRows"
 LOOKUP_ROWS = 200_000
+LOOKUP_BYTES = 64 << 20
 RANGE = "_range"
 MARK = "_hot"
 
@@ -128,13 +129,15 @@ def in_ranges(df: DataFrame, keys, order, hot: HotGroups) -> DataFrame:
 
 
 def lookup_side(table: DataFrame, max_rows=None):
-    """The table as a broadcast side if it has at most ``max_rows`` rows.
+    """The table as a broadcast side if it has at most ``max_rows`` rows and LOOKUP_BYTES of values.
 
-    A larger table comes back unhinted, for an ordinary (adaptive) join.
+    It is written once, and its size is taken from what was written. A larger table comes
+    back unhinted, for an ordinary (adaptive) join.
     """
     spark = table.sparkSession
     max_rows = max_rows or int(spark.conf.get(LOOKUP_ROWS_CONF, str(LOOKUP_ROWS)))
-    rows = table.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return table
-    return F.broadcast(spark.createDataFrame(rows, table.schema))
+    stored = durable(table)
+    size = sum(F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in stored.columns)
+    found = stored.agg(F.count(F.lit(1)).alias("rows"), F.sum(size.cast("long")).alias("bytes")).first()
+    small = found["rows"] <= max_rows and (found["bytes"] or 0) <= LOOKUP_BYTES
+    return F.broadcast(stored) if small else stored

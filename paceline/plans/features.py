@@ -15,7 +15,7 @@ ENTITY = "DriverKey"
 # An entity has one row per race; repeated rows keep the stored order, by grid.
 ORDER = ["year", "round", "grid"]
 
-# What stands in where there is no history.
+# What stands in where there is no history, and the timing columns.
 FORM_FILL = 13.0
 CAREER_FILL = 14.0
 IMPORTANCE_FILL = 0.5
@@ -50,8 +50,6 @@ def timing(df: DataFrame, extra: DataFrame | None, cutoff=None, rows=None) -> Da
 
     ``rows`` is the number of starts, where the caller knows it.
     """
-    if ENTITY not in df.columns:
-        df = df.withColumn(ENTITY, F.lower("DriverName"))
     if extra is None:
         return df.withColumns({c: F.lit(0.0) for c in TIMING})
     if "pit_losses" in extra.columns and "mean_pit_loss" not in extra.columns:
@@ -99,6 +97,8 @@ def enrich(results: DataFrame, calendar=None, extra=None, cutoff=None) -> DataFr
     Sizes are looked up once, on the stored results: the steps add columns, and only
     repeated rows in a context table could add rows.
     """
+    if ENTITY not in results.columns:
+        results = results.withColumn(ENTITY, F.lower("DriverName"))
     hot, hot_seasons = hot_groups(results, [ENTITY]), hot_groups(results, ["year"])
     df = form(hot.mark(results), hot)
     df = circuit_importance(df, calendar, cutoff)

@@ -1,6 +1,7 @@
 """Enrich, encode, split by time, train, score and rank."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from paceline.session import durable
 from paceline.sources.tables import read_race
 
 LABELS = {ENTITY: "driver_id", "Team": "team_id", "circuitId": "circuit_id"}
-TOP = 20
+RESULT = [*RACE, ENTITY, "DriverName", "Team", "Grid_Input", "Course_Score", "Grid", "Pos", "Delta"]
 
 # Stats of an entity without an earlier race, and the fallbacks for the
 # timing medians where the column is missing.
@@ -96,7 +97,7 @@ def season_entries(enriched: DataFrame, wanted, defaults=None, fresh=False) -> D
     if fresh:
         rows = enriched.fillna(stats)
     else:
-        rows = as_of_previous(enriched, ENTITY, ORDER, stats)
+        rows = as_of_previous(enriched, ENTITY, ORDER, stats, RACE)
     off = {"has_sprint": F.lit(0), "sprint_delta": F.lit(0.0)}
     return rows.where(wanted).withColumns(off)
 
@@ -130,10 +131,12 @@ def forecast(
     entries=None,
     settings: ForestSettings | None = None,
     leak_free=False,
+    top=None,
 ) -> DataFrame:
-    """Predicted finishing order of one race, first places first.
+    """Predicted finishing order of one race with keys and scores, first places first.
 
-    ``entries`` (DriverKey, Team, optional grid) serves a race without rows yet.
+    ``entries`` (DriverKey, Team, optional grid) serves a race without rows yet; ``top``
+    keeps the first places only.
     """
     cutoff = (year, rnd)
     enriched = durable(enrich(results, calendar, extra, cutoff if leak_free else None))
@@ -143,28 +146,42 @@ def forecast(
     entries, use_real = choose_entries(entries, latest_qualifying, year, rnd, use_real_grid)
     defaults = scoring_defaults(enriched.where(before(*RACE, cutoff)) if leak_free else enriched)
     ranked = predict_race(models, encoders, enriched, entries, year, rnd, use_real, defaults)
-    return ranked.select("Pos", "DriverName", "Team", "Grid", "Delta").orderBy("Pos").limit(TOP)
+    ranked = ranked.select(*RESULT).orderBy("Pos")
+    return ranked if top is None else ranked.limit(top)
 
 
-def walk_forward(results, seasons, calendar=None, extra=None, settings=None, fresh=False) -> DataFrame:
+def walk_forward(results, seasons, calendar=None, extra=None, settings=None, fresh=False, leak_free=False) -> DataFrame:
     """Every race of some seasons, in both modes: predicted grid and real grid.
 
-    Each season is scored by models trained on the rows before it. The loop runs over
-    seasons; the races of a season are one batch.
+    Each season is scored by models trained on the rows before it. Features, labels, scoring
+    rows and training rows are made once for all seasons; per season there is only the
+    training. ``leak_free`` makes them anew for each season, from what came before it.
     """
-    enriched = durable(enrich(results, calendar, extra))
-    defaults = scoring_defaults(enriched)
-    out = None
+    seasons = list(seasons)
+    if leak_free:
+        parts = [_walked(results, [s], calendar, extra, settings, fresh, (s, 0)) for s in seasons]
+    else:
+        parts = [_walked(results, seasons, calendar, extra, settings, fresh, None)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _walked(results, seasons, calendar, extra, settings, fresh, cutoff):
+    enriched = durable(enrich(results, calendar, extra, cutoff))
+    known = enriched.where(before(*RACE, cutoff)) if cutoff else enriched
+    finishers, encoders = encode(enriched, cutoff)
+    finishers = durable(finishers)
+    wanted = season_entries(enriched, F.col("year").isin(seasons), scoring_defaults(known), fresh)
+    modes = F.explode(F.array(F.lit("oracle"), F.lit("analyst")))
+    rows = durable(encoders.apply(wanted)).withColumn("mode", modes)
+    parts = []
     for season in seasons:
-        models, encoders = train_before(enriched, (season, 0), settings)
-        rows = encoders.apply(season_entries(enriched, F.col("year") == season, defaults, fresh))
-        for mode, use_real in (("oracle", False), ("analyst", True)):
-            placed = rank(score(models, rows, use_real)).withColumn("mode", F.lit(mode))
-            out = placed if out is None else out.unionByName(placed)
-    return out
+        models = train(finishers.where(before(*RACE, (season, 0))), settings)
+        scored = score(models, rows.where(F.col("year") == season), F.col("mode") == "analyst")
+        parts.append(scored)
+    return rank(reduce(DataFrame.unionByName, parts), [*RACE, "mode"])
 
 
-def forecast_by_name(spark, folder, name, season, use_real_grid=False, settings=None, fmt="parquet"):
+def forecast_by_name(spark, folder, name, season, use_real_grid=False, settings=None, fmt="parquet", top=None):
     """Forecast the race whose name matches, from the stored tables.
 
     None where no results are stored or the season has no such race.
@@ -176,4 +193,4 @@ def forecast_by_name(spark, folder, name, season, use_real_grid=False, settings=
     if race is None:
         return None
     extra, latest = (read_stored(spark, folder, t, fmt) for t in ("extra", "latest_qualifying"))
-    return forecast(facts, season, race["round"], calendar, extra, use_real_grid, latest, settings=settings)
+    return forecast(facts, season, race["round"], calendar, extra, use_real_grid, latest, settings=settings, top=top)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from paceline.operators.catalog import grid_input
 from paceline.operators.grouped import global_medians
+from paceline.session import durable
 
 # The feature vectors, in order.
 GRID_FEATURES = [
@@ -23,10 +24,10 @@ RACE_FEATURES = [
 
 # The forests. Spark bounds the depth at 30 and has no minimum split size;
 # a leaf minimum is its nearest setting.
-GRID_FOREST = dict(numTrees=200, maxDepth=30, minInstancesPerNode=3, featureSubsetStrategy="sqrt", bootstrap=False)
-RACE_FOREST = dict(numTrees=200, maxDepth=18, minInstancesPerNode=8, featureSubsetStrategy="all", bootstrap=True)
-SEED = 42
-MAX_BINS = 128
+# Splits are binned: maxBins bounds how many values of a feature can be told apart.
+COMMON = dict(seed=42, maxBins=128)
+GRID_FOREST = dict(numTrees=200, maxDepth=30, minInstancesPerNode=3, featureSubsetStrategy="sqrt", bootstrap=False, **COMMON)
+RACE_FOREST = dict(numTrees=200, maxDepth=18, minInstancesPerNode=8, featureSubsetStrategy="all", bootstrap=True, **COMMON)
 
 
 @dataclass(frozen=True)
@@ -56,12 +57,14 @@ def train(rows: DataFrame, settings: ForestSettings | None = None) -> TwoStage:
     """Fit both forests on the features present; rows without the label are left out.
 
     Gaps that the feature steps leave (an entity without any timing) take the
-    column's median over the training rows.
+    column's median over the training rows. The rows are written once, since every tree
+    level passes over them.
     """
     settings = settings or ForestSettings()
     grid_features = [c for c in GRID_FEATURES if c in rows.columns]
     race_features = [c for c in RACE_FEATURES if c in rows.columns]
     wanted = list(dict.fromkeys([*grid_features, *race_features]))
+    rows = durable(rows.select(*dict.fromkeys([*wanted, "grid", "position"])))
     gaps = rows.select(*[F.count_if(F.col(c).isNull()).alias(c) for c in wanted]).first()
     medians = {c: m or 0.0 for c, m in global_medians(rows, [c for c in wanted if gaps[c]]).items()}
     grid_rows = rows.where(F.col("grid").isNotNull()).fillna(medians)
@@ -81,7 +84,7 @@ def _assemble(rows, features):
 
 def _forest(features, label, prediction, settings):
     return RandomForestRegressor(
-        featuresCol="features", labelCol=label, predictionCol=prediction, seed=SEED, maxBins=MAX_BINS, **settings
+        featuresCol="features", labelCol=label, predictionCol=prediction, **settings
     )
 
 

@@ -1,31 +1,45 @@
 """Session helpers: the shared folder and durable intermediate results."""
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+# By application: the folder of a session without a setting, and the paths given out.
+_OWN, _WRITTEN = {}, {}
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    Only a local session without the setting gets a temporary folder of its own.
+    Only a session within one process (``local`` and ``local[...]``) may do without the
+    setting; it gets a temporary folder of its own, and only for this library.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_CONF, None) or context.getCheckpointDir()
-    if not folder:
-        if not context.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="paceline-")
-        context.setCheckpointDir(folder)
-    return folder
+    if folder:
+        return folder
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder all executors share")
+    if context.applicationId not in _OWN:
+        _OWN[context.applicationId] = tempfile.mkdtemp(prefix="paceline-")
+    return _OWN[context.applicationId]
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this run has written to the shared folder; call it when its results are stored elsewhere."""
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def fresh_path(spark: SparkSession) -> str:
     """A new path in the shared folder, for rows that only this run needs."""
-    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def durable(df: DataFrame) -> DataFrame:

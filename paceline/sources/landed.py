@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from paceline import schemas
 from paceline.functions.scalars import entity_key, full_name, number, or_empty
+from paceline.operators.grouped import last_wins
 
 # Fixed value: the first season with sprint races.
 FIRST_SPRINT_SEASON = 2021
@@ -100,9 +101,12 @@ def calendar(responses: DataFrame) -> DataFrame:
 def race_laps(laps: DataFrame, drivers: DataFrame, races: DataFrame, first, last) -> DataFrame:
     """Laps of the calendar's races in a range of seasons, with who drove them.
 
-    Races without landed laps drop out. The calendar and the driver list are small
-    beside the laps; Spark broadcasts them by their size on disk.
+    Races without landed laps drop out. A driver list may repeat a number of a race: one
+    of its rows counts, so laps are never multiplied. The calendar and the driver list are
+    small beside the laps; Spark broadcasts them by their size on disk.
     """
+    names = ["FirstName", "LastName", "FullName", "TeamName"]
+    drivers = last_wins(drivers, ["year", "round", "driver_number"], names, names)
     in_range = races.where(F.col("year").between(first, last)).select("year", "round").distinct()
     who = drivers.select(
         "year",

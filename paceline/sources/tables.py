@@ -1,29 +1,46 @@
 """Stored tables: readers, optional sources and the season-range sinks."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
-from paceline.functions.scalars import outside
+from paceline.functions.scalars import outside, without_nan
+from paceline.session import durable
 from paceline.sources.landed import FIRST_SPRINT_SEASON
 
 
 def read_table(spark: SparkSession, path, schema, fmt="parquet") -> DataFrame | None:
     """The table with its fixed schema, or None where nothing is stored.
 
-    Columns the files lack read as null. CSV columns are found by their header, and a
-    file whose header differs from the first one's fails instead of being misread.
+    Columns the files lack read as null, and so does NaN. CSV columns are found by the
+    header of each file, so files of several headers make one table.
     """
-    reader = spark.read if fmt == "csv" else spark.read.schema(schema)
-    options = {"header": True, "enforceSchema": False} if fmt == "csv" else {}
     try:
-        stored = reader.options(**options).format(fmt).load(path)
+        stored = _read_csv(spark, path, schema) if fmt == "csv" else spark.read.schema(schema).format(fmt).load(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    return typed(stored, schema) if fmt == "csv" else stored
+    return without_nan(stored)
+
+
+def _read_csv(spark, path, schema):
+    """The files of each header by name, and all of them together.
+
+    A pass over the first block of each file finds its header; it keeps a row per file.
+    """
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    first = lines.where(F.col("at") == 0).groupBy("file").agg(F.first("value").alias("header"))
+    headers = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()
+    if len(headers) <= 1:
+        return typed(spark.read.options(header=True, enforceSchema=False).csv(path), fields)
+    read = spark.read.options(header=True, enforceSchema=False, basePath=path)
+    parts = [typed(read.csv(row["files"]), fields) for row in headers]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def typed(df: DataFrame, schema) -> DataFrame:
@@ -79,9 +96,11 @@ def write_seasons(new: DataFrame, path, first, last, order=(), season="year", fm
     without new rows are dropped afterwards. Running it again gives the same table.
     Nothing happens when there are no new rows, and a row outside the range fails the
     write before it is committed. Rows are laid out by range, so a season of any size
-    is spread over files and sorted along ``order``. The seasons that arrived are
-    observed while writing, which spares a pass over the new rows.
+    is spread over files and sorted along ``order``. The new rows are computed once, into
+    the shared folder; laying them out by range needs them twice. The seasons that arrived
+    are observed while writing.
     """
+    new = durable(new)
     if new.isEmpty():
         return False
     stray = F.raise_error(F.concat_ws(" ", F.lit(f"season outside {first}-{last}:"), F.col(season)))
@@ -119,6 +138,7 @@ def write_whole(df: DataFrame, path, order=(), fmt="parquet") -> None:
 
 def write_latest(df: DataFrame, path, fmt="parquet") -> bool:
     """Keep only the latest race; an empty fetch leaves the old one in place."""
+    df = durable(df)
     if df.isEmpty():
         return False
     write_whole(df, path, fmt=fmt)

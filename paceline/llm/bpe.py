@@ -16,10 +16,22 @@ from pyspark.sql import functions as F
 from paceline.llm.batches import slices, with_columns, without
 from paceline.llm.words import TextIds
 
+#: Positions from which on a list is worked on as a whole, and how many shorter lists in a row end that.
+LONG, SHORT_IN_A_ROW = 24, 12
 #: Bytes of text whose new words are merged together.
 SLICE = 4_000_000
 
 
+def taking_turns(firsts, seconds):
+    """Of overlapping pairs the first one, the third one and so on."""
+    kept, taken = [], -1
+    for first, second in zip(firsts.tolist(), seconds.tolist()):
+        if first != taken:
+            kept.append(first)
+            taken = second
+    return np.array(kept, dtype=np.int64)
+
+
 class PairIndex:
     """Merges for a list of words at once."""
 
@@ -32,6 +44,11 @@ class PairIndex:
         self.ranks = {a * self.width + b: rank for rank, (a, b, _) in enumerate(self.merges)}
         self.codes = np.array(sorted(self.ranks), dtype=np.int64)
         self.code_ranks = np.array([self.ranks[c] for c in self.codes.tolist()], dtype=np.int64)
+        made = {}
+        for rank, (_, _, whole) in enumerate(self.merges):
+            made[whole] = rank
+        # then no merge makes a pair of a lower rank, and a rank can be applied everywhere before the next one
+        self.in_order = all(made.get(a, -1) < rank and made.get(b, -1) < rank for rank, (a, b, _) in enumerate(self.merges))
         self.last = {c: self.ids[c + self.suffix] for c in self.ids if c + self.suffix in self.ids}
 
     def occurrences(self, symbols):
@@ -46,21 +63,49 @@ class PairIndex:
         listed, first = np.unique(ranks[order], return_index=True)
         return {r: p.tolist() for r, p in zip(listed.tolist(), np.split(positions[order], first[1:]))}
 
-    def encode(self, words):
-        """The ids of every word; a word is a string of the vocabulary's base characters."""
-        symbols, ends = [], []
-        ids, last = self.ids, self.last
-        for word in words:
-            symbols += [ids[c] for c in word[:-1]]
-            symbols.append(last[word[-1]])
-            ends.append(len(symbols))
-            symbols.append(-1)  # no pair crosses the end of a word
-        if not words:
-            return []
-        size, width, ranks = len(symbols), self.width, self.ranks
-        after = list(range(1, size + 1))
-        before = list(range(-1, size - 1))
-        places = self.occurrences(symbols)
+    def _found(self, codes):
+        """The rank of each pair, -1 if it has none."""
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, self.code_ranks[at], -1)
+
+    def _merge_long_lists(self, symbols, places):
+        """Apply ranks from the lowest on, each at all its positions at once, as long as lists are long.
+
+        Changes ``places`` to the lists that are left; returns symbols and links as lists.
+        """
+        after = np.arange(1, len(symbols) + 1)
+        before = np.arange(-1, len(symbols) - 1)
+        active, short = sorted(places), 0
+        while active and short < SHORT_IN_A_ROW:
+            rank = heappop(active)
+            left, right, merged = self.merges[rank]
+            short = short + 1 if len(places[rank]) < LONG else 0
+            todo = np.unique(np.array(places.pop(rank)))
+            todo = todo[(symbols[todo] == left) & (symbols[after[todo]] == right)]
+            if left == right:
+                todo = taking_turns(todo, after[todo])
+            second = after[todo]
+            third = after[second]
+            symbols[todo], symbols[second] = merged, -2
+            after[todo] = third
+            before[third] = todo
+            first = before[todo]
+            near = np.concatenate([first, todo])
+            codes = np.concatenate([symbols[first] * self.width + merged, merged * self.width + symbols[third]])
+            codes[np.concatenate([(first < 0) | (symbols[first] < 0), symbols[third] < 0])] = -1
+            ranks = self._found(codes)
+            known = np.flatnonzero(ranks >= 0)
+            for found, place in zip(ranks[known].tolist(), near[known].tolist()):
+                if found in places:
+                    places[found].append(place)
+                else:
+                    places[found] = [place]
+                    heappush(active, found)
+        return symbols.tolist(), before.tolist(), after.tolist()
+
+    def _merge_short_lists(self, symbols, before, after, places):
+        """Apply the ranks that are left, position by position."""
+        width, ranks = self.width, self.ranks
         active = sorted(places)
         while active:
             rank = heappop(active)
@@ -80,22 +125,30 @@ class PairIndex:
                 third = after[k] = after[second]
                 before[third] = k
                 first = before[k]
-                if first >= 0 and symbols[first] >= 0:
-                    found = ranks.get(symbols[first] * width + merged)
-                    if found is not None:
-                        if found in places:
-                            places[found].append(first)
-                        else:
-                            places[found] = [first]
-                            heappush(active, found)
-                if symbols[third] >= 0:
-                    found = ranks.get(merged * width + symbols[third])
-                    if found is not None:
-                        if found in places:
-                            places[found].append(k)
-                        else:
-                            places[found] = [k]
-                            heappush(active, found)
+                for place, code in ((first, symbols[first] * width + merged), (k, merged * width + symbols[third])):
+                    found = ranks.get(code)
+                    if found is None or place < 0:
+                        continue
+                    if found in places:
+                        places[found].append(place)
+                    else:
+                        places[found] = [place]
+                        heappush(active, found)
+
+    def encode(self, words):
+        """The ids of every word; a word is a string of the vocabulary's base characters."""
+        symbols, ends = [], []
+        ids, last = self.ids, self.last
+        for word in words:
+            symbols += [ids[c] for c in word[:-1]]
+            symbols.append(last[word[-1]])
+            ends.append(len(symbols))
+            symbols.append(-1)  # no pair crosses the end of a word
+        if not words:
+            return []
+        places = self.occurrences(symbols)
+        symbols, before, after = self._merge_long_lists(np.array(symbols, dtype=np.int64), places if self.in_order else {})
+        self._merge_short_lists(symbols, before, after, places)
         out, start = [], 0
         for end in ends:
             out.append([s for s in symbols[start:end] if s >= 0])

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from paceline.functions.scalars import before
+from paceline.functions.scalars import before, finished
 from paceline.operators.joins import RACE, with_sprint, without_sprint
 from paceline.operators.metrics import backtest, scored
 from paceline.plans.features import enrich
@@ -15,7 +15,7 @@ from paceline.plans.forecast import (
     train_before,
     walk_forward,
 )
-from paceline.plans.models import ForestSettings, importances
+from paceline.plans.models import ForestSettings, importances, score, train
 from paceline.queries.contexts import ON_KEY, RACE_RESULTS, RACE_SPRINTS
 from paceline.session import durable
 from paceline.queries.views import race_calendar, race_results, race_sprints, race_timing
@@ -99,22 +99,78 @@ def rf_ablation(spark, folder):
     return importances(models.race, models.race_features)
 
 
+# One tree without sampling, deep enough for a leaf per value: with one feature it predicts the mean label of
+# each value, which SQL can compute.
+EXACT = ForestSettings.smaller(
+    numTrees=1, maxDepth=12, minInstancesPerNode=1, featureSubsetStrategy="all", bootstrap=False
+)
+
+
+def _one_feature(spark, folder):
+    """Results with the driver's number by sevens as the only feature of the grid model; the race model has the grid."""
+    number = F.substring("DriverKey", 3, 20).cast("int")
+    return durable(race_results(spark, folder).withColumn("form_grid", (1 + number % 7).cast("double")))
+
+
+def _exact(spark, folder, use_real, settings=EXACT):
+    rows = _one_feature(spark, folder)
+    known = rows.where(finished("status") & before(*RACE, (2000, 1)))
+    models = train(known.select("form_grid", "grid", "position"), settings)
+    entries = rows.where(F.col("year") == 2000).select(*KEY, "form_grid", "grid")
+    return rank(score(models, entries, use_real))
+
+
+def rf_exact_grid(spark, folder):
+    """The published settings of the grid model on one feature: every tree predicts the mean grid place of a value."""
+    rows = _exact(spark, folder, False, ForestSettings())
+    return rows.select(*KEY, F.round("Grid_Input", 6).alias("Grid_Input"), "Grid")
+
+
+def _exact_columns(rows):
+    return rows.select(*KEY, *[F.round(c, 8).alias(c) for c in ("Grid_Input", "Course_Score")], "Grid", "Pos", "Delta")
+
+
+def rf_exact_two_stage(spark, folder):
+    """Every entry of a season's races: predicted grid, score on it, both places and the gain."""
+    return _exact_columns(_exact(spark, folder, False))
+
+
+def rf_exact_real_grid(spark, folder):
+    return _exact_columns(_exact(spark, folder, True))
+
+
+def rf_exact_importances(spark, folder):
+    """The only feature of each model has all the importance."""
+    rows = _one_feature(spark, folder).where(finished("status") & before(*RACE, (2000, 1)))
+    models = train(rows.select("form_grid", "grid", "position"), EXACT)
+    grid = importances(models.grid, models.grid_features).withColumn("model", F.lit("grid"))
+    race = importances(models.race, models.race_features).withColumn("model", F.lit("race"))
+    return grid.unionByName(race).withColumn("rows", F.lit(rows.count()))
+
+
 def rf_walk_forward(spark, folder):
-    """Metrics of two seasons, each scored by models of the seasons before it, in both modes."""
+    """Metrics of every season with one before it, scored by models of the seasons before, in both modes."""
     facts = _facts(spark, folder)
-    placed = walk_forward(facts, [1999, 2000], race_calendar(spark, folder), race_timing(spark, folder), SMALL)
-    return backtest(scored(placed.select("mode", *KEY, "Pos"), facts.where(F.col("position").isNotNull())), ["mode"])
+    seasons = sorted(r["year"] for r in facts.select("year").distinct().collect())[1:]
+    placed = walk_forward(facts, seasons, race_calendar(spark, folder), race_timing(spark, folder), SMALL)
+    return backtest(scored(placed.select("mode", *KEY, "Pos"), _actual(facts)), ["mode"])
+
+
+def _actual(facts):
+    """Places 1..n of those who finished a race, by the finish and by the grid."""
+    rows = facts.where(F.col("position").isNotNull()).withColumns({"Grid_Input": F.col("grid"), "Course_Score": F.col("position")})
+    return rank(rows).select(
+        *KEY, F.col("Pos").cast("double").alias("position"), F.col("Grid").cast("double").alias("grid"), "sprint_pos"
+    )
 
 
 def _placed(spark, folder):
-    """Places by the grid as the prediction, and by the finish as the actual order."""
-    rows = _facts(spark, folder).where(F.col("position").isNotNull())
+    """Places by the grid as the prediction, and by the finish as the actual order, written once."""
+    facts = durable(_facts(spark, folder))
+    rows = facts.where(F.col("position").isNotNull())
     rows = rows.withColumns({"Grid_Input": F.col("grid"), "Course_Score": F.col("grid") + F.col("position") % 3})
-    real = rank(rows.withColumn("Course_Score", F.col("position"))).select(
-        *KEY, F.col("Pos").cast("double").alias("position"), F.col("Grid").cast("double").alias("grid")
-    )
     predicted = rank(rows).select(*KEY, "Pos", F.col("sprint_pos").isNotNull().cast("int").alias("has_sprint"))
-    return scored(predicted, real)
+    return scored(predicted, _actual(facts))
 
 
 MEASURES = ["winner", "top3", "top5", "top10", "mae", "grid_mae"]
@@ -134,10 +190,10 @@ def metrics_sprint(spark, folder):
 
 def metrics_mode(spark, folder):
     """Two predictions side by side: the scored order and the real grid."""
-    rows = _placed(spark, folder)
-    oracle = rows.withColumn("mode", F.lit("oracle"))
-    analyst = rows.withColumn("mode", F.lit("analyst")).withColumn("Pos", F.col("real_grid").cast("int"))
-    return _rounded(backtest(oracle.unionByName(analyst), ["mode"]))
+    modes = F.explode(F.array(F.lit("oracle"), F.lit("analyst")))
+    rows = _placed(spark, folder).withColumn("mode", modes)
+    rows = rows.withColumn("Pos", F.when(F.col("mode") == "oracle", F.col("Pos")).otherwise(F.col("real_grid").cast("int")))
+    return _rounded(backtest(rows, ["mode"]))
 
 
 QUERIES = {
@@ -149,6 +205,10 @@ QUERIES = {
     "rf_importances": rf_importances,
     "rf_ablation": rf_ablation,
     "rf_walk_forward": rf_walk_forward,
+    "rf_exact_grid": rf_exact_grid,
+    "rf_exact_two_stage": rf_exact_two_stage,
+    "rf_exact_real_grid": rf_exact_real_grid,
+    "rf_exact_importances": rf_exact_importances,
     "metrics_overall": metrics_overall,
     "metrics_sprint": metrics_sprint,
     "metrics_mode": metrics_mode,
@@ -176,7 +236,32 @@ MEASURE_SQL = """
   round(avg(case when pos <= 10 then cast(pos = actual as integer) end), 9) as top10,
   round(avg(abs(pos - actual)), 9) as mae, round(avg(abs(real_grid - actual)), 9) as grid_mae, count(*) as rows"""
 
+# The tree parts neighbouring values in the middle, so a predicted place counts as the next whole one below x + 0.5.
+EXACT_SQL = f"""
+with {RACE_RESULTS},
+numbered as (select *, 1 + cast(substr("DriverKey", 3) as integer) % 7 as form from results),
+known as (select * from numbered where status in ('Finished', '+1 Lap') and "year" < 2000),
+grids as (select form, avg(grid) as mean from known group by 1),
+finishes as (select grid as value, avg("position") as mean from known where "position" is not null group by 1),
+entries as (select "year", "round", "DriverKey", {{grid_input}} as grid_input
+  from numbered join grids using (form) where "year" = 2000),
+placed as (
+  select "year", "round", "DriverKey", grid_input, mean as score from entries join finishes on value = ceil(grid_input - 0.5)),
+ranked as (
+  select *, row_number() over (partition by "year", "round" order by grid_input, "DriverKey") as g,
+    row_number() over (partition by "year", "round" order by score, "DriverKey") as p from placed)"""
+EXACT_RESULT = """
+select "year", "round", "DriverKey", round(grid_input, 8) as "Grid_Input", round(score, 8) as "Course_Score",
+  g as "Grid", p as "Pos", g - p as "Delta" from ranked"""
+
 SQL = {
+    "rf_exact_grid": EXACT_SQL.format(grid_input="mean") + """
+select "year", "round", "DriverKey", round(grid_input, 6) as "Grid_Input", g as "Grid" from ranked""",
+    "rf_exact_two_stage": EXACT_SQL.format(grid_input="mean") + EXACT_RESULT,
+    "rf_exact_real_grid": EXACT_SQL.format(grid_input="grid") + EXACT_RESULT,
+    "rf_exact_importances": EXACT_SQL.format(grid_input="grid") + """
+select 'form_grid' as feature, cast(1 as double) as importance, 'grid' as model, cast(count(*) as integer) as rows from known
+union all select 'grid', 1, 'race', cast(count(*) as integer) from known""",
     "training_rows": f"""
 with {RACE_RESULTS},
 encoded as (

@@ -117,6 +117,33 @@ def hot_groups(df: DataFrame, keys, max_rows=None) -> HotGroups:
     return replace(found, total=sum(r["_rows"] for r in hot), table=table)
 
 
+def hot_groups_of_each(df: DataFrame, *columns, max_rows=None) -> list:
+    """The hot groups of several single columns, from one pass over the table."""
+    spark = df.sparkSession
+    max_rows = max_rows or max_group_rows(spark)
+    sizes = df.groupingSets([[c] for c in columns], *columns).agg(
+        F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("_rows")
+    )
+    # of all columns but the set's own the bit is 1, the first column having the highest one
+    every = 2 ** len(columns) - 1
+    of = {c: every - 2 ** (len(columns) - 1 - k) for k, c in enumerate(columns)}
+    value = F.coalesce(*[F.when(F.col("_set") == s, F.col(c).isNotNull()) for c, s in of.items()])
+    summary = sizes.groupBy("_set").agg(
+        F.sum("_rows").alias("rows"),
+        F.max(F.when(value, F.col("_rows"))).alias("largest"),
+        F.sum(F.when(~value, F.col("_rows"))).alias("unkeyed"),
+    )
+    by_set = {r["_set"]: r for r in summary.collect()}
+    out = []
+    for c, number in of.items():
+        r = by_set.get(number)
+        if r and (r["largest"] or 0) > max_rows:
+            out.append(hot_groups(df, [c], max_rows))
+        else:
+            out.append(HotGroups((c,), max_rows, r["rows"] if r else 0, unkeyed=(r["unkeyed"] or 0) if r else 0))
+    return out
+
+
 def in_ranges(df: DataFrame, keys, order, hot: HotGroups) -> DataFrame:
     """Number consecutive pieces of the rows sorted by (keys, order).
 

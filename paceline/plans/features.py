@@ -8,7 +8,7 @@ from paceline.operators.grouped import correlation_by, fill_global_median, fill_
 from paceline.operators.history import Career, Recent, with_history
 from paceline.operators.joins import RACE, attach, sprint_features, with_circuit
 from paceline.operators.ranking import dense_scaled_rank
-from paceline.operators.skew import MARK, HotGroups, hot_groups, lookup_side
+from paceline.operators.skew import MARK, HotGroups, hot_groups, hot_groups_of_each, lookup_side
 from paceline.sources.tables import with_defaults
 
 ENTITY = "DriverKey"
@@ -99,7 +99,7 @@ def enrich(results: DataFrame, calendar=None, extra=None, cutoff=None) -> DataFr
     """
     if ENTITY not in results.columns:
         results = results.withColumn(ENTITY, F.lower("DriverName"))
-    hot, hot_seasons = hot_groups(results, [ENTITY]), hot_groups(results, ["year"])
+    hot, hot_seasons = hot_groups_of_each(results, ENTITY, "year")
     df = form(hot.mark(results), hot)
     df = circuit_importance(df, calendar, cutoff)
     df = timing(df, extra, cutoff, hot.rows)

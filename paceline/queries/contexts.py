@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from paceline.functions.scalars import finished
 from paceline.operators.joins import attach, sprint_features, with_circuit, with_sprint, without_sprint
 from paceline.plans.features import enrich
+from paceline.session import durable
 from paceline.queries.views import (
     RACE_CALENDAR,
     RACE_RESULTS,
@@ -100,7 +101,7 @@ FEATURES = [
 
 
 def _features(spark, folder, cutoff=None):
-    facts = with_sprint(race_results(spark, folder), race_sprints(spark, folder))
+    facts = durable(with_sprint(race_results(spark, folder), race_sprints(spark, folder)))
     rows = enrich(facts, race_calendar(spark, folder), race_timing(spark, folder), cutoff)
     return rows.select(*KEY, *[F.round(c, 8).alias(c) if c != "has_sprint" else F.col(c) for c in FEATURES])
 

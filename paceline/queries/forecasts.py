@@ -26,7 +26,8 @@ SMALL = ForestSettings.smaller(numTrees=10, maxDepth=6)
 
 
 def _facts(spark, folder):
-    return with_sprint(race_results(spark, folder), race_sprints(spark, folder))
+    """Results and sprints, written once as a stored table would be."""
+    return durable(with_sprint(race_results(spark, folder), race_sprints(spark, folder)))
 
 
 def _enriched(spark, folder):
@@ -166,7 +167,7 @@ def _actual(facts):
 
 def _placed(spark, folder):
     """Places by the grid as the prediction, and by the finish as the actual order, written once."""
-    facts = durable(_facts(spark, folder))
+    facts = _facts(spark, folder)
     rows = facts.where(F.col("position").isNotNull())
     rows = rows.withColumns({"Grid_Input": F.col("grid"), "Course_Score": F.col("grid") + F.col("position") % 3})
     predicted = rank(rows).select(*KEY, "Pos", F.col("sprint_pos").isNotNull().cast("int").alias("has_sprint"))

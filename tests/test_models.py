@@ -51,6 +51,29 @@ def test_forecast_finds_the_order(spark, season_results, calendar):
     assert again == found
 
 
+def test_forecast_keeps_every_entry(spark, season_results, calendar):
+    """The whole ranking with keys and scores, unless ``top`` cuts it."""
+    entries = season_results.select("DriverKey", "Team").distinct()
+    many = entries.unionByName(entries).unionByName(entries)
+    found = forecast(season_results, 2023, 1, calendar, settings=TINY, entries=many)
+    assert {"year", "round", "DriverKey", "Grid_Input", "Course_Score"} <= set(found.columns)
+    assert found.count() == 3 * DRIVERS > 20
+    assert forecast(season_results, 2023, 1, calendar, settings=TINY, entries=many, top=3).count() == 3
+
+
+def test_settings_can_be_changed():
+    small = ForestSettings.smaller(maxBins=64, seed=7)
+    assert small.grid["maxBins"] == small.race["maxBins"] == 64 and small.race["seed"] == 7
+
+
+def test_leak_free_walk(season_results, calendar):
+    """Statistics from before each season only: changing a later season changes nothing earlier."""
+    later = season_results.withColumn("grid", F.when(F.col("year") < 2022, F.col("grid")).otherwise(99.0))
+    walks = [walk_forward(df, [2021], calendar, settings=TINY, leak_free=True) for df in (season_results, later)]
+    first, second = (rows(w, "mode", "round", "DriverKey", "Pos", "Course_Score") for w in walks)
+    assert first == second and len(first) == 2 * DRIVERS * ROUNDS
+
+
 def test_future_race_needs_entries(spark, season_results, calendar):
     assert forecast(season_results, 2023, 1, calendar, settings=TINY).isEmpty()
     entries = spark.createDataFrame([("d_a", "T0"), ("d_j", "T4"), ("x_new", "T0")], "DriverKey string, Team string")

@@ -52,6 +52,14 @@ FEATURES = [
 ]
 
 
+def test_hot_groups_of_several_keys(spark, skewed):
+    """One pass finds what a pass per key finds."""
+    for limit in (4, 60, 1000):
+        for column, found in zip(("entity", "season"), skew.hot_groups_of_each(skewed, "entity", "season", max_rows=limit)):
+            own = hot_groups(skewed, [column], limit)
+            assert (found.keys, found.rows, found.total, found.unkeyed) == (own.keys, own.rows, own.total, own.unkeyed)
+
+
 @pytest.mark.parametrize("limit", [4, 60])
 @pytest.mark.parametrize("keys", [["entity"], ["entity", "circuit"], []])
 def test_history(spark, skewed, keys, limit):

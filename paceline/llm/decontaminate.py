@@ -22,8 +22,8 @@ from paceline.llm.sharding import numbered
 from paceline.session import durable
 
 SIZE = 10
-#: Windows in a broadcast block; at ten words each this stays below 100 MB.
-BLOCK_WINDOWS = 200_000
+#: Windows in a broadcast block, and their bytes at most; words may be long, so both bound it.
+BLOCK_WINDOWS, BLOCK_BYTES = 200_000, 64 << 20
 #: Every byte to itself, A-Z to a-z, and ASCII characters that are in no word to a space.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
@@ -124,7 +124,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, text="text", item="item_id", siz
     """
     context = docs.sparkSession.sparkContext
     windows = durable(numbered(windows_of(benchmark, item, size=size), ["words"], "number"))
-    total = windows.count()
+    sizes = windows.agg(F.count(F.lit(1)).alias("rows"), F.max(F.octet_length("words") + F.octet_length(F.array_join("items", ","))).alias("bytes")).first()
+    total = sizes["rows"]
+    block = max(1, min(block, BLOCK_BYTES // max(1, sizes["bytes"] or 1)))
     docs = without(docs, RESULT).select(
         "*", F.lit(None).cast("long").alias("n_words"), F.array().cast(SPAN).alias("hit_words"),
         F.array().cast("array<string>").alias("hit_items"),

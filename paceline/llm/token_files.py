@@ -148,6 +148,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key="doc_id"
             return
         writer.close()
         out.close()
+        if store.get_file_info(name).type != fs.FileType.NotFound:  # left by an earlier attempt of this task
+            store.delete_file(name)
         store.move(own, name)
         tokens = sum(e[4] for e in writer.entries)
         row = [[part], [name], [len(writer.entries)], [tokens], [writer.bytes]]

@@ -35,6 +35,7 @@ A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x1656
 SETS = f"node long, n_shingles long, digest binary, signature array<tinyint>, part int, counts binary"
 MAX_ROUNDS = 100
 SHORT_LIST = 16
+HOT_LIST = 100_000
 
 
 class WordHashes(dict):
@@ -133,12 +134,20 @@ def rarity(described: DataFrame):
     return np.concatenate([np.frombuffer(r["grades"], dtype=np.uint8) for r in sorted(rows, key=lambda r: r["part"])])
 
 
-def prefixes(docs: DataFrame, grades, size=WORDS, percent=PERCENT) -> DataFrame:
+def hot_grade(grades, hot=HOT_LIST):
+    """The grade from which on an n-gram counts as very common: ``hot`` documents, and far more than its bucket would hold by chance."""
+    mean = float(np.mean(2.0 ** (grades / 4.0))) if len(grades) else 0.0
+    return int(min(255, 4 * np.log2(max(hot, 32 * mean) + 1)))
+
+
+def prefixes(docs: DataFrame, grades, size=WORDS, percent=PERCENT, hot=HOT_LIST) -> DataFrame:
     """(n-gram, node, place) of every n-gram in a prefix that nodes which may be similar share.
 
-    Entries travel packed by range of the n-gram; equal sets within a task travel once.
+    Entries travel packed by range of the n-gram; equal sets within a task travel once. An n-gram
+    that stands out as very common (``hot``) goes by its node instead, so its list is spread over
+    all tasks, and all of it stays.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(grades)
+    shared, lowest = docs.sparkSession.sparkContext.broadcast(grades), hot_grade(grades, hot)
     pieces = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     width = np.uint64(2**64 // pieces + 1)
 
@@ -164,7 +173,8 @@ def prefixes(docs: DataFrame, grades, size=WORDS, percent=PERCENT) -> DataFrame:
                 if not keys:
                     continue
                 keys, owners, places, sizes = (np.concatenate(x) for x in (keys, owners, places, sizes))
-                piece = (keys // width).astype(np.int64)
+                common = table[(keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= lowest
+                piece = np.where(common, owners % pieces, (keys // width).astype(np.int64))
                 order = np.argsort(piece, kind="stable")
                 listed, starts = np.unique(piece[order], return_index=True)
                 cut = [np.split(x[order], starts[1:]) for x in (keys, owners, places, sizes)]
@@ -182,7 +192,8 @@ def prefixes(docs: DataFrame, grades, size=WORDS, percent=PERCENT) -> DataFrame:
             )
             order = np.argsort(keys, kind="stable")
             keys, nodes, places, sizes = keys[order], nodes[order], places[order], sizes[order]
-            alive = np.flatnonzero(with_partner(keys, places, sizes, percent))
+            common = shared.value[(keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)] >= lowest
+            alive = np.flatnonzero(common | with_partner(keys, places, sizes, percent))
             for k in range(0, len(alive), 50_000):
                 some = alive[k : k + 50_000]
                 columns = [pa.array(keys[some].view(np.int64)), pa.array(nodes[some]), pa.array(places[some])]
@@ -297,7 +308,7 @@ def components(links: DataFrame) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def joined(docs: DataFrame, size=WORDS, percent=PERCENT) -> DataFrame:
+def joined(docs: DataFrame, size=WORDS, percent=PERCENT, hot=HOT_LIST) -> DataFrame:
     """(node, n_shingles, component) for documents (node, text) whose nodes are distinct and not null."""
     described = durable(describe(docs, size))
     sets = described.where(F.col("part").isNull()).drop("part", "counts")
@@ -306,7 +317,7 @@ def joined(docs: DataFrame, size=WORDS, percent=PERCENT) -> DataFrame:
     members = sets.select("node", "n_shingles", "digest").join(classes, ["n_shingles", "digest"], "left")
     members = durable(members.select("node", "n_shingles", F.coalesce("class", "node").alias("class"), "signature"))
 
-    entries = durable(prefixes(docs, rarity(described), size, percent))
+    entries = durable(prefixes(docs, rarity(described), size, percent, hot))
     known = members.select(F.col("node").alias("member"), F.col("class").alias("node"), F.col("n_shingles").alias("n"), "signature")
     placed = entries.join(known, "member").groupBy("ngram", "node").agg(*[F.first(c).alias(c) for c in ("place", "n", "signature")])
     heads = placed.groupBy("ngram").agg(F.min(F.struct("place", "node")).alias("head"), F.count(F.lit(1)).alias("nodes"))

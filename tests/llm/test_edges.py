@@ -85,8 +85,12 @@ def test_large_groups_of_near_copies(spark):
             words[(k * 7 + j * 31) % 150] = f"edit{k}x{j}"
         texts[k] = " ".join(words)
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    expected = brute.groups(texts)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similarity_groups(df).collect()}
-    assert found == brute.groups(texts)
+    assert found == expected
+    # the same where common n-grams are spread over all tasks
+    spread = ngram_join.joined(df.withColumnRenamed("doc_id", "node"), hot=0)
+    assert {r.node: (r.n_shingles, r.component) for r in spread.collect()} == expected
 
 
 def test_bpe(spark, docs, nothing):

@@ -136,7 +136,7 @@ class PairIndex:
                         heappush(active, found)
 
     def encode(self, words):
-        """The ids of every word; a word is a string of the vocabulary's base characters."""
+        """The ids of every word, as bytes of 32-bit integers; a word is a string of the vocabulary's base characters."""
         symbols, ends = [], []
         ids, last = self.ids, self.last
         for word in words:
@@ -149,29 +149,34 @@ class PairIndex:
         places = self.occurrences(symbols)
         symbols, before, after = self._merge_long_lists(np.array(symbols, dtype=np.int64), places if self.in_order else {})
         self._merge_short_lists(symbols, before, after, places)
-        out, start = [], 0
-        for end in ends:
-            out.append([s for s in symbols[start:end] if s >= 0])
-            start = end + 1
-        return out
+        left = np.array(symbols)
+        upto = 4 * np.cumsum(left >= 0)[ends]
+        data = left[left >= 0].astype("<u4").tobytes()
+        return [data[a:b] for a, b in zip([0, *upto.tolist()], upto.tolist())]
 
 
 class Codec(TextIds):
-    """Encodes texts with the pair index, and decodes ids, as the tokenizer file says."""
+    """Encodes texts with the pair index, as the tokenizer file says."""
 
     def __init__(self, path):
         super().__init__(path)
-        self.index = PairIndex(self.content["model"])
-        names = {**self.index.ids, **self.special}
-        self.names = [""] * (max(names.values()) + 1)
-        for name, number in names.items():
-            self.names[number] = name
+        self.index = PairIndex(self.content(path)["model"])
 
     def word_ids(self, words):
         return self.index.encode(words)
 
+
+class Names:
+    """The tokens of ids, special ones included. The tokenizer has no decoder, so tokens are joined by a space."""
+
+    def __init__(self, path):
+        content = TextIds.content(path)
+        numbers = {**content["model"]["vocab"], **{t["content"]: t["id"] for t in content["added_tokens"]}}
+        self.names = [""] * (max(numbers.values()) + 1)
+        for name, number in numbers.items():
+            self.names[number] = name
+
     def decode(self, ids):
-        """The text of ids; the tokenizer has no decoder, so tokens are joined by a space."""
         return " ".join(map(self.names.__getitem__, ids))
 
 
@@ -203,12 +208,12 @@ def decode(encoded: DataFrame, tokenizer: str, ids="ids", column="decoded") -> D
     """
 
     def work(batches):
-        codec = Codec.of(tokenizer)
+        names = Names(tokenizer)
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
                 lists = part.column(ids)
-                texts = [None if not x.is_valid else codec.decode(x.values.to_pylist()) for x in lists]
+                texts = [None if not x.is_valid else names.decode(x.values.to_pylist()) for x in lists]
                 yield with_columns(part, {column: pa.array(texts, pa.string())})
 
     encoded = without(encoded, [column])

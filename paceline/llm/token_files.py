@@ -16,6 +16,7 @@ Checksums are the lower 32 bits of xxhash64 over the decompressed bytes of a fra
 
 import struct
 import uuid
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,7 +49,7 @@ class Encoder(TextIds):
 
     def word_ids(self, words):
         tokenize = self.tokenizer.model.tokenize
-        return [[t.id for t in tokenize(w)] for w in words]
+        return [array("I", [t.id for t in tokenize(w)]).tobytes() for w in words]
 
 
 @dataclass

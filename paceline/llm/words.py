@@ -6,8 +6,9 @@ import re
 
 import numpy as np
 
-#: Words a worker remembers; when it is full, only what the present texts need is kept.
-KNOWN = 500_000
+#: Words a worker remembers in each of two generations. When the younger one is full, it becomes the older
+#: one, from which words come back as they are needed.
+KNOWN = 300_000
 KNOWN_CHARS = 64
 #: Fixed value: the rule for words of the tokenizer files this module takes.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -30,22 +31,26 @@ class TextIds:
             cls.shared[cls, path] = cls(path)
         return cls.shared[cls, path]
 
+    @staticmethod
+    def content(path):
+        with open(path, encoding="utf-8") as file:
+            return json.load(file)
+
     def __init__(self, path):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core already
         from tokenizers import Tokenizer
 
-        with open(path, encoding="utf-8") as file:
-            self.content = json.load(file)
-        rules = self.content["normalizer"]["normalizers"], self.content["pre_tokenizer"]["pretokenizers"]
+        content = self.content(path)
+        rules = content["normalizer"]["normalizers"], content["pre_tokenizer"]["pretokenizers"]
         if [r["type"] for r in rules[0]] != ["NFC", "Replace", "Lowercase"] or rules[1][0]["pattern"]["Regex"] != SPLIT:
             raise ValueError("a tokenizer with other rules for words")
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = {t["content"]: t["id"] for t in self.content["added_tokens"]}
+        self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.known = {}
+        self.known, self.older = {}, {}
 
     def word_ids(self, words):
-        """The ids of every word, given in the vocabulary's base characters."""
+        """The ids of every word, given in the vocabulary's base characters, as bytes of 32-bit integers."""
         raise NotImplementedError
 
     def _keys(self, text):
@@ -67,7 +72,7 @@ class TextIds:
         """The words behind a key, and the ids of special tokens as they stand in it."""
         split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         if key[0] != " ":
-            return [key] if key.isascii() else [split(key)[0][0]]
+            return [split(key)[0][0]]
         words = []
         for part in self.marks.split(key[1:]):
             if part in self.special:
@@ -79,16 +84,20 @@ class TextIds:
     def encode(self, texts):
         """The ids of each text, as bytes of little-endian 32-bit integers."""
         cut = [self._keys(t) for t in texts]
-        new = {k for keys in cut for k in keys}.difference(self.known)
-        if len(self.known) + len(new) > KNOWN:
-            self.known = {k: self.known[k] for keys in cut for k in keys if k in self.known}
-        split = {k: self._words(k) for k in new}
+        if len(self.known) > KNOWN:
+            self.known, self.older = {}, self.known
+        new = set().union(*cut).difference(self.known)
+        back = new.intersection(self.older)
+        self.known.update(zip(back, map(self.older.__getitem__, back)))
+        new -= back
+        plain = [k for k in new if k.isascii() and k[0] != " "]
+        self.known.update(zip(plain, self.word_ids(plain)))
+        split = {k: self._words(k) for k in new.difference(plain)}
         words = list({w for found in split.values() for w in found if isinstance(w, str)})
-        ids = {w: np.array(found, dtype="<u4").tobytes() for w, found in zip(words, self.word_ids(words))}
+        ids = dict(zip(words, self.word_ids(words)))
         for key, found in split.items():
             self.known[key] = b"".join(ids[w] if isinstance(w, str) else np.uint32(w).tobytes() for w in found)
         out = [b"".join(map(self.known.__getitem__, keys)) for keys in cut]
-        for key in new:
-            if len(key) > KNOWN_CHARS:
-                del self.known[key]
+        for key in [k for k in new if len(k) > KNOWN_CHARS]:
+            del self.known[key]
         return out

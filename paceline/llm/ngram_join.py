@@ -26,7 +26,7 @@ from paceline.session import durable
 WORDS = 3
 PERCENT = 90
 SKETCH_BITS = 22
-SKETCH_RANGES = 16
+SKETCH_RANGES = 64
 SIGNATURE = 64
 KNOWN = 400_000
 KNOWN_BYTES = 64
@@ -99,6 +99,7 @@ def describe(docs: DataFrame, size=WORDS) -> DataFrame:
                     pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(signatures))), [None] * count, [None] * count,
                 )
         packer = zstandard.ZstdCompressor(level=1)
+        sketch = sketch.astype(np.min_scalar_type(sketch.max()))  # the width of a count shows in the length
         parts = [packer.compress(p.tobytes()) for p in np.split(sketch, SKETCH_RANGES)]
         none = [None] * SKETCH_RANGES
         yield sets_batch(none, none, none, pa.array(none, pa.list_(pa.int8())), list(range(SKETCH_RANGES)), parts)
@@ -122,7 +123,8 @@ def rarity(described: DataFrame):
         totals, unpacker = {}, zstandard.ZstdDecompressor()
         for batch in batches:
             for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
-                found = np.frombuffer(unpacker.decompress(counts), dtype=np.uint32)
+                data = unpacker.decompress(counts)
+                found = np.frombuffer(data, dtype=f"<u{len(data) * SKETCH_RANGES >> SKETCH_BITS}")
                 totals[part] = totals.get(part, np.zeros(len(found), dtype=np.uint64)) + found
         for part, total in totals.items():
             grade = np.minimum(4 * np.log2(total + 1.0), 255).astype(np.uint8)

@@ -97,6 +97,29 @@ def op10_feistel_shards(spark, folder):
 QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_chat, op4_decontaminate, op5_secrets, op6_exact_dedup, op7_pii, op8_quality, op9_token_files, op10_feistel_shards)}
 
 SQL = {
+    "op1_ngram_join": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        grams AS (
+            SELECT DISTINCT doc_id, array_to_string(w[k : k + 2], ' ') AS gram
+            FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS k FROM d WHERE len(w) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        shared AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+            FROM grams x JOIN grams y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * common >= 90 * (p.n + q.n - common)),
+        reached AS (
+            SELECT doc_id, doc_id AS other FROM d
+            UNION
+            SELECT reached.doc_id, links.b FROM reached JOIN links ON links.a = reached.other)
+        SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(other) AS component_id
+        FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n
+    """,
     "op4_decontaminate": r"""
         WITH d AS (
             SELECT doc_id, regexp_extract_all(

@@ -31,12 +31,17 @@ def group_median(df: DataFrame, keys, column, name, approx=False, hot: HotGroups
 
 def _counted_median(df, keys, column, name):
     values = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
+    return _median_of_counts(values, keys, column, name)
+
+
+def _median_of_counts(values, keys, column, name):
+    """The median of each group from its values and how often each occurs (``_n``)."""
     below = with_history(values, keys, [column], [RunningSum("_below", "_n")])
     if keys:
         sizes = values.groupBy(*keys).agg(F.sum("_n").alias("_size"))
         sized = below.join(lookup_side(sizes), keys)
     else:
-        sized = below.withColumn("_size", F.lit(df.count()))
+        sized = below.withColumn("_size", F.lit(values.agg(F.sum("_n").alias("n")).first()["n"] or 0))
     low, high = F.floor((F.col("_size") - 1) / 2), F.floor(F.col("_size") / 2)
     upto = F.col("_below") + F.col("_n")
     holds_low = (F.col("_below") <= low) & (low < upto)
@@ -126,6 +131,37 @@ def in_stored_order(order):
     return F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])
 
 
+def correlation_by_cutoff(df: DataFrame, key, season, x, y, name, fill=0.5) -> DataFrame:
+    """(key, season, name) for each season that a key has: guarded correlation over its rows of earlier seasons.
+
+    One aggregate per key and season, and running sums over a key's seasons: the rows are
+    read once for all cutoffs.
+    """
+    a, b = (F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.col(c).cast("double")) for c in (x, y))
+    sums = {"n": F.count(a), "sx": F.sum(a), "sy": F.sum(b), "sxx": F.sum(a * a), "syy": F.sum(b * b), "sxy": F.sum(a * b)}
+    each = df.groupBy(key, season).agg(*[v.alias(f"_{n}") for n, v in sums.items()])
+    earlier = Window.partitionBy(key).orderBy(season).rowsBetween(Window.unboundedPreceding, -1)
+    n, sx, sy, sxx, syy, sxy = (F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(c) for c in sums)
+    rows = each.select(key, season, n, sx, sy, sxx, syy, sxy)
+    spread_x, spread_y = F.expr("n * sxx - sx * sx"), F.expr("n * syy - sy * sy")
+    varies = (F.col("n") > 1) & (spread_x > 0) & (spread_y > 0)
+    value = F.when(varies, F.expr("n * sxy - sx * sy") / F.sqrt(spread_x * spread_y))
+    return rows.select(key, season, F.coalesce(value, F.lit(fill)).alias(name))
+
+
+def medians_by_cutoff(df: DataFrame, season, column, name) -> DataFrame:
+    """(season, name): the median of the column over all rows of earlier seasons; no row without any.
+
+    Values are counted per season once; a count then takes part in every later cutoff. The
+    seasons are as many as there are years.
+    """
+    seasons = sorted(r[0] for r in df.select(season).where(F.col(season).isNotNull()).distinct().collect())
+    counts = df.where(F.col(column).isNotNull() & F.col(season).isNotNull()).groupBy(season, column).agg(F.count(F.lit(1)).alias("_n"))
+    later = F.explode(F.filter(F.array(*[F.lit(s) for s in seasons]) if seasons else F.array(F.col(season)), lambda s: s > F.col(season)))
+    values = counts.withColumn("_cutoff", later).groupBy("_cutoff", column).agg(F.sum("_n").alias("_n"))
+    return _median_of_counts(values, ["_cutoff"], column, name).withColumnRenamed("_cutoff", season)
+
+
 def last_wins(df: DataFrame, keys, values, order) -> DataFrame:
     """One row per key: the values of the row that is last in ``order``."""
     row = F.max_by(F.struct(*values), in_stored_order(order)).alias("_row")

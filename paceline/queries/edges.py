@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from paceline.functions.scalars import finished
+from paceline.operators.grouped import correlation_by_cutoff, medians_by_cutoff
 from paceline.operators.history import Career, Previous, with_history
 from paceline.operators.joins import as_of_cutoff, as_of_previous
 from paceline.operators.laps import lap_seconds, stints
@@ -67,6 +69,21 @@ def asof_repeats(spark, folder):
     return batch.select(F.lit("batch").alias("form"), *names).unionByName(single.select(F.lit("single").alias("form"), *names))
 
 
+def importance_by_cutoff(spark, folder):
+    """How closely finishing followed the grid at each circuit, before each of its seasons."""
+    rows = race_results(spark, folder).withColumn("circuit", F.concat(F.lit("c"), (F.col("round") % 6).cast("string")))
+    rows = rows.where(finished("status"))
+    return correlation_by_cutoff(rows, "circuit", "year", "grid", "position", "importance").withColumn(
+        "importance", F.round("importance", 8)
+    )
+
+
+def medians_before_seasons(spark, folder):
+    """The median order value before each season."""
+    orders = _orders_by_season(spark, folder).withColumn("o_totalprice", F.round("o_totalprice", 0))
+    return medians_by_cutoff(orders, "year", "o_totalprice", "price")
+
+
 def lap_nans(spark, folder):
     """Landed laps whose stint is NaN or whose time is missing."""
     events, kind = table(spark, folder, "events"), F.col("event_type")
@@ -186,7 +203,7 @@ def pit_loss_lists(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        dense_scaled_nulls, keyed_nulls, features_null_circuits, keyless_features, asof_repeats, lap_nans, stored_nans,
+        dense_scaled_nulls, keyed_nulls, features_null_circuits, keyless_features, asof_repeats, importance_by_cutoff, medians_before_seasons, lap_nans, stored_nans,
         lap_scan_repeats, season_sink_csv_new_column, stored_order, timing_sink, facts_stored, calendar_sink, pit_loss_lists,
     )
 }
@@ -237,6 +254,22 @@ lagged as (select entity, y, q, lag(price) over (partition by entity order by y,
 select 'batch' as form, o_orderkey, coalesce(price, 14.0) as o_totalprice from rows_ join lagged using (entity, y, q)
 union all
 select 'single', o_orderkey, coalesce(price, 14.0) from rows_ join lagged using (entity, y, q) where y = 1999 and q = 3""",
+    "importance_by_cutoff": f"""
+with {RACE_RESULTS},
+finishers as (
+  select 'c' || cast("round" % 6 as varchar) as circuit, "year", grid, "position" from results
+  where status in ('Finished', '+1 Lap')),
+places as (select distinct circuit, "year" from finishers)
+select p.circuit, p."year", round(coalesce(case when count(*) filter (known) > 1 and var_pop(x) > 0 and var_pop(y) > 0
+  then covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) end, 0.5), 8) as importance
+from places p left join (
+  select *, grid as x, "position" as y, true as known from finishers where grid is not null and "position" is not null) f
+  on f.circuit = p.circuit and f."year" < p."year"
+group by 1, 2""",
+    "medians_before_seasons": f"""
+with {BY_SEASON}
+select y."year", median(round(o.o_totalprice, 0)) as price from (select distinct "year" from old) y
+join old o on o."year" < y."year" group by 1""",
     "lap_nans": """
 with laps as (
   select user_id, case when event_type <> 'purchase' then round(value, 3) end as lap,

@@ -27,6 +27,7 @@ IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BASE = ("email", "ip", "card", "phone")
+CARD_LIKELY = r"[0-9](?:[\x20-]?[0-9]){15}"
 IP_PARTS = r"^(?:0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:\.|$)){4}$"
 CARD_DIGITS, PHONE_DIGITS = (16, 19), (8, 15)
 CONTEXT = "context"
@@ -57,10 +58,12 @@ def luhn(digits):
 def base_spans(content):
     """The spans of the fixed kinds as one array, sorted by kind and start."""
     within = lambda s, bounds: F.length(digits_of(s["value"])).between(*bounds)
-    ip = F.filter(matches(content, IP), lambda s: s["value"].rlike(IP_PARTS))
-    card = F.filter(F.filter(matches(content, CARD), lambda s: within(s, CARD_DIGITS)), lambda s: luhn(digits_of(s["value"])))
-    phone = F.filter(matches(content, PHONE), lambda s: within(s, PHONE_DIGITS))
-    found = [named(f, k, n) for n, (k, f) in enumerate(zip(BASE, (matches(content, EMAIL), ip, card, phone)))]
+    email = matches(content, EMAIL, content.contains("@"))
+    ip = F.filter(matches(content, IP, content.rlike(r"[0-9]\.[0-9]")), lambda s: s["value"].rlike(IP_PARTS))
+    card = F.filter(matches(content, CARD, content.rlike(CARD_LIKELY)), lambda s: within(s, CARD_DIGITS))
+    card = F.filter(card, lambda s: luhn(digits_of(s["value"])))
+    phone = F.filter(matches(content, PHONE, content.contains("+")), lambda s: within(s, PHONE_DIGITS))
+    found = [named(f, k, n) for n, (k, f) in enumerate(zip(BASE, (email, ip, card, phone)))]
     return kind_first(F.concat(*found))
 
 
@@ -83,7 +86,7 @@ def with_context(content):
         lambda s, c: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), c["before"].alias("before"), c["after"].alias("after")),
     )
     none = F.array().cast(SPAN.replace(">>", ",before:string,after:string>>"))
-    return F.when(content.rlike(CANDIDATE), found).otherwise(none)
+    return F.when(content.rlike("[0-9@]"), found).otherwise(none)
 
 
 def patterns(before, after):

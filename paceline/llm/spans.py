@@ -23,11 +23,13 @@ def running_ends(lengths):
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
-def matches(text, pattern):
+def matches(text, pattern, likely=None):
     """Leftmost non-overlapping matches as structs of start, end (code points, end exclusive) and value.
 
     The pattern may not match the empty string. What stands between the matches gives their places.
+    ``likely`` is a condition that every text with a match meets and that is cheaper than the pattern.
     """
+    some = text.rlike(pattern) if likely is None else likely & text.rlike(pattern)
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     lengths = F.zip_with(
         F.slice(F.split(text, pattern, -1), F.lit(1), F.size(values)), values, lambda gap, value: F.length(gap) + F.length(value)
@@ -36,7 +38,7 @@ def matches(text, pattern):
         running_ends(lengths), values,
         lambda end, value: F.struct((end - F.length(value)).alias("start"), end.alias("end"), value.alias("value")),
     )
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
+    return F.when(some, found).otherwise(F.array().cast(SPAN))
 
 
 def named(found, kind, number):

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paceline.llm.batches import free_name, without
-from paceline.llm.spans import SPAN, kind_first, listed, matches, named, running_ends
+from paceline.llm.spans import SPAN, cut, kind_first, let, listed, matches, named
 from paceline.session import durable
 
 #: Written so that no long text makes them slow or deep: a match can only begin where a run begins or the
@@ -69,22 +69,22 @@ def base_spans(content):
 
 def with_context(content):
     """Identifier-like runs with the text on both sides: structs of start, end, value, before, after."""
-    values = F.regexp_extract_all(content, F.lit(CANDIDATE), F.lit(0))
-    gaps = F.split(content, CANDIDATE, -1)
-    lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(values)), values, lambda gap, value: F.length(gap) + F.length(value))
-    sides = F.zip_with(
-        F.transform(gaps, lambda g: F.substring(g, -CONTEXT_CHARS, CONTEXT_CHARS)),
-        F.slice(F.transform(gaps, lambda g: F.substring(g, 1, CONTEXT_CHARS)), F.lit(2), F.size(values)),
-        lambda before, after: F.struct(before.alias("before"), after.alias("after")),
-    )
-    spans = F.zip_with(
-        running_ends(lengths), values,
-        lambda end, value: F.struct((end - F.length(value)).alias("start"), end.alias("end"), value.alias("value")),
-    )
-    found = F.zip_with(
-        spans, F.slice(sides, F.lit(1), F.size(values)),
-        lambda s, c: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), c["before"].alias("before"), c["after"].alias("after")),
-    )
+
+    def placed(c):
+        count = F.size(c["values"])
+        before = F.transform(F.slice(c["gaps"], F.lit(1), count), lambda g: F.substring(g, -CONTEXT_CHARS, CONTEXT_CHARS))
+        after = F.transform(F.slice(c["gaps"], F.lit(2), count), lambda g: F.substring(g, 1, CONTEXT_CHARS))
+        sides = F.zip_with(before, after, lambda b, a: F.struct(b.alias("before"), a.alias("after")))
+        spans = F.zip_with(c["ends"], c["values"], lambda end, value: F.struct(end.alias("end"), value.alias("value")))
+        return F.zip_with(
+            spans, sides,
+            lambda s, c: F.struct(
+                (s["end"] - F.length(s["value"])).alias("start"), s["end"].alias("end"), s["value"].alias("value"),
+                c["before"].alias("before"), c["after"].alias("after"),
+            ),
+        )
+
+    found = let(cut(content, CANDIDATE), placed)
     none = F.array().cast(SPAN.replace(">>", ",before:string,after:string>>"))
     return F.when(content.rlike("[0-9@]"), found).otherwise(none)
 

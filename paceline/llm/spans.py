@@ -6,20 +6,41 @@ from pyspark.sql import functions as F
 BLOCK = 256
 
 
+def let(value, body):
+    """``body`` of a column that is worked out once, however often and deep the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def running_ends(lengths):
     """The running sums of an array column of ints."""
+    return let(lengths, _running_ends)
+
+
+def _running_ends(lengths):
     blocks = F.sequence(F.lit(0), F.floor((F.size(lengths) - 1) / BLOCK).cast("int"))
     part = lambda b: F.slice(lengths, b * BLOCK + 1, BLOCK)
     follow = lambda out, x: F.concat(out, F.array(F.element_at(out, -1) + x))
     sums = F.transform(blocks, lambda b: F.aggregate(part(b), F.lit(0), lambda total, x: total + x))
     starts = F.aggregate(sums, F.array(F.lit(0)), follow)
     ends = F.transform(
-        F.arrays_zip(blocks.alias("block"), F.slice(starts, 1, F.size(starts) - 1).alias("start")),
+        F.filter(F.zip_with(blocks, starts, lambda b, s: F.struct(b.alias("block"), s.alias("start"))), lambda b: b["block"].isNotNull()),
         lambda b: F.slice(F.aggregate(part(b["block"]), F.array(b["start"]), follow), 2, BLOCK),
     )
     return F.flatten(ends)
 
 
+def cut(text, pattern):
+    """A struct of the matches of a pattern, in order, of the texts between them, and of the matches' ends."""
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    both = F.struct(values.alias("values"), F.split(text, pattern, -1).alias("gaps"))
+
+    def with_ends(c):
+        lengths = F.zip_with(F.slice(c["gaps"], F.lit(1), F.size(c["values"])), c["values"], lambda gap, value: F.length(gap) + F.length(value))
+        return F.struct(c["values"].alias("values"), c["gaps"].alias("gaps"), running_ends(lengths).alias("ends"))
+
+    return let(both, with_ends)
+
+
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -30,14 +51,11 @@ def matches(text, pattern, likely=None):
     ``likely`` is a condition that every text with a match meets and that is cheaper than the pattern.
     """
     some = text.rlike(pattern) if likely is None else likely & text.rlike(pattern)
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    lengths = F.zip_with(
-        F.slice(F.split(text, pattern, -1), F.lit(1), F.size(values)), values, lambda gap, value: F.length(gap) + F.length(value)
-    )
-    found = F.zip_with(
-        running_ends(lengths), values,
+    spans = lambda c: F.zip_with(
+        c["ends"], c["values"],
         lambda end, value: F.struct((end - F.length(value)).alias("start"), end.alias("end"), value.alias("value")),
     )
+    found = let(cut(text, pattern), spans)
     return F.when(some, found).otherwise(F.array().cast(SPAN))
 
 

@@ -19,7 +19,7 @@ from paceline.llm.words import TextIds
 #: Positions from which on a list is worked on as a whole, and how many shorter lists in a row end that.
 LONG, SHORT_IN_A_ROW = 24, 12
 #: Bytes of text whose new words are merged together.
-SLICE = 4_000_000
+SLICE = 2_000_000
 
 
 def taking_turns(firsts, seconds):
@@ -195,6 +195,7 @@ def encode(docs: DataFrame, tokenizer: str, text="text", column="ids") -> DataFr
                 values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
                 arrays = pa.ListArray.from_arrays(pa.array(offsets), values)
                 yield with_columns(batch.slice(first, len(texts)), {column: arrays})
+        codec.forget()
 
     docs = without(docs, [column])
     schema = docs.select("*", F.array().cast("array<int>").alias(column)).schema

@@ -22,7 +22,7 @@ from paceline.session import durable
 TRAIN_ROWS = 6000
 FOLDS = 5
 THRESHOLD = 0.3
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 200_000
 KNOWN_CHARS = 64
 
 

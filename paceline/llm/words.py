@@ -8,7 +8,7 @@ import numpy as np
 
 #: Words a worker remembers in each of two generations. When the younger one is full, it becomes the older
 #: one, from which words come back as they are needed.
-KNOWN = 300_000
+KNOWN = 150_000
 KNOWN_CHARS = 64
 #: Fixed value: the rule for words of the tokenizer files this module takes.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -26,11 +26,14 @@ class TextIds:
 
     @classmethod
     def of(cls, path):
-        """The one of this Python worker, with what it knows from earlier tasks."""
+        """The one of this Python worker, without the words of earlier tasks: other stages need the memory."""
         if (cls, path) not in cls.shared:
             cls.shared[cls, path] = cls(path)
         return cls.shared[cls, path]
 
+    def forget(self):
+        self.known, self.older = {}, {}
+
     @staticmethod
     def content(path):
         with open(path, encoding="utf-8") as file:

@@ -23,6 +23,16 @@ def test_one_shuffle_for_all_histories(spark, data):
     assert exchanges == ["year", ENTITY]  # the season ranks, and everything by entity
 
 
+def test_few_jobs(spark, data):
+    """Statistics, hot groups and lookups are found in few passes."""
+    context, queries = spark.sparkContext, all_queries()
+    for name, most in (("race_features", 36), ("asof_last", 12), ("metrics_mode", 20)):
+        context.setJobGroup(name, name)
+        queries[name](spark, data).write.format("noop").mode("overwrite").save()
+        assert len(context.statusTracker().getJobIdsForGroup(name)) <= most, name
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_laps_are_shuffled_once(spark, data):
     text = plan(all_queries()["timing_rows"](spark, data))
     scans = text.split("+- FileScan parquet")

@@ -72,3 +72,27 @@ def test_update_and_forecast(spark, responses, tmp_path):
     found = forecast_by_name(spark, folder, "^g", 2022, use_real_grid=True, settings=small).collect()
     assert [r["Pos"] for r in found] == [1, 2, 3, 4, 5, 6]
     assert forecast_by_name(spark, folder, "monza", 2022) is None
+
+
+def test_update_all(spark, responses, tmp_path):
+    """Whatever has landed is brought up to date; what has not is left alone."""
+    folder = str(tmp_path)
+    done = update.update_all(folder, 2020, 2022, responses, responses, responses, responses)
+    assert done == {"results": True, "calendar": True, "sprint": True, "latest_qualifying": True}
+    assert rows(read_stored(spark, folder, "latest_qualifying").select("year", "round").distinct()) == [(2022, 4)]
+    assert update.update_all(folder, 2021, 2021, calendar=responses) == {"calendar": True}
+    assert read_stored(spark, folder, "calendar").count() == len(SEASONS) * len(ROUNDS)
+
+
+def test_scratch_is_removed_on_request(spark):
+    from paceline import session
+
+    kept = session.durable(spark.range(3))
+    path = session._WRITTEN[spark.sparkContext.applicationId][-1]
+    assert kept.count() == 3
+    before = session._WRITTEN[spark.sparkContext.applicationId][:-1]
+    session._WRITTEN[spark.sparkContext.applicationId] = [path]  # other tests still need theirs
+    session.clear_scratch(spark)
+    session._WRITTEN[spark.sparkContext.applicationId] = before
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()

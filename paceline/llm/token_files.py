@@ -38,6 +38,7 @@ TABLE, INDEX, SEEKABLE, CHECKSUMS = 0x184D2A5E, 0x184D2A50, 0x8F92EAB1, 0x80
 FRAME = np.dtype([("packed", "<u4"), ("size", "<u4"), ("checksum", "<u4")])
 ENTRY = np.dtype([("key", "<i8"), ("has_key", "<u1"), ("frame", "<u4"), ("frames", "<u4"), ("tokens", "<u8")])
 FRAME_IDS = 1 << 20
+RUN_BYTES = 1 << 20
 LEVEL = 3
 END_ID = 2
 MANIFEST = "part int, path string, documents long, tokens long, bytes long"
@@ -104,17 +105,33 @@ class Reader:
 
     def ids(self, place) -> bytes:
         """The ids of the document at this place of the file, its frames checked."""
+        return next(self.row(place, place + 1))
+
+    def row(self, start, stop):
+        """The ids of neighbouring documents; runs of about RUN_BYTES are read at once."""
+        while start < stop:
+            first = int(self.entries[start]["frame"])
+            end = start + 1
+            while end < stop and self._end(end) - int(self.starts[first]) <= RUN_BYTES:
+                end += 1
+            base = int(self.starts[first])
+            packed = self._at(base, self._end(end - 1) - base)
+            for place in range(start, end):
+                yield b"".join(self._frames(place, packed, base))
+            start = end
+
+    def _end(self, place):
         entry = self.entries[place]
-        first, count = int(entry["frame"]), int(entry["frames"])
-        packed = self._at(int(self.starts[first]), int(self.starts[first + count] - self.starts[first]))
-        out, at = [], 0
-        for frame in self.frames[first : first + count]:
+        return int(self.starts[int(entry["frame"]) + int(entry["frames"])])
+
+    def _frames(self, place, packed, base):
+        first = int(self.entries[place]["frame"])
+        for number in range(first, first + int(self.entries[place]["frames"])):
+            frame, at = self.frames[number], int(self.starts[number]) - base
             piece = self.unpacker.decompress(packed[at : at + int(frame["packed"])])
-            at += int(frame["packed"])
             if len(piece) != frame["size"] or xxhash.xxh64_intdigest(piece) & 0xFFFFFFFF != frame["checksum"]:
                 raise ValueError(f"frame of document {place} is damaged")
-            out.append(piece)
-        return b"".join(out)
+            yield piece
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key="doc_id", text="text", end_id=END_ID) -> DataFrame:
@@ -180,15 +197,14 @@ def read_token_files(manifest: DataFrame, folder: str, doc_ids: DataFrame | None
             for part, path in zip(batch.column("part").to_pylist(), batch.column("path").to_pylist()):
                 with store.open_input_file(path) as source:
                     reader = Reader(source)
-                    places = range(len(reader.entries))
-                    for first in range(0, len(places), 256):
-                        rows = []
-                        for place in places[first : first + 256]:
-                            entry = reader.entries[place]
-                            key = int(entry["key"]) if entry["has_key"] else None
-                            if wanted is None or key in wanted.value:
-                                ids = reader.ids(place)
-                                rows.append((part, place, key, len(ids) // 4, zlib.crc32(ids), ids if with_ids else None))
+                    keys = [int(e["key"]) if e["has_key"] else None for e in reader.entries]
+                    for first in range(0, len(keys), 256):
+                        places = range(first, min(first + 256, len(keys)))
+                        if wanted is None:
+                            found = zip(places, reader.row(places[0], places[-1] + 1))
+                        else:
+                            found = ((p, reader.ids(p)) for p in places if keys[p] in wanted.value)
+                        rows = [(part, p, keys[p], len(ids) // 4, zlib.crc32(ids), ids if with_ids else None) for p, ids in found]
                         columns = list(zip(*rows)) if rows else [[]] * 6
                         types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
                         names = ["part", "place", "doc_id", "n_tokens", "ids_crc32", "ids"]

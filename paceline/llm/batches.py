@@ -5,6 +5,15 @@ import pyarrow.compute as pc
 
 #: Bytes of text that an operator turns into Python objects at a time. One longer text still makes one slice.
 SLICE_BYTES = 2_000_000
+#: Bytes of an Arrow batch on its way to Python. Spark's default suits narrow rows; here rows hold whole texts.
+BATCH_BYTES = 4 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark):
+    """Keep Arrow batches small for the rest of the session, unless it was set up with a size of its own."""
+    if not spark.sparkContext.getConf().contains(BATCH_CONF):
+        spark.conf.set(BATCH_CONF, str(BATCH_BYTES))
 
 
 def texts_of(batch, column):

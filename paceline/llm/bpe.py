@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.batches import slices, with_columns, without
+from paceline.llm.batches import slices, small_batches, with_columns, without
 from paceline.llm.words import TextIds
 
 #: Positions from which on a list is worked on as a whole, and how many shorter lists in a row end that.
@@ -197,6 +197,7 @@ def encode(docs: DataFrame, tokenizer: str, text="text", column="ids") -> DataFr
                 yield with_columns(batch.slice(first, len(texts)), {column: arrays})
         codec.forget()
 
+    small_batches(docs.sparkSession)
     docs = without(docs, [column])
     schema = docs.select("*", F.array().cast("array<int>").alias(column)).schema
     return docs.mapInArrow(work, schema)
@@ -217,6 +218,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids="ids", column="decoded") -> D
                 texts = [None if not x.is_valid else names.decode(x.values.to_pylist()) for x in lists]
                 yield with_columns(part, {column: pa.array(texts, pa.string())})
 
+    small_batches(encoded.sparkSession)
     encoded = without(encoded, [column])
     schema = encoded.select("*", F.lit(None).cast("string").alias(column)).schema
     return encoded.mapInArrow(work, schema)

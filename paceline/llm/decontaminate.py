@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.batches import slices, with_columns, without
+from paceline.llm.batches import slices, small_batches, with_columns, without
 from paceline.llm.sharding import numbered
 from paceline.session import durable
 
@@ -122,6 +122,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, text="text", item="item_id", siz
     text are all named; a null item name counts as ''. Columns of the three names are replaced. Rows keep
     their partitions: nothing is shuffled but the windows.
     """
+    small_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     windows = durable(numbered(windows_of(benchmark, item, size=size), ["words"], "number"))
     sizes = windows.agg(F.count(F.lit(1)).alias("rows"), F.max(F.octet_length("words") + F.octet_length(F.array_join("items", ","))).alias("bytes")).first()

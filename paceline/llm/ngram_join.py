@@ -19,7 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.batches import free_name, slices, texts_of
+from paceline.llm.batches import free_name, slices, small_batches, texts_of
 from paceline.llm.stream_dedup import checked_broadcast
 from paceline.session import durable
 
@@ -312,6 +312,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def joined(docs: DataFrame, size=WORDS, percent=PERCENT, hot=HOT_LIST) -> DataFrame:
     """(node, n_shingles, component) for documents (node, text) whose nodes are distinct and not null."""
+    small_batches(docs.sparkSession)
     described = durable(describe(docs, size))
     sets = described.where(F.col("part").isNull()).drop("part", "counts")
     classes = sets.where("n_shingles > 0").groupBy("n_shingles", "digest").agg(F.min("node").alias("class"), F.first("signature").alias("signature"))

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.batches import slices, with_columns, without
+from paceline.llm.batches import slices, small_batches, with_columns, without
 from paceline.session import durable
 
 #: The bound of the training sample: rows with the smallest hash of the key are taken.
@@ -166,6 +166,7 @@ def sample(docs: DataFrame, labels: DataFrame, key="doc_id", text="text", label=
 
 def fit(docs: DataFrame, labels: DataFrame, settings=Settings(), rows=TRAIN_ROWS, **columns):
     """(one number per bucket, bias), trained in one task on the bounded sample."""
+    small_batches(docs.sparkSession)
     chosen = sample(docs, labels, rows=rows, **columns)
     # A key may stand in several documents; the bound holds for them, too.
     bounded = chosen.orderBy(F.xxhash64("key"), "key", "text", "label").limit(rows)
@@ -190,6 +191,7 @@ def score(docs: DataFrame, model, settings=Settings(), text="text", column="scor
 
     A column of that name is replaced; rows stay where they are.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches):

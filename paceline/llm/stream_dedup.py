@@ -19,6 +19,8 @@ from paceline.session import durable, fresh_path
 DISK_STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
 }
 #: Files that one micro-batch reads.
 BATCH_FILES = 10_000

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paceline.llm.batches import free_name, slices
+from paceline.llm.batches import free_name, slices, small_batches
 from paceline.llm.words import TextIds
 from paceline.session import durable, fresh_path
 
@@ -142,6 +142,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key="doc_id"
     has a row per file; without documents it has none. A task writes under a name of its own and renames
     at the end, so a repeated task leaves the same file.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     read = free_name(docs, "read")
     by = ["doc_id", F.xxhash64("text"), "text", read]

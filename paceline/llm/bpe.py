@@ -187,7 +187,7 @@ def encode(docs: DataFrame, tokenizer: str, text="text", column="ids") -> DataFr
     """
 
     def work(batches):
-        codec = Codec.of(tokenizer)
+        codec = Codec(tokenizer)
         for batch in batches:
             for first, texts in slices(batch, text, SLICE):
                 ids = codec.encode([t.decode() for t in texts])
@@ -195,7 +195,6 @@ def encode(docs: DataFrame, tokenizer: str, text="text", column="ids") -> DataFr
                 values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
                 arrays = pa.ListArray.from_arrays(pa.array(offsets), values)
                 yield with_columns(batch.slice(first, len(texts)), {column: arrays})
-        codec.forget()
 
     small_batches(docs.sparkSession)
     docs = without(docs, [column])

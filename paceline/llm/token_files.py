@@ -153,7 +153,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key="doc_id"
         store, base = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
         store.create_dir(base, recursive=True)
         name, own = f"{base}/part-{part:06d}.ids.zst", f"{base}/.{uuid.uuid4().hex}"
-        encoder, writer, out = Encoder.of(tokenizer), None, None
+        encoder, writer, out = Encoder(tokenizer), None, None
         end = struct.pack("<I", end_id)
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
@@ -163,7 +163,6 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key="doc_id"
                     writer = Writer(out)
                 for row, ids in enumerate(encoder.encode([t.decode() for t in texts]), first):
                     writer.add(keys[row], ids + end)
-        encoder.forget()
         if writer is None:
             return
         writer.close()

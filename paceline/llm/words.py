@@ -20,19 +20,7 @@ PLAIN_WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s0-9{LE
 
 
 class TextIds:
-    """Ids of whole texts; every distinct word is worked on once. Subclasses say how."""
-
-    shared = {}
-
-    @classmethod
-    def of(cls, path):
-        """The one of this Python worker, without the words of earlier tasks: other stages need the memory."""
-        if (cls, path) not in cls.shared:
-            cls.shared[cls, path] = cls(path)
-        return cls.shared[cls, path]
-
-    def forget(self):
-        self.known, self.older = {}, {}
+    """Ids of whole texts for one task; every distinct word is worked on once. Subclasses say how."""
 
     @staticmethod
     def content(path):

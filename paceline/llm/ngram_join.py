@@ -32,7 +32,7 @@ KNOWN = 200_000
 KNOWN_BYTES = 64
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
-SETS = f"node long, n_shingles long, digest binary, signature array<tinyint>, part int, counts binary"
+SETS = "node long, n_shingles long, digest binary, signature array<tinyint>, part int, counts binary"
 MAX_ROUNDS = 100
 SHORT_LIST = 16
 HOT_LIST = 100_000

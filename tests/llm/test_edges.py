@@ -262,6 +262,8 @@ def test_contexts_find_unseen_identifiers(spark):
     found = pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     hits = {(r.doc_id, s.start, s.end) for r in found for s in r.found}
     assert hits == {(100, 15, 29)}
+    some = spark.createDataFrame([(1, "a@b.cd", "x"), (2, "none", None), (3, None, "y")], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in pii.documents_with(some).collect()] == [1]
 
 
 def test_very_long_runs_are_no_burden(spark):

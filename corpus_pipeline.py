@@ -33,8 +33,7 @@ def uncontaminated(spark, docs, sf_dir):
 
 def encoded(spark, docs, sf_dir):
     """Ids of every text, and digests of the ids and of what they decode to."""
-    ids = bpe.encode(docs, tokenizer_path()).select("doc_id", "lang", "source", "ids")
-    decoded = bpe.decode(ids, tokenizer_path())
+    decoded = bpe.encode(docs, tokenizer_path(), decoded="decoded")
     return digests(decoded, F.col("lang"), F.col("source"), F.col("ids"))
 
 

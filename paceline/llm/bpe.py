@@ -180,25 +180,31 @@ class Names:
         return " ".join(map(self.names.__getitem__, ids))
 
 
-def encode(docs: DataFrame, tokenizer: str, text="text", column="ids") -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, text="text", column="ids", decoded=None) -> DataFrame:
     """Add the ids of each whole text as an array of ints; null and empty texts have none.
 
-    A column of that name is replaced; rows stay where they are.
+    ``decoded`` names a column for what the ids decode to, worked out in the same pass, which
+    spares sending the ids to Python again. Columns of these names are replaced; rows stay
+    where they are.
     """
 
     def work(batches):
-        codec = Codec(tokenizer)
+        codec, names = Codec(tokenizer), Names(tokenizer) if decoded else None
         for batch in batches:
             for first, texts in slices(batch, text, SLICE):
                 ids = codec.encode([t.decode() for t in texts])
                 offsets = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
                 values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
                 arrays = pa.ListArray.from_arrays(pa.array(offsets), values)
-                yield with_columns(batch.slice(first, len(texts)), {column: arrays})
+                added = {column: arrays}
+                if decoded:
+                    added[decoded] = pa.array([names.decode(np.frombuffer(x, dtype="<i4").tolist()) for x in ids], pa.string())
+                yield with_columns(batch.slice(first, len(texts)), added)
 
     small_batches(docs.sparkSession)
-    docs = without(docs, [column])
-    schema = docs.select("*", F.array().cast("array<int>").alias(column)).schema
+    docs = without(docs, [column, decoded or column])
+    added = [F.array().cast("array<int>").alias(column), *([F.lit(None).cast("string").alias(decoded)] if decoded else [])]
+    schema = docs.select("*", *added).schema
     return docs.mapInArrow(work, schema)
 
 

@@ -25,8 +25,7 @@ def op1_ngram_join(spark, folder):
 
 def op2_bpe(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, tokenizer_path()).select("doc_id", "ids")
-    return digests(bpe.decode(ids, tokenizer_path()))
+    return digests(bpe.encode(docs, tokenizer_path(), decoded="decoded"))
 
 
 def digests(decoded, *more):

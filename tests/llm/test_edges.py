@@ -102,6 +102,8 @@ def test_bpe(spark, docs, nothing):
     assert len(found) == len(ROWS)
     assert all(r.ids == [] and r.decoded == "" for r in found if not (r.text or "").strip())
     assert bpe.encode(nothing, path).collect() == []
+    once = bpe.encode(clashing(docs, "IDS", "decoded"), path, decoded="decoded").select(*coded.columns)
+    assert sorted(map(str, once.collect())) == sorted(map(str, found))
     special = spark.createDataFrame([("a<|endoftext|>b <|startoftext|> İΣ\x1cé́ 人",)], "text string")
     from tokenizers import Tokenizer
 

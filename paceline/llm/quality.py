@@ -97,7 +97,10 @@ def train(texts, labels, settings=Settings()):
     size = settings.buckets + 2
     vectors = random.uniform(-1, 1, (size, settings.dimensions)) / settings.dimensions
     output, bias = np.zeros((settings.dimensions, 2)), np.zeros(2)
-    rows = [(*features(t, settings), int(y)) for t, y in zip(texts, labels)]
+    rows = []
+    for text, label in zip(texts, labels):
+        ids, weights = features(text, settings)
+        rows.append((ids.astype(np.int32), weights.astype(np.float32), int(label)))
     steps, total = 0, max(1, settings.epochs * len(rows))
     for _ in range(settings.epochs):
         for k in random.permutation(len(rows)):

@@ -46,7 +46,20 @@ FOUND = "part int, place long, doc_id long, n_tokens long, ids_crc32 long, ids b
 
 
 class Encoder(TextIds):
-    """Ids of whole texts by the tokenizers library, which is asked once for each distinct word."""
+    """Ids of whole texts by the tokenizers library, which is asked once for each distinct word.
+
+    One serves all tasks of a Python worker: they have most words in common, and no other
+    operator with a memory of its own runs beside it.
+    """
+
+    most = 300_000
+    shared = {}
+
+    @classmethod
+    def of(cls, path):
+        if path not in cls.shared:
+            cls.shared[path] = cls(path)
+        return cls.shared[path]
 
     def word_ids(self, words):
         tokenize = self.tokenizer.model.tokenize
@@ -153,7 +166,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, key="doc_id"
         store, base = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
         store.create_dir(base, recursive=True)
         name, own = f"{base}/part-{part:06d}.ids.zst", f"{base}/.{uuid.uuid4().hex}"
-        encoder, writer, out = Encoder(tokenizer), None, None
+        encoder, writer, out = Encoder.of(tokenizer), None, None
         end = struct.pack("<I", end_id)
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()

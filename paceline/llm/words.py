@@ -20,7 +20,9 @@ PLAIN_WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s0-9{LE
 
 
 class TextIds:
-    """Ids of whole texts for one task; every distinct word is worked on once. Subclasses say how."""
+    """Ids of whole texts; every distinct word is worked on once. Subclasses say how."""
+
+    most = KNOWN
 
     @staticmethod
     def content(path):
@@ -75,7 +77,7 @@ class TextIds:
     def encode(self, texts):
         """The ids of each text, as bytes of little-endian 32-bit integers."""
         cut = [self._keys(t) for t in texts]
-        if len(self.known) > KNOWN:
+        if len(self.known) > self.most:
             self.known, self.older = {}, self.known
         new = set().union(*cut).difference(self.known)
         back = new.intersection(self.older)

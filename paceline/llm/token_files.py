@@ -52,7 +52,7 @@ class Encoder(TextIds):
     operator with a memory of its own runs beside it.
     """
 
-    most = 300_000
+    most = 600_000
     shared = {}
 
     @classmethod

@@ -26,6 +26,9 @@ BASE = ("assign", "access", "hex")
 RANDOM = "random"
 SHORTEST = 16
 CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
+#: What a run that no encoding holds is cut into: the longest parts that one encoding holds, and those between any
+#: two of ``=/_-``. Such a part may lie within another.
+PARTS = tuple(rf"[A-Za-z0-9{more}]{{{SHORTEST},}}(?:=+$)?" for more in ("+/", "_-", "+"))
 #: Lower ends of the length classes.
 CLASSES = (16, 20, 24, 32, 48, 96)
 BINS = 200
@@ -74,13 +77,25 @@ def chi_squared_tail(value, freedom):
     return F.when(z > 0, both / 2).otherwise(1 - both / 2)
 
 
+def parts(spans):
+    """Spans that an encoding holds, and the parts of the others."""
+
+    def cut_up(s):
+        found = F.array_distinct(F.concat(*[matches(s["value"], p) for p in PARTS]))
+        shifted = lambda f: F.struct((s["start"] + f["start"]).alias("start"), (s["start"] + f["end"]).alias("end"), f["value"].alias("value"))
+        whole = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+        return F.when(by_encoding(s["value"], 0).isNotNull(), whole).otherwise(F.transform(found, shifted))
+
+    return F.flatten(F.transform(spans, cut_up))
+
+
 def tested(spans):
     """Candidate spans with length class, whether they are plain words, and the combined p-value.
 
     Padding at the end of a token is not tested. Each step has one lambda, so nothing is worked out twice.
     """
     chosen = F.transform(
-        spans,
+        parts(spans),
         lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), F.rtrim(s["value"], F.lit("=")).alias("token"),
             by_encoding(s["value"], 0).alias("encoding"), by_encoding(s["value"], 1).alias("alphabet"),

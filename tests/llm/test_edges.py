@@ -210,6 +210,25 @@ def test_random_tokens_stand_out(spark):
     assert all((s.start, s.end) == (3, 47) for r in found for s in r.found)
 
 
+def test_random_tokens_glued_to_names_and_paths(spark):
+    """A run that no encoding holds is cut into parts that one does, with the places of the parts."""
+    import random
+
+    pick = random.Random(5)
+    words = ["".join(pick.choice(["an", "er", "tion", "the", "ing"]) for _ in range(12)) for _ in range(800)]
+    glued = ["AUTH={}", "session_id={}", "/v1/my-hook/T0a_{}", "a+b_c/{}==", "x=/{}=y-z+q"]
+    rows, keys = [(k, f"so {w} it") for k, w in enumerate(words)], {}
+    for k in range(100):
+        key = "".join(pick.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(44))
+        text = "so " + glued[k % len(glued)].format(key) + " it"
+        rows.append((1000 + k, text))
+        keys[1000 + k] = text.index(key), text.index(key) + len(key)
+    found = secret_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    whole = [r.doc_id for r in found if any(s.start <= keys.get(r.doc_id, (-1, 0))[0] and s.end >= keys[r.doc_id][1] for s in r.found)]
+    assert all(sum(d % len(glued) == k for d in whole) >= 12 for k in range(len(glued)))
+    assert not any(r.found for r in found if r.doc_id < 1000)
+
+
 def test_dedup(spark, docs, nothing):
     found = stream_dedup.exact_dedup(clashing(docs, "KEPT", "digest")).collect()
     assert len(found) == len(ROWS)

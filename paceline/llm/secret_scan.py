@@ -2,11 +2,11 @@
 
 Every long token gets the smallest alphabet that holds it (its inferred encoding) and three tests
 for a random draw from that alphabet: chi-squared uniformity, runs above and below the middle,
-and serial correlation. Their p-values are combined by Fisher's rule. Ordinary words fail such
-tests, long ones clearly and short ones often not, so what p-value makes a token a secret depends
-on its length: in each length class the words of the corpus itself (tokens of letters in one case)
-tell how many tokens that are no secrets would pass, and the threshold is the lowest one at
-which those are at most a share ``Q`` of all that pass.
+and serial correlation. Their p-values are combined by Fisher's rule. In each group of one length
+class and one encoding, Benjamini and Hochberg's rule on the p-values of the distinct tokens says
+which ones are not random, with at most a share ``Q`` of those wrong. The others are reported where
+the tests can tell words: either tokens of that length and alphabet are such that a word would fail, or
+enough are left and their p-values spread evenly, as those of random tokens do.
 
 All of it runs on Spark's own functions. What is gathered from the corpus is one histogram of fixed size.
 """
@@ -31,10 +31,15 @@ CANDIDATE = rf"[A-Za-z0-9+/_=-]{{{SHORTEST},}}"
 PARTS = tuple(rf"[A-Za-z0-9{more}]{{{SHORTEST},}}(?:=+$)?" for more in ("+/", "_-", "+"))
 #: Lower ends of the length classes.
 CLASSES = (16, 20, 24, 32, 48, 96)
-BINS = 200
-#: The accepted share of false discoveries, and how many words a class needs to speak for itself.
+#: Bins of p: even ones, and below the first of them one for each power of ten.
+BINS, POWERS = 200, 12
+#: The accepted share of false discoveries.
 Q = 0.05
-WORDS_NEEDED = 200
+#: Tokens left over in a group are random if there are ENOUGH and their mean p is no more than DEVIATIONS too low.
+ENOUGH, DEVIATIONS = 20, 2.0
+#: Two letters of a word are alike this often (in a random token as often as one in its alphabet), and words fail
+#: the tests where that puts chi-squared so many standard deviations too high. Alphabets up to NO_WORDS hold none.
+ALIKE, CLEARLY, NO_WORDS = 0.067, 4.0, 16
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encodings from the smallest alphabet to the largest: the first that holds a token is its own.
 ENCODINGS = (
@@ -50,7 +55,6 @@ ENCODINGS = (
     ("base64", UPPER + LOWER + DIGITS + "+/", "[0-9A-Za-z+/]+=*"),
     ("base64url", UPPER + LOWER + DIGITS + "-_", "[0-9A-Za-z_-]+=*"),
 )
-WORD = "[A-Za-z]?[a-z]+|[A-Z]+"
 
 
 def by_encoding(token, place):
@@ -81,16 +85,19 @@ def parts(spans):
     """Spans that an encoding holds, and the parts of the others."""
 
     def cut_up(s):
-        found = F.array_distinct(F.concat(*[matches(s["value"], p) for p in PARTS]))
-        shifted = lambda f: F.struct((s["start"] + f["start"]).alias("start"), (s["start"] + f["end"]).alias("end"), f["value"].alias("value"))
+        found = F.concat(*[matches(s["value"], p) for p in PARTS])
+        # as strings, which Spark tells apart by hash; structs take a comparison of every two
+        once = F.array_distinct(F.transform(found, lambda f: F.concat_ws(":", (s["start"] + f["start"]).cast("string"), (s["start"] + f["end"]).cast("string"), f["value"])))
+        fields = F.transform(once, lambda f: F.split(f, ":"))
+        shifted = F.transform(fields, lambda f: F.struct(f[0].cast("int").alias("start"), f[1].cast("int").alias("end"), f[2].alias("value")))
         whole = F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
-        return F.when(by_encoding(s["value"], 0).isNotNull(), whole).otherwise(F.transform(found, shifted))
+        return F.when(by_encoding(s["value"], 0).isNotNull(), whole).otherwise(shifted)
 
     return F.flatten(F.transform(spans, cut_up))
 
 
 def tested(spans):
-    """Candidate spans with length class, whether they are plain words, and the combined p-value.
+    """Candidate spans with length class and the combined p-value.
 
     Padding at the end of a token is not tested. Each step has one lambda, so nothing is worked out twice.
     """
@@ -99,10 +106,9 @@ def tested(spans):
         lambda s: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), F.rtrim(s["value"], F.lit("=")).alias("token"),
             by_encoding(s["value"], 0).alias("encoding"), by_encoding(s["value"], 1).alias("alphabet"),
-            s["value"].rlike(f"^(?:{WORD})$").alias("word"),
         ),
     )
-    usable = F.filter(chosen, lambda s: s["encoding"].isNotNull() & (s["encoding"] != "digits") & (F.length(s["token"]) >= SHORTEST))
+    usable = F.filter(chosen, lambda s: s["encoding"].isNotNull() & (F.length(s["token"]) >= SHORTEST))
     return F.transform(F.transform(usable, counted), combined)
 
 
@@ -129,7 +135,7 @@ def counted(s):
         )
 
     return F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), s["word"].alias("word"), s["encoding"].alias("encoding"),
+        s["start"].alias("start"), s["end"].alias("end"), s["encoding"].alias("encoding"), F.xxhash64(s["token"]).alias("id"),
         F.length(s["token"]).cast("double").alias("n"), size.cast("double").alias("k"), squares.alias("squares"),
         F.aggregate(ranks, start, step).alias("sums"),
     )
@@ -152,35 +158,57 @@ def combined(s):
     p = F.exp(-half) * (1 + half + half * half / 2)
     length = sum(F.when(n >= c, 1).otherwise(0) for c in CLASSES)
     return F.struct(
-        s["start"].alias("start"), s["end"].alias("end"), s["encoding"].alias("encoding"), s["word"].alias("word"),
+        s["start"].alias("start"), s["end"].alias("end"), s["encoding"].alias("encoding"), s["id"].alias("id"),
         length.alias("length"), F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0)).alias("p"),
     )
 
 
 def bin_of(p):
-    return F.least(F.floor(p * BINS), F.lit(BINS - 1)).cast("int")
+    """Even bins from 0 on; -2 and less below the second of them, by powers of ten."""
+    power = F.least(F.floor(-F.log10(F.greatest(p, F.lit(10.0**-POWERS)))), F.lit(POWERS))
+    return F.when(p * BINS < 1, -power).otherwise(F.least(F.floor(p * BINS), F.lit(BINS - 1))).cast("int")
+
+
+def upper_end(b):
+    return (b + 1) / BINS if b >= 0 else min(10.0**b, 1 / BINS)
+
+
+def words_fail(length, encoding):
+    """Whether a word of the shortest length of a class would fail the tests clearly, or can't be one."""
+    k = min(len(alphabet) for name, alphabet, _ in ENCODINGS if name == encoding)
+    return k <= NO_WORDS or CLASSES[length - 1] * (k * ALIKE - 1) >= CLEARLY * (2 * (k - 1)) ** 0.5
+
+
+def evenly(bins, lowest):
+    """Whether there are ENOUGH tokens from a bin on, spread evenly over what p can be there."""
+    left = {b: n for b, n in bins.items() if b >= lowest}
+    count, bar = sum(left.values()), upper_end(lowest - 1) if lowest > -POWERS else 0.0
+    if count < ENOUGH:
+        return False
+    middle = sum(n * ((b + 0.5) / BINS if b >= 0 else upper_end(b) / 2) for b, n in left.items()) / count
+    return middle >= (1 + bar) / 2 - DEVIATIONS * (1 - bar) / (12 * count) ** 0.5
 
 
 def thresholds(rows: DataFrame):
-    """length class -> the lowest bin of p at which a token counts as random; classes without one are missing.
+    """(length class, encoding) -> the lowest bin of p at which a token counts as random; groups without one are missing.
 
-    A class with too few words of its own takes those of the classes below, which pass more easily.
+    Every distinct token counts once, however many rows have it.
     """
-    tokens = rows.select(F.explode("candidates").alias("c"))
-    counts = tokens.groupBy("c.length", "c.word", bin_of(F.col("c.p")).alias("bin")).count().collect()  # at most 6 * 2 * 200 rows
-    words, others = ({c: [0] * BINS for c in range(1, len(CLASSES) + 1)} for _ in range(2))
+    c = F.col("c")
+    tokens = rows.select(F.explode("candidates").alias("c")).select(c["length"].alias("length"), c["encoding"].alias("encoding"), bin_of(c["p"]).alias("bin"), c["id"].alias("id"))
+    counts = tokens.distinct().groupBy("length", "encoding", "bin").count().collect()  # at most 6 * 10 * 212 rows
+    groups = {}
     for r in counts:
-        (words if r["word"] else others)[r["length"]][r["bin"]] += r["count"]
-    out, speaking = {}, [0] * BINS
-    for c in sorted(words):
-        speaking = words[c] if sum(words[c]) >= WORDS_NEEDED else [a + b for a, b in zip(speaking, words[c])]
-        total, found = sum(speaking), sum(others[c])
-        for b in range(BINS):
-            passing = sum(others[c][b:])
-            expected = found * (sum(speaking[b:]) + 1) / (total + 1)  # the added one keeps a few words from claiming zero
-            if passing and expected <= Q * passing:
-                out[c] = b
-                break
+        groups.setdefault((r["length"], r["encoding"]), {})[r["bin"]] = r["count"]
+    out = {}
+    for group, bins in groups.items():
+        total, rejected, lowest = sum(bins.values()), 0, -POWERS
+        for b in sorted(bins):
+            rejected += bins[b]
+            if total * upper_end(b) <= Q * rejected:
+                lowest = b + 1
+        if words_fail(*group) or evenly(bins, lowest):
+            out[group] = lowest
     return out
 
 
@@ -202,9 +230,9 @@ def scan(docs: DataFrame, text="text", keep=("doc_id",)) -> DataFrame:
 
     def passes(s):
         out = chosen
-        for length, lowest in limits.items():
-            out = out | ((s["length"] == length) & (bin_of(s["p"]) >= lowest))
-        return out & ~s["word"]
+        for (length, encoding), lowest in limits.items():
+            out = out | ((s["length"] == length) & (s["encoding"] == encoding) & (bin_of(s["p"]) >= lowest))
+        return out
 
     found = named(F.filter("candidates", passes), RANDOM, len(BASE))
     return rows.select(*kept, "base", found.alias("found"))

@@ -229,6 +229,25 @@ def test_random_tokens_glued_to_names_and_paths(spark):
     assert not any(r.found for r in found if r.doc_id < 1000)
 
 
+def test_random_tokens_of_few_symbols_and_hot_words(spark):
+    """Digits and letters in one case are found too; one word in a third of the rows changes nothing, and short words are none."""
+    import random
+
+    pick = random.Random(7)
+    syllables = ["an", "er", "tion", "the", "ing", "schl", "heit", "mou", "qu", "pf"]
+    words = ["".join(pick.choice(syllables) for _ in range(n)) for n in (6, 12) for _ in range(400)]
+    draw = lambda letters: "".join(pick.choice(letters) for _ in range(60))
+    keys = [draw(x) for x in (secret_scan.DIGITS, secret_scan.LOWER, secret_scan.UPPER, secret_scan.UPPER + "234567") for _ in range(60)]
+    hot = "thequickbrownfoxjumpsoverthelazydogandsofortharkviewzoompackets"  # as even as a random token
+    rows = [(k, f"so {w} it") for k, w in enumerate(words)] + [(10_000 + k, f"so {w} it") for k, w in enumerate(keys)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    much = spark.range(500).select((F.col("id") + 20_000).alias("doc_id"), F.lit(f"so {hot} it").alias("text"))
+    for table in (df, df.unionByName(much)):
+        hits = {r.doc_id for r in secret_scan.scan(table).collect() if r.found and r.doc_id < 20_000}
+        found = [sum(10_000 + 60 * k <= d < 10_060 + 60 * k for d in hits) for k in range(4)]
+        assert min(found) >= 40 and sum(d < 10_000 for d in hits) <= 20, (found, sum(d < 10_000 for d in hits))
+
+
 def test_dedup(spark, docs, nothing):
     found = stream_dedup.exact_dedup(clashing(docs, "KEPT", "digest")).collect()
     assert len(found) == len(ROWS)

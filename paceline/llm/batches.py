@@ -35,6 +35,19 @@ def slices(batch, column, limit=SLICE_BYTES):
         yield first, texts.slice(first).to_pylist()
 
 
+def word_blocks(text, limit=SLICE_BYTES):
+    """Lists of consecutive words of a text whose separators are spaces, from about ``limit`` bytes each.
+
+    A word is never cut, so one of more bytes makes a longer block.
+    """
+    first = 0
+    while first < len(text):
+        last = text.find(b" ", first + limit)
+        last = len(text) if last < 0 else last
+        yield text[first:last].split()
+        first = last
+
+
 def with_columns(batch, columns):
     """The batch with these columns; columns of the same name (in any case) are replaced."""
     taken = {name.lower() for name in columns}

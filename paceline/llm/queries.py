@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from paceline.llm import bpe, chat, decontaminate, ngram_join, pii, quality, secret_scan, sharding, stream_dedup, token_files
+from paceline.llm import bpe, chat, decontaminate, importance, ngram_join, pii, quality, secret_scan, sharding, stream_dedup, token_files
 from paceline.session import durable, fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -93,7 +93,22 @@ def op10_feistel_shards(spark, folder):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_chat, op4_decontaminate, op5_secrets, op6_exact_dedup, op7_pii, op8_quality, op9_token_files, op10_feistel_shards)}
+def op11_importance(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return importance.ranked(docs, table(spark, folder, "benchmark")).drop("n_words")
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_chat, op4_decontaminate, op5_secrets, op6_exact_dedup, op7_pii, op8_quality, op9_token_files, op10_feistel_shards, op11_importance)}
+
+
+
+def crc32_sql(text):
+    """The unsigned CRC-32 of a text's UTF-8 bytes in DuckDB: one step for each bit, lowest bit first."""
+    digit = f"instr('0123456789ABCDEF', substr(hex({text}), CAST(2 * (k // 8) + CASE WHEN k % 8 < 4 THEN 2 ELSE 1 END AS BIGINT), 1)) - 1"
+    bits = f"list_transform(range(4 * length(hex({text}))), lambda k: (({digit}) >> CAST(k % 4 AS INTEGER)) & 1)"
+    step = "lambda c, b: xor(c >> 1, 3988292384 * (xor(c, b) & 1))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {bits}), {step}), 4294967295)"
+
 
 SQL = {
     "op1_ngram_join": r"""
@@ -151,6 +166,46 @@ SQL = {
             coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
     """,
+    "op11_importance": rf"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM documents),
+        own AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word FROM d) GROUP BY ALL),
+        wanted AS (
+            SELECT word, count(*) AS n FROM (
+                SELECT unnest(regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+                FROM benchmark)
+            GROUP BY word),
+        words AS (
+            SELECT word, {crc32_sql('word')} % 10000 AS bucket
+            FROM (SELECT word FROM own UNION SELECT word FROM wanted)),
+        s AS (SELECT bucket, sum(n) AS n FROM own JOIN words USING (word) GROUP BY bucket),
+        t AS (SELECT bucket, sum(n) AS n FROM wanted JOIN words USING (word) GROUP BY bucket),
+        totals AS (SELECT CAST((SELECT coalesce(sum(n), 0) FROM s) AS DOUBLE) AS s, CAST((SELECT coalesce(sum(n), 0) FROM t) AS DOUBLE) AS t),
+        gains AS (
+            SELECT s.bucket AS bucket, CAST(floor(1000 * ln(
+                (CAST(coalesce(t.n, 0) AS DOUBLE) + 1) * (totals.s + 10000)
+                / ((CAST(s.n AS DOUBLE) + 1) * (totals.t + 10000)))) AS BIGINT) AS gain
+            FROM s LEFT JOIN t USING (bucket), totals),
+        weights AS (
+            SELECT doc_id, CAST(floor(CAST(sum(n * gain) AS DOUBLE) / sum(n)) AS BIGINT) AS weight
+            FROM own JOIN words USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+        scored AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+                coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+                    (CAST(CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) AS DOUBLE) + 0.5::DOUBLE)
+                    / 4294967296::DOUBLE))) AS BIGINT) AS score
+            FROM d LEFT JOIN weights USING (doc_id)),
+        placed AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n
+            FROM scored WHERE n_features >= 20)
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= floor(10 * n / 100) THEN place END AS rank
+        FROM scored LEFT JOIN placed USING (doc_id)
+    """,
     "op6_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,

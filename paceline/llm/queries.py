@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from paceline.llm import bpe, chat, decontaminate, importance, ngram_join, pii, quality, secret_scan, sharding, stream_dedup, token_files
+from paceline.llm import bpe, chat, decontaminate, importance, ngram_join, pii, quality, secret_scan, sharding, simhash, stream_dedup, token_files
 from paceline.session import durable, fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -98,7 +98,11 @@ def op11_importance(spark, folder):
     return importance.ranked(docs, table(spark, folder, "benchmark")).drop("n_words")
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_chat, op4_decontaminate, op5_secrets, op6_exact_dedup, op7_pii, op8_quality, op9_token_files, op10_feistel_shards, op11_importance)}
+def op12_simhash(spark, folder):
+    return simhash.similarity_groups(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_chat, op4_decontaminate, op5_secrets, op6_exact_dedup, op7_pii, op8_quality, op9_token_files, op10_feistel_shards, op11_importance, op12_simhash)}
 
 
 

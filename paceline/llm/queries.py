@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from paceline.llm import bpe, chat, decontaminate, importance, ngram_join, pii, quality, secret_scan, sharding, simhash, stream_dedup, token_files
+from paceline.llm import (
+    bpe, chat, decontaminate, importance, ngram_join, pii, prefix_trie, quality, secret_scan, sharding, simhash, stream_dedup, token_files,
+)
 from paceline.session import durable, fresh_path
 
 TOKENIZER = "word_bpe_49k.json"
@@ -102,7 +104,25 @@ def op12_simhash(spark, folder):
     return simhash.similarity_groups(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_chat, op4_decontaminate, op5_secrets, op6_exact_dedup, op7_pii, op8_quality, op9_token_files, op10_feistel_shards, op11_importance, op12_simhash)}
+def op13_prefix_trie(spark, folder):
+    turns = durable(prefix_trie.coded_turns(table(spark, folder, "conversations")))
+    return prefix_trie.trie_of(*rebuilt(turns))
+
+
+def rebuilt(turns, every=20, longest=4):
+    """(coded turns, conversations): each one begins with the first h turns of every 20th conversation, then come its own after its first h."""
+    known = turns.groupBy("conv").agg(F.max("pos").alias("size"))
+    base, head = F.col("conv") - F.col("conv") % every, F.crc32(F.col("conv").cast("string").cast("binary")) % longest
+    plan = known.select("conv", base.alias("base"), head.alias("h"))
+    sizes = known.select(F.col("conv").alias("base"), F.col("size").alias("there"))
+    plan = durable(plan.join(sizes, "base", "left").select("*", F.least("h", F.coalesce("there", F.lit(0))).alias("taken")).drop("there"))
+    heads = turns.where(F.col("pos") < longest).withColumnRenamed("conv", "base").join(plan, "base").where(F.col("pos") <= F.col("taken"))
+    own = turns.join(plan, "conv").where(F.col("pos") > F.col("h")).withColumn("pos", F.col("pos") - F.col("h") + F.col("taken"))
+    names = ["conv", "pos", "digest", "words"]
+    return heads.select(*names).unionByName(own.select(*names)), plan.select("conv")
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_join, op2_bpe, op3_chat, op4_decontaminate, op5_secrets, op6_exact_dedup, op7_pii, op8_quality, op9_token_files, op10_feistel_shards, op11_importance, op12_simhash, op13_prefix_trie)}
 
 
 
@@ -210,6 +230,39 @@ SQL = {
         SELECT doc_id, n_features, weight, score, CASE WHEN place <= floor(10 * n / 100) THEN place END AS rank
         FROM scored LEFT JOIN placed USING (doc_id)
     """,
+    "op13_prefix_trie": rf"""
+        WITH turns AS (
+            SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS said,
+                row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos
+            FROM conversations WHERE conv_id IS NOT NULL),
+        plan AS (
+            SELECT c, c - c % 20 AS base, {crc32_sql("CAST(c AS VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT c FROM turns)),
+        new AS (
+            SELECT plan.c AS c, 0 AS part, pos, role, said FROM plan JOIN turns ON turns.c = base AND pos <= h
+            UNION ALL
+            SELECT c, 1 AS part, pos, role, said FROM plan JOIN turns USING (c) WHERE pos > h),
+        seqs AS (
+            SELECT plan.c AS c, coalesce(list(struct_pack(role := role, said := said) ORDER BY part, pos) FILTER (WHERE pos IS NOT NULL), []) AS seq
+            FROM plan LEFT JOIN new USING (c) GROUP BY plan.c),
+        paths AS (
+            SELECT c, d, seq[1:d] AS prefix, len(seq) = d AS ending,
+                CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(seq[d].said, '[^\x20\x09-\x0D]+')) END AS words
+            FROM (SELECT c, seq, unnest(range(0, len(seq) + 1)) AS d FROM seqs)),
+        named AS (SELECT *, min(c) OVER (PARTITION BY d, prefix) AS low FROM paths),
+        nodes AS (
+            SELECT low, d, count(*) AS n, any_value(words) AS words,
+                string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ending) AS ends
+            FROM named GROUP BY low, d),
+        upper AS (SELECT x.low, x.d, y.low AS parent FROM nodes x LEFT JOIN named y ON y.c = x.low AND y.d = x.d - 1),
+        children AS (SELECT parent AS low, d - 1 AS d, count(*) AS n_children FROM upper WHERE d > 0 GROUP BY ALL),
+        below AS (
+            SELECT a.low, a.d, sum((x.n - 1) * x.words) AS saved, count(*) FILTER (WHERE k.n_children IS NULL) AS n_leaves
+            FROM nodes x LEFT JOIN children k USING (low, d) JOIN named a ON a.c = x.low AND a.d <= x.d GROUP BY ALL)
+        SELECT low AS conv_id, CAST(d AS BIGINT) AS depth, parent AS parent_conv_id, CAST(n AS BIGINT) AS n_convs,
+            CAST(coalesce(n_children, 0) AS BIGINT) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+            CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ends, '')) AS ends_sha256
+        FROM nodes JOIN upper USING (low, d) JOIN below USING (low, d) LEFT JOIN children USING (low, d)
+    """,
     "op6_exact_dedup": r"""
         WITH t AS (
             SELECT doc_id, length(coalesce(text, '')) AS chars,

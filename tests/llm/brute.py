@@ -1,10 +1,14 @@
 """Plain Python versions of the contracts, for small tables."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import xxhash
+
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -99,3 +103,70 @@ def equal_texts(rows):
     for key, text in rows.items():
         found[re.sub(r"[\x20\x09-\x0D]", "", text or "")].append((-len(text or ""), key))
     return {key: (min(group)[1], len(group)) for group in found.values() for _, key in group}
+
+
+def near_groups(prints, bits=2):
+    """key -> smallest key reachable by fingerprints of at most ``bits`` differing bits."""
+    home = {k: k for k in prints}
+
+    def find(k):
+        while home[k] != k:
+            k = home[k]
+        return k
+
+    for a, b in combinations(sorted(prints), 2):
+        if (prints[a] ^ prints[b]).bit_count() <= bits:
+            low, high = sorted((find(a), find(b)))
+            home[high] = low
+    return {k: find(k) for k in prints}
+
+
+def simhash(text, size=3):
+    listed = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(FOLD))
+    if not listed:
+        return 0
+    grams = [" ".join(listed[k : k + size]) for k in range(max(1, len(listed) - size + 1))]
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def runs(text, longest):
+    """All runs of 1 to ``longest`` words, joined by spaces."""
+    listed = words(text)
+    return [" ".join(listed[k : k + n]) for n in range(1, longest + 1) for k in range(len(listed) - n + 1)]
+
+
+def importance(rows, target, longest=1, buckets=10_000, least=20, percent=10, seed=2024):
+    """key -> (features, weight, score, rank) for distinct keys."""
+    count = lambda texts: Counter(zlib.crc32(r.encode()) % buckets for t in texts for r in runs(t, longest))
+    s, t = count(rows.values()), count(target)
+    total_s, total_t = sum(s.values()), sum(t.values())
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * (total_s + buckets) / ((s[b] + 1) * (total_t + buckets)))) for b in s}
+    out, fit = {}, []
+    for key, text in rows.items():
+        found = [gain[zlib.crc32(r.encode()) % buckets] for r in runs(text, longest)]
+        weight = sum(found) // len(found) if found else 0
+        u = (int(sha(f"{seed}:{key}")[:8], 16) + 0.5) / 2**32
+        out[key] = (len(found), weight, weight + math.floor(-1000 * math.log(-math.log(u))))
+        if len(words(text)) >= least:
+            fit.append((-out[key][2], key))
+    rank = {key: k + 1 for k, (_, key) in enumerate(sorted(fit)[: len(fit) * percent // 100])}
+    return {key: (*found, rank.get(key)) for key, found in out.items()}
+
+
+def trie(conversations):
+    """Rows of the trie of {key: [(role, text), ...]}, sorted."""
+    nodes = defaultdict(list)
+    for key, turns in conversations.items():
+        for d in range(len(turns) + 1):
+            nodes[tuple(turns[:d])].append(key)
+    rows = []
+    for node, members in nodes.items():
+        below = [n for n in nodes if n[: len(node)] == node]
+        leaves = [n for n in below if not any(len(m) == len(n) + 1 and m[: len(n)] == n for m in below)]
+        saved = sum((len(nodes[n]) - 1) * len(re.findall(r"[^\x20\x09-\x0D]+", n[-1][1])) for n in below if n)
+        ended = ",".join(str(k) for k in sorted(members) if len(conversations[k]) == len(node))
+        parent = min(nodes[node[:-1]]) if node else None
+        children = sum(len(n) == len(node) + 1 for n in below)
+        rows.append((min(members), len(node), parent, len(members), children, len(leaves), saved, sha(ended)))
+    return sorted(rows, key=lambda r: (r[0], r[1]))

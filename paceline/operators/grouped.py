@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from paceline.operators.history import SPREAD, RunningSum, spread_unkeyed, with_history
 from paceline.operators.skew import HotGroups, all_present, hot_groups, lookup_side, max_group_rows
+from paceline.session import durable
 
 
 def group_median(df: DataFrame, keys, column, name, approx=False, hot: HotGroups | None = None) -> DataFrame:
@@ -113,14 +114,19 @@ def global_medians(df: DataFrame, columns, approx=False, rows=None) -> dict:
 def guarded_corr(x, y):
     """Pearson correlation over the rows where both columns are present.
 
-    Null when fewer than two such rows exist or either column does not vary.
+    Null when fewer than two such rows exist or either column does not vary. That a column
+    varies shows in its extremes: equal values may leave a variance of rounding errors.
     """
-    both = F.col(x).isNotNull() & F.col(y).isNotNull()
-    a, b = F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double"))
-    varies = (F.count(a) > 1) & (F.var_pop(a) > 0) & (F.var_pop(b) > 0)
+    a, b = _both_present(x, y)
+    varies = (F.count(a) > 1) & (F.min(a) < F.max(a)) & (F.min(b) < F.max(b)) & (F.var_pop(a) > 0) & (F.var_pop(b) > 0)
     return F.when(varies, F.covar_pop(a, b) / (F.stddev_pop(a) * F.stddev_pop(b)))
 
 
+def _both_present(x, y):
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    return F.when(both, F.col(x).cast("double")), F.when(both, F.col(y).cast("double"))
+
+
 def correlation_by(df: DataFrame, key, x, y, name, fill=0.5) -> DataFrame:
     """(key, name): guarded correlation of two columns per group."""
     return df.groupBy(key).agg(F.coalesce(guarded_corr(x, y), F.lit(fill)).alias(name))
@@ -131,35 +137,113 @@ def in_stored_order(order):
     return F.struct(*[F.struct(F.col(c).isNull(), F.col(c)) for c in order])
 
 
-def correlation_by_cutoff(df: DataFrame, key, season, x, y, name, fill=0.5) -> DataFrame:
-    """(key, season, name) for each season that a key has: guarded correlation over its rows of earlier seasons.
+MOMENTS = "struct<n:bigint,x:double,y:double,xx:double,yy:double,xy:double,x_low:double,x_high:double,y_low:double,y_high:double>"
+
 
-    One aggregate per key and season, and running sums over a key's seasons: the rows are
-    read once for all cutoffs.
+def co_moments(x, y):
+    """Rows, means, extremes and centred sums of squares and products where both columns are present, as one struct.
+
+    The mean of equal values is that value, exactly, so that merging such groups adds no variance.
+    """
+    a, b = _both_present(x, y)
+    n, mean = F.count(a), lambda c: F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.avg(c))
+    sums = F.var_pop(a) * n, F.var_pop(b) * n, F.covar_pop(a, b) * n
+    return F.struct(n, mean(a), mean(b), *sums, F.min(a), F.max(a), F.min(b), F.max(b)).cast(MOMENTS)
+
+
+def merged_moments(a, b):
+    """The co-moments of two groups of rows together, by the pairwise update: nothing is squared before it is centred."""
+    n, dx, dy = a["n"] + b["n"], b["x"] - a["x"], b["y"] - a["y"]
+    share = b["n"] / n
+    centre = a["n"] * share
+    both = F.struct(
+        n, a["x"] + dx * share, a["y"] + dy * share,
+        a["xx"] + b["xx"] + dx * dx * centre, a["yy"] + b["yy"] + dy * dy * centre, a["xy"] + b["xy"] + dx * dy * centre,
+        F.least(a["x_low"], b["x_low"]), F.greatest(a["x_high"], b["x_high"]),
+        F.least(a["y_low"], b["y_low"]), F.greatest(a["y_high"], b["y_high"]),
+    ).cast(MOMENTS)
+    return F.when(b["n"] == 0, a).when(a["n"] == 0, b).otherwise(both)
+
+
+def moments_corr(m):
+    """The guarded correlation that co-moments (a struct column) amount to."""
+    varies = (m["n"] > 1) & (m["x_low"] < m["x_high"]) & (m["y_low"] < m["y_high"]) & (m["xx"] > 0) & (m["yy"] > 0)
+    return F.when(varies, m["xy"] / (F.sqrt(m["xx"]) * F.sqrt(m["yy"])))
+
+
+def correlation_by_cutoff(df: DataFrame, key, season, x, y, name, fill=0.5, cutoffs=None) -> DataFrame:
+    """(key, season, name): guarded correlation of a key's rows of earlier seasons.
+
+    There is a row for each season that a key has, or for each of ``cutoffs`` (a list of seasons), if
+    given. The rows are read once for all of them: each season of a key amounts to one struct of
+    co-moments, and a fold along the key's seasons (as many as there are years) carries them on.
     """
-    a, b = (F.when(F.col(x).isNotNull() & F.col(y).isNotNull(), F.col(c).cast("double")) for c in (x, y))
-    sums = {"n": F.count(a), "sx": F.sum(a), "sy": F.sum(b), "sxx": F.sum(a * a), "syy": F.sum(b * b), "sxy": F.sum(a * b)}
-    each = df.groupBy(key, season).agg(*[v.alias(f"_{n}") for n, v in sums.items()])
-    earlier = Window.partitionBy(key).orderBy(season).rowsBetween(Window.unboundedPreceding, -1)
-    n, sx, sy, sxx, syy, sxy = (F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(c) for c in sums)
-    rows = each.select(key, season, n, sx, sy, sxx, syy, sxy)
-    spread_x, spread_y = F.expr("n * sxx - sx * sx"), F.expr("n * syy - sy * sy")
-    varies = (F.col("n") > 1) & (spread_x > 0) & (spread_y > 0)
-    value = F.when(varies, F.expr("n * sxy - sx * sy") / F.sqrt(spread_x * spread_y))
-    return rows.select(key, season, F.coalesce(value, F.lit(fill)).alias(name))
-
-
-def medians_by_cutoff(df: DataFrame, season, column, name) -> DataFrame:
-    """(season, name): the median of the column over all rows of earlier seasons; no row without any.
-
-    Values are counted per season once; a count then takes part in every later cutoff. The
-    seasons are as many as there are years.
+    kind = df.schema[season].dataType
+    each = df.where(F.col(season).isNotNull()).groupBy(key, season).agg(co_moments(x, y).alias("_m"))
+    # what is asked for a season comes before the season's own rows
+    own = F.struct(F.col(season).alias("season"), F.lit(1).alias("own"), F.col("_m").alias("m"))
+    steps = each.groupBy(key).agg(F.collect_list(own).alias("_steps"))
+    nothing = F.struct(F.lit(0), *[F.lit(0.0)] * 5, *[F.lit(None)] * 4).cast(MOMENTS)
+    asked = [F.struct(F.lit(c).cast(kind).alias("season"), F.lit(0).alias("own"), nothing.alias("m")) for c in cutoffs or []]
+    every = F.concat("_steps", F.array(*asked)) if asked else F.col("_steps")
+    wanted = 1 if cutoffs is None else 0
+    seen = f"array<struct<season:{kind.simpleString()},m:{MOMENTS}>>"
+    start = F.struct(nothing.alias("state"), F.array().cast(seen).alias("out"))
+
+    def follow(so_far, step):
+        out = F.struct(step["season"].alias("season"), so_far["state"].alias("m"))
+        return F.struct(
+            merged_moments(so_far["state"], step["m"]).alias("state"),
+            F.when(step["own"] == wanted, F.concat(so_far["out"], F.array(out))).otherwise(so_far["out"]).cast(seen).alias("out"),
+        )
+
+    folded = steps.select(key, F.explode(F.aggregate(F.array_sort(every), start, follow)["out"]).alias("_at"))
+    return folded.select(key, F.col("_at.season").alias(season), F.coalesce(moments_corr(F.col("_at.m")), F.lit(fill)).alias(name))
+
+
+CHUNK_BITS = 12
+
+
+def medians_by_cutoff(df: DataFrame, season, column, name, keys=(), cutoffs=None) -> DataFrame:
+    """(keys, season, name): the median of the column over a group's rows of earlier seasons; no row without any.
+
+    Without ``keys`` the whole table is the group; rows that lack a key are in none. Every season of
+    the table is a cutoff, or each of ``cutoffs``, if given. Values are counted per season once, sorted
+    by range and cut into chunks of 4,096. What a chunk holds of each season says, summed up along
+    the chunks, in which chunk the middle of a cutoff lies, and only that chunk is looked into for it. So
+    what is shuffled grows with the distinct values; cutoffs multiply nothing but the chunks.
     """
-    seasons = sorted(r[0] for r in df.select(season).where(F.col(season).isNotNull()).distinct().collect())
-    counts = df.where(F.col(column).isNotNull() & F.col(season).isNotNull()).groupBy(season, column).agg(F.count(F.lit(1)).alias("_n"))
-    later = F.explode(F.filter(F.array(*[F.lit(s) for s in seasons]) if seasons else F.array(F.col(season)), lambda s: s > F.col(season)))
-    values = counts.withColumn("_cutoff", later).groupBy("_cutoff", column).agg(F.sum("_n").alias("_n"))
-    return _median_of_counts(values, ["_cutoff"], column, name).withColumnRenamed("_cutoff", season)
+    keys = list(keys)
+    present = df.where(all_present([*keys, column, season]))
+    if cutoffs is None:
+        cutoffs = [r[0] for r in present.select(season).distinct().collect()]  # as many as there are years
+    by = [*keys, column, season]
+    counts = present.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = counts.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_place", F.monotonically_increasing_id())
+    values = durable(ranged).withColumn("_chunk", F.shiftright("_place", CHUNK_BITS)).drop("_place")
+
+    held = values.groupBy(*keys, "_chunk", season).agg(F.sum("_n").alias("_n"))
+    held = held.groupBy(*keys, "_chunk").agg(F.collect_list(F.struct(F.col(season).alias("season"), "_n")).alias("_held"))
+    kind = df.schema[season].dataType
+    asked = F.array(*[F.lit(c).cast(kind) for c in sorted(cutoffs)]) if cutoffs else F.array().cast(f"array<{kind.simpleString()}>")
+    earlier = F.aggregate(
+        F.filter("_held", lambda s: s["season"] < F.col("_cutoff")), F.lit(0).cast("long"), lambda total, s: total + s["_n"]
+    )
+    placed = held.withColumn("_cutoff", F.explode(asked)).select(*keys, "_chunk", "_cutoff", earlier.alias("_here")).where("_here > 0")
+    group = Window.partitionBy(*keys, "_cutoff")
+    before_it = F.coalesce(F.sum("_here").over(group.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = placed.withColumns({"_below": before_it, "_size": F.sum("_here").over(group)})
+    low, high = F.floor((F.col("_size") - 1) / 2), F.floor(F.col("_size") / 2)
+    holds = lambda place, below, n: (below <= place) & (place < below + n)
+    middle = placed.where(holds(low, F.col("_below"), F.col("_here")) | holds(high, F.col("_below"), F.col("_here")))
+
+    inside = values.join(middle, [*keys, "_chunk"]).where(F.col(season) < F.col("_cutoff"))
+    along = Window.partitionBy(*keys, "_cutoff", "_chunk").orderBy(column, season).rowsBetween(Window.unboundedPreceding, -1)
+    inside = inside.withColumn("_below", F.col("_below") + F.coalesce(F.sum("_n").over(along), F.lit(0)))
+    at_low, at_high = (holds(p, F.col("_below"), F.col("_n")) for p in (low, high))
+    lower, upper = F.max(F.when(at_low, F.col(column))), F.max(F.when(at_high, F.col(column)))
+    found = inside.where(at_low | at_high).groupBy(*keys, "_cutoff").agg(((lower + upper) / 2).cast("double").alias(name))
+    return found.withColumnRenamed("_cutoff", season)
 
 
 def last_wins(df: DataFrame, keys, values, order) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from paceline.functions.scalars import before
 from paceline.operators.grouped import in_stored_order
 from paceline.operators.history import Carried, Previous, with_history
-from paceline.operators.skew import all_present, lookup_side
+from paceline.operators.skew import all_present, hot_groups, lookup_side
 
 RACE = ("year", "round")
 
@@ -100,6 +100,7 @@ def as_of_previous(rows: DataFrame, entity, order, stats, race=None, hot=None) -
     the race before holds, as in ``as_of_cutoff``. A row without a race has nothing before it.
     """
     race = list(race or order)
+    hot = hot_groups(rows, [entity]) if hot is None else hot
     packed = rows.withColumns({"_stats": F.struct(*stats), "_race": F.struct(*race)})
     seen = [Previous("_before", "_stats"), Previous("_race_before", "_race")]
     packed = with_history(packed, [entity], order, seen, hot)

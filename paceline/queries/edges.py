@@ -78,12 +78,29 @@ def importance_by_cutoff(spark, folder):
     )
 
 
+def importance_by_cutoff_offsets(spark, folder):
+    """The same where a measure hardly varies beside its size, and where one does not vary at all."""
+    rows = race_results(spark, folder).withColumn("circuit", F.concat(F.lit("c"), (F.col("round") % 6).cast("string")))
+    rows = rows.where(finished("status")).withColumns(
+        {"grid": F.when(F.col("round") % 6 == 5, 0.1).otherwise(F.col("grid") + 1e8), "position": F.col("position") * 1e-3 - 1e5}
+    )
+    return correlation_by_cutoff(rows, "circuit", "year", "grid", "position", "importance").withColumn(
+        "importance", F.round("importance", 5)
+    )
+
+
 def medians_before_seasons(spark, folder):
     """The median order value before each season."""
     orders = _orders_by_season(spark, folder).withColumn("o_totalprice", F.round("o_totalprice", 0))
     return medians_by_cutoff(orders, "year", "o_totalprice", "price")
 
 
+def medians_by_team_and_cutoff(spark, folder):
+    """Each team's median finish in earlier seasons, for some seasons with and without rows of their own."""
+    rows = race_results(spark, folder).withColumn("Team", F.when(F.col("round") != 7, F.col("Team")))
+    return medians_by_cutoff(rows, "year", "position", "finish", keys=["Team"], cutoffs=[1995, 1997, 2000, 2050])
+
+
 def lap_nans(spark, folder):
     """Landed laps whose stint is NaN or whose time is missing."""
     events, kind = table(spark, folder, "events"), F.col("event_type")
@@ -203,7 +220,8 @@ def pit_loss_lists(spark, folder):
 QUERIES = {
     f.__name__: f
     for f in (
-        dense_scaled_nulls, keyed_nulls, features_null_circuits, keyless_features, asof_repeats, importance_by_cutoff, medians_before_seasons, lap_nans, stored_nans,
+        dense_scaled_nulls, keyed_nulls, features_null_circuits, keyless_features, asof_repeats, importance_by_cutoff,
+        importance_by_cutoff_offsets, medians_before_seasons, medians_by_team_and_cutoff, lap_nans, stored_nans,
         lap_scan_repeats, season_sink_csv_new_column, stored_order, timing_sink, facts_stored, calendar_sink, pit_loss_lists,
     )
 }
@@ -266,6 +284,23 @@ from places p left join (
   select *, grid as x, "position" as y, true as known from finishers where grid is not null and "position" is not null) f
   on f.circuit = p.circuit and f."year" < p."year"
 group by 1, 2""",
+    "importance_by_cutoff_offsets": f"""
+with {RACE_RESULTS},
+finishers as (
+  select 'c' || cast("round" % 6 as varchar) as circuit, "year",
+    case when "round" % 6 = 5 then cast(0.1 as double) else grid + 1e8::double end as x, "position" * 1e-3::double - 1e5::double as y
+  from results where status in ('Finished', '+1 Lap')),
+places as (select distinct circuit, "year" from finishers)
+select p.circuit, p."year", round(coalesce(case when count(f."year") > 1 and min(x) < max(x) and min(y) < max(y)
+  then covar_pop(x, y) / (stddev_pop(x) * stddev_pop(y)) end, 0.5), 5) as importance
+from places p left join (select * from finishers where y is not null) f on f.circuit = p.circuit and f."year" < p."year"
+group by 1, 2""",
+    "medians_by_team_and_cutoff": f"""
+with {RACE_RESULTS},
+rows_ as (select "year", "position", case when "round" <> 7 then "Team" end as "Team" from results)
+select "Team", cast(c as integer) as "year", median("position") as finish
+from rows_ join (select unnest([1995, 1997, 2000, 2050]) as c) on "year" < c
+where "Team" is not null and "position" is not null group by 1, 2""",
     "medians_before_seasons": f"""
 with {BY_SEASON}
 select y."year", median(round(o.o_totalprice, 0)) as price from (select distinct "year" from old) y

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paceline.operators.history import SPREAD, RunningSum, spread_unkeyed, with_history
-from paceline.operators.skew import HotGroups, all_present, hot_groups, lookup_side, max_group_rows
+from paceline.operators.skew import MARK, HotGroups, all_present, hot_groups, lookup_side, max_group_rows
 from paceline.session import durable
 
 
@@ -16,7 +16,8 @@ def group_median(df: DataFrame, keys, column, name, approx=False, hot: HotGroups
     the middle is found by running totals along the values.
     """
     keys = list(keys)
-    present = df.where(F.col(column).isNotNull()).select(*keys, column)
+    marked = [MARK] if MARK in df.columns else []
+    present = df.where(F.col(column).isNotNull()).select(*keys, column, *marked)
     if approx:
         return present.groupBy(*keys).agg(F.percentile_approx(column, 0.5, 100_000).alias(name))
     hot = hot_groups(present, keys) if hot is None else hot

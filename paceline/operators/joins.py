@@ -95,19 +95,19 @@ def as_of_cutoff(history: DataFrame, targets: DataFrame, entity, season, seq, cu
 def as_of_previous(rows: DataFrame, entity, order, stats, race=None, hot=None) -> DataFrame:
     """Every row with the stats of the entity's last row strictly before its race, all races in one pass.
 
-    ``race`` are the leading columns of ``order`` that name the race (all of them, if not
-    given). An entity may have several rows in a race: they all get what the last row of
+    ``entity`` is a column or a list of them. ``race`` are the leading columns of ``order`` that
+    name the race (all of them, if not given). An entity may have several rows in a race: they all get what the last row of
     the race before holds, as in ``as_of_cutoff``. A row without a race has nothing before it.
     """
-    race = list(race or order)
-    hot = hot_groups(rows, [entity]) if hot is None else hot
+    race, keys = list(race or order), [entity] if isinstance(entity, str) else list(entity)
+    hot = hot_groups(rows, keys) if hot is None else hot
     packed = rows.withColumns({"_stats": F.struct(*stats), "_race": F.struct(*race)})
     seen = [Previous("_before", "_stats"), Previous("_race_before", "_race")]
-    packed = with_history(packed, [entity], order, seen, hot)
+    packed = with_history(packed, keys, order, seen, hot)
     # the first row of a race knows the row before the race; the others of the race take it from there
     first = ~F.col("_race").eqNullSafe(F.col("_race_before"))
     packed = packed.withColumn("_start", F.when(first, F.struct(F.col("_before"))))
-    packed = with_history(packed, [entity], order, [Carried("_kept", "_start", tuple(order))], hot)
+    packed = with_history(packed, keys, order, [Carried("_kept", "_start", tuple(order))], hot)
     known = all_present(race)
     filled = [F.coalesce(F.when(known, F.col(f"_kept._before.{c}")), _default(v)).alias(c) for c, v in stats.items()]
     return packed.select(*[c for c in rows.columns if c not in stats], *filled)

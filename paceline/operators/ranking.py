@@ -64,22 +64,35 @@ def label_index(df: DataFrame, column, name) -> DataFrame:
     return number_rows(labels, [], [column], name).withColumn(name, (F.col(name) - 1).cast("int"))
 
 
+def label_index_by_cutoff(df: DataFrame, column, name, season, cutoffs) -> DataFrame:
+    """(column, season, name): for each of ``cutoffs`` the labels seen in earlier seasons, numbered as ``label_index`` does.
+
+    The rows are read once: a label counts from the season after its first one.
+    """
+    labels = df.where(F.col(season).isNotNull()).groupBy(as_label(column).alias(column)).agg(F.min(season).alias("_first"))
+    asked = F.array(*[F.lit(c) for c in sorted(cutoffs)]).cast("array<int>")
+    known = labels.withColumn(season, F.explode(F.filter(asked, lambda c: c > F.col("_first")))).drop("_first")
+    return number_rows(known, [season], [column], name).withColumn(name, (F.col(name) - 1).cast("int"))
+
+
 def label_side(labels: DataFrame, column, name) -> DataFrame:
     """The labels as the looked-up side of a join, broadcast if there are few."""
-    return lookup_side(labels.select(F.col(column).alias("_label"), F.col(name)))
+    return lookup_side(labels.withColumnRenamed(column, "_label"))
 
 
 def as_label(column):
     return F.coalesce(F.col(column).cast("string"), F.lit("None"))
 
 
-def encode_labels(df: DataFrame, labels: DataFrame, column, name, unknown=None) -> DataFrame:
+def encode_labels(df: DataFrame, labels: DataFrame, column, name, unknown=None, within=()) -> DataFrame:
     """Attach label numbers; unknown labels drop the row, or take ``unknown``.
 
-    ``labels`` is a table of ``label_index``, or a ``label_side`` used several times.
+    ``labels`` is a table of ``label_index``, or a ``label_side`` used several times. Columns
+    ``within`` are the same on both sides, as the cutoffs of ``label_index_by_cutoff`` are.
     """
     side = labels if "_label" in labels.columns else label_side(labels, column, name)
-    joined = df.join(side, as_label(column) == F.col("_label"), "inner" if unknown is None else "left")
+    df, on = df.withColumn("_label", as_label(column)), ["_label", *within]
+    joined = df.join(side, on, "inner" if unknown is None else "left").select(*df.columns, name)
     if unknown is not None:
         joined = joined.withColumn(name, F.coalesce(F.col(name), F.lit(unknown)))
     return joined.drop("_label")

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from paceline.functions.scalars import before, finished
 from paceline.operators.catalog import choose_entries, find_races, participants, with_display_name
-from paceline.operators.grouped import global_medians
+from paceline.operators.grouped import global_medians, group_median
 from paceline.operators.joins import RACE, as_of_cutoff, as_of_previous
-from paceline.operators.ranking import encode_labels, finishing_order, label_index, label_side
-from paceline.plans.features import ENTITY, ORDER, PACE, enrich
+from paceline.operators.ranking import encode_labels, finishing_order, label_index, label_index_by_cutoff, label_side
+from paceline.operators.skew import lookup_side
+from paceline.plans.features import CUTOFF, ENTITY, ORDER, PACE, by_season, enrich, enrich_by_season
 from paceline.plans.load import load_facts, read_stored
 from paceline.plans.models import ForestSettings, TwoStage, score, train
 from paceline.session import durable
@@ -31,9 +32,10 @@ TIMING_DEFAULTS = {"career_race_pace": 95.0, "career_best_lap": 95.0, "career_pi
 
 @dataclass(frozen=True)
 class Encoders:
-    """One (label, number) lookup per encoded column."""
+    """One (label, number) lookup per encoded column; ``within`` are columns that a lookup has besides."""
 
     tables: dict
+    within: tuple = ()
 
     @classmethod
     def fit(cls, df: DataFrame, cutoff=None):
@@ -48,7 +50,7 @@ class Encoders:
                 df = df.withColumn(name, F.lit(0))
             else:
                 unknown = unknown_circuit if column == "circuitId" else None
-                df = encode_labels(df, self.tables[column], column, name, unknown)
+                df = encode_labels(df, self.tables[column], column, name, unknown, self.within)
         return df
 
 
@@ -155,32 +157,59 @@ def walk_forward(results, seasons, calendar=None, extra=None, settings=None, fre
 
     Each season is scored by models trained on the rows before it. Features, labels, scoring
     rows and training rows are made once for all seasons; per season there is only the
-    training. ``leak_free`` makes them anew for each season, from what came before it.
+    training. ``leak_free`` takes every statistic from what came before the season, too.
     """
-    seasons = list(seasons)
-    if leak_free:
-        parts = [_walked(results, [s], calendar, extra, settings, fresh, (s, 0)) for s in seasons]
-    else:
-        parts = [_walked(results, seasons, calendar, extra, settings, fresh, None)]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def _walked(results, seasons, calendar, extra, settings, fresh, cutoff):
-    enriched = durable(enrich(results, calendar, extra, cutoff))
-    known = enriched.where(before(*RACE, cutoff)) if cutoff else enriched
-    finishers, encoders = encode(enriched, cutoff)
-    finishers = durable(finishers)
-    wanted = season_entries(enriched, F.col("year").isin(seasons), scoring_defaults(known), fresh)
-    modes = F.explode(F.array(F.lit("oracle"), F.lit("analyst")))
-    rows = durable(encoders.apply(wanted)).withColumn("mode", modes)
+    seasons = sorted(seasons)
+    prepare = _leak_free_rows if leak_free else _published_rows
+    training, wanted = prepare(results, seasons, calendar, extra, fresh)
+    rows = durable(wanted).withColumn("mode", F.explode(F.array(F.lit("oracle"), F.lit("analyst"))))
     parts = []
     for season in seasons:
-        models = train(finishers.where(before(*RACE, (season, 0))), settings)
-        scored = score(models, rows.where(F.col("year") == season), F.col("mode") == "analyst")
-        parts.append(scored)
+        models = train(training(season), settings)
+        parts.append(score(models, rows.where(F.col("year") == season), F.col("mode") == "analyst"))
     return rank(reduce(DataFrame.unionByName, parts), [*RACE, "mode"])
 
 
+def _published_rows(results, seasons, calendar, extra, fresh):
+    """(season to its training rows, scoring rows of the seasons), statistics from the whole table."""
+    enriched = durable(enrich(results, calendar, extra))
+    finishers, encoders = encode(enriched)
+    finishers = durable(finishers)
+    wanted = season_entries(enriched, F.col("year").isin(seasons), scoring_defaults(enriched), fresh)
+    return lambda season: finishers.where(before(*RACE, (season, 0))), encoders.apply(wanted)
+
+
+def _leak_free_rows(results, seasons, calendar, extra, fresh):
+    """The same from what came before each season: one table of (start, season) rows for all of them."""
+    enriched = enrich_by_season(results, seasons, calendar, extra)
+    earlier = F.col("year") < F.col(CUTOFF)
+    labels = enriched.where(F.col(CUTOFF) == seasons[-1])  # all starts up to the last season
+    tables = {}
+    for column, name in LABELS.items():
+        if column in enriched.columns:
+            numbered = label_index_by_cutoff(labels, column, name, "year", seasons)
+            tables[column] = label_side(numbered.withColumnRenamed("year", CUTOFF), column, name)
+    encoders = Encoders(tables, (CUTOFF,))
+    wanted = encoders.apply(_entries_by_season(enriched, earlier, fresh)).drop(CUTOFF)
+    finishers = by_season(encoders.apply(enriched.where(earlier & finished("status"))))
+    return lambda season: finishers.where(F.col(CUTOFF) == season).drop(CUTOFF), wanted
+
+
+def _entries_by_season(enriched, earlier, fresh):
+    """``season_entries`` for each cutoff's own season, with the cutoff's own medians where there is no earlier start."""
+    medians = {}
+    for c in PACE:
+        middle = group_median(enriched.where(earlier), [CUTOFF], c, f"_default_{c}")
+        enriched, medians[c] = enriched.join(lookup_side(middle), CUTOFF, "left"), f"_default_{c}"
+    stats = {**{c: v for c, v in SCORING_DEFAULTS.items() if c in enriched.columns}, **dict.fromkeys(PACE)}
+    if fresh:
+        rows = enriched.fillna({c: v for c, v in stats.items() if v is not None})
+    else:
+        rows = as_of_previous(enriched, [ENTITY, CUTOFF], ORDER, stats, RACE)
+    rows = rows.where(F.col("year") == F.col(CUTOFF)).withColumns({c: F.coalesce(c, m) for c, m in medians.items()})
+    return rows.drop(*medians.values()).withColumns({"has_sprint": F.lit(0), "sprint_delta": F.lit(0.0)})
+
+
 def forecast_by_name(spark, folder, name, season, use_real_grid=False, settings=None, fmt="parquet", top=None):
     """Forecast the race whose name matches, from the stored tables.
 

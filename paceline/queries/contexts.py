@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from paceline.functions.scalars import finished
 from paceline.operators.joins import attach, sprint_features, with_circuit, with_sprint, without_sprint
-from paceline.plans.features import enrich
+from paceline.plans.features import CUTOFF, enrich, enrich_by_season
 from paceline.session import durable
 from paceline.queries.views import (
     RACE_CALENDAR,
@@ -103,7 +103,11 @@ FEATURES = [
 def _features(spark, folder, cutoff=None):
     facts = durable(with_sprint(race_results(spark, folder), race_sprints(spark, folder)))
     rows = enrich(facts, race_calendar(spark, folder), race_timing(spark, folder), cutoff)
-    return rows.select(*KEY, *[F.round(c, 8).alias(c) if c != "has_sprint" else F.col(c) for c in FEATURES])
+    return rows.select(*_feature_columns())
+
+
+def _feature_columns():
+    return [*KEY, *[F.round(c, 8).alias(c) if c != "has_sprint" else F.col(c) for c in FEATURES]]
 
 
 def race_features(spark, folder):
@@ -116,6 +120,15 @@ def race_features_before(spark, folder):
     return _features(spark, folder, (2000, 1))
 
 
+def race_features_by_season(spark, folder):
+    """The same before each of several seasons, from one pass over the results."""
+    facts = with_sprint(race_results(spark, folder), race_sprints(spark, folder))
+    rows = enrich_by_season(facts, FEATURE_SEASONS, race_calendar(spark, folder), race_timing(spark, folder))
+    return rows.select(F.col(CUTOFF).alias("cutoff"), *_feature_columns())
+
+
+FEATURE_SEASONS = (1996, 1999, 2001)
+
 QUERIES = {
     "calendar_join": calendar_join,
     "nation_join": nation_join,
@@ -129,6 +142,7 @@ QUERIES = {
     "finisher_filter": finisher_filter,
     "race_features": race_features,
     "race_features_before": race_features_before,
+    "race_features_by_season": race_features_by_season,
 }
 
 SPRINT_JOIN = f"with {RACE_RESULTS}, {RACE_SPRINTS}"
@@ -237,4 +251,7 @@ with {RACE_RESULTS}
 select "year", "round", "DriverKey" from results where "round" <> 4 and status in ('Finished', '+1 Lap')""",
     "race_features": _features_sql(),
     "race_features_before": _features_sql('"year" < 2000'),
+    "race_features_by_season": " union all ".join(
+        f'select cast({s} as integer) as cutoff, * from ({_features_sql(f'"year" < {s}')}) where "year" <= {s}' for s in FEATURE_SEASONS
+    ),
 }

@@ -1,8 +1,8 @@
 """The registered queries: each library operator on the given tables, with its SQL."""
 
-from paceline.queries import choices, contexts, edges, forecasts, groups, histories, ingest, timing
+from paceline.queries import choices, contexts, edges, forecasts, groups, histories, ingest, timing, trees
 
-MODULES = (histories, groups, timing, contexts, ingest, choices, forecasts, edges)
+MODULES = (histories, groups, timing, contexts, ingest, choices, forecasts, edges, trees)
 
 
 def all_queries() -> dict:

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paceline.functions.scalars import before
 from paceline.operators.grouped import in_stored_order
@@ -11,22 +12,35 @@ from paceline.operators.skew import all_present, hot_groups, lookup_side
 RACE = ("year", "round")
 
 
+#: Parts over which the rows without a null-safe key are spread in a join.
+UNKEYED_PARTS = 32
+
+
 def attach(fact: DataFrame, side: DataFrame, keys, values, suffix="_extra", null_safe=()) -> DataFrame:
     """Left join of the ``values`` that ``side`` has, on ``keys``.
 
     Keys in ``null_safe`` match null with null. A value the fact already has gets
     ``suffix``. Repeated rows on the right multiply rows, as a join does. Spark
     broadcasts a side whose files are small and otherwise sorts both, splitting a
-    skewed key of the fact.
+    skewed key of the fact. Rows that lack a null-safe key would all meet in one key of
+    their race, so they are spread by a hash of the row, and such rows of the side
+    are there once for each part.
     """
     values = [c for c in values if c in side.columns]
     names = {c: c + suffix if c in fact.columns else c for c in values}
     right = side.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[F.col(c).alias(n) for c, n in names.items()])
-    on = F.lit(True)
+    on, left = F.lit(True), fact
     for k in keys:
         same = F.col(k).eqNullSafe(F.col(f"_key_{k}")) if k in null_safe else F.col(k) == F.col(f"_key_{k}")
         on = on & same
-    return fact.join(right, on, "left").drop(*[f"_key_{k}" for k in keys])
+    if null_safe:
+        hashed = [f.name for f in fact.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in hashed]), F.lit(UNKEYED_PARTS)).cast("int")
+        left = fact.withColumn("_part", F.when(all_present(null_safe), 0).otherwise(part))
+        parts = F.when(all_present([f"_key_{k}" for k in null_safe]), F.array(F.lit(0)))
+        right = right.withColumn("_key_part", F.explode(parts.otherwise(F.sequence(F.lit(0), F.lit(UNKEYED_PARTS - 1)))))
+        on = on & (F.col("_part") == F.col("_key_part"))
+    return left.join(right, on, "left").drop(*[f"_key_{k}" for k in keys], "_part", "_key_part")
 
 
 def with_circuit(fact: DataFrame, calendar: DataFrame, race=RACE, circuit="circuitId") -> DataFrame:

@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 from paceline.functions.scalars import finished
 from paceline.operators.grouped import correlation_by_cutoff, medians_by_cutoff
 from paceline.operators.history import Career, Previous, with_history
-from paceline.operators.joins import as_of_cutoff, as_of_previous
+from paceline.operators.joins import as_of_cutoff, as_of_previous, attach
 from paceline.operators.laps import lap_seconds, stints
 from paceline.operators.ranking import dense_scaled_rank
 from paceline.plans.features import enrich, timing
 from paceline.plans.load import load_facts, read_stored
-from paceline.plans.update import update_all, update_calendar_seasons
-from paceline.queries.ingest import BY_SEASON, ORDER_LINES, SQL as INGEST_SQL, _order_lines, _orders_by_season, _responses, lap_scan_of
-from paceline.queries.views import RACE_RESULTS, race_results, table
+from paceline.plans.update import update_all, update_calendar_seasons, update_sprints
+from paceline.queries.ingest import BY_SEASON, ORDER_LINES, SQL as INGEST_SQL, _order_lines, _orders_by_season, _responses, lap_scan_of, late_sprints, sprint_sums
+from paceline.queries.views import RACE_RESULTS, RACE_TIMING, race_results, race_timing, table
 from paceline.session import fresh_path
 from paceline.sources.tables import read_table, write_seasons, write_whole
 
@@ -164,6 +164,25 @@ def _stored(spark, folder):
     return home
 
 
+def sprint_sink(spark, folder):
+    """Sprints stored for all seasons from the first one on; a later update of one season brings half of its rows."""
+    home, lines = fresh_path(spark), _order_lines(spark, folder)
+    update_sprints(late_sprints(lines).drop("l_orderkey"), home, 1990, 2030)
+    update_sprints(late_sprints(lines.where(F.col("l_orderkey") % 2 == 0)).drop("l_orderkey"), home, 2022, 2022)
+    return sprint_sums(read_stored(spark, home, "sprint"))
+
+
+def extra_join_unkeyed(spark, folder):
+    """Timing for every start, where a tenth of the starts and one timing row of each race have no driver."""
+    rows = race_results(spark, folder).withColumn("DriverKey", F.when(F.length("DriverName") * 7 % 10 != (F.substring("DriverKey", -1, 1).cast("int")), F.col("DriverKey")))
+    timed = race_timing(spark, folder)
+    lost = timed.groupBy("year", "round").agg(F.lit(None).cast("string").alias("DriverKey"), F.max("best_lap").alias("best_lap"))
+    extra = timed.select("year", "round", "DriverKey", "best_lap").unionByName(lost)
+    return attach(rows, extra, ["year", "round", "DriverKey"], ["best_lap"], null_safe=["DriverKey"]).select(
+        "year", "round", "DriverName", "best_lap"
+    )
+
+
 def landed_laps(spark, folder):
     """Events as laps of months of 1999, and their drivers."""
     events = table(spark, folder, "events")
@@ -222,7 +241,8 @@ QUERIES = {
     for f in (
         dense_scaled_nulls, keyed_nulls, features_null_circuits, keyless_features, asof_repeats, importance_by_cutoff,
         importance_by_cutoff_offsets, medians_before_seasons, medians_by_team_and_cutoff, lap_nans, stored_nans,
-        lap_scan_repeats, season_sink_csv_new_column, stored_order, timing_sink, facts_stored, calendar_sink, pit_loss_lists,
+        lap_scan_repeats, season_sink_csv_new_column, stored_order, timing_sink, facts_stored, calendar_sink, pit_loss_lists, sprint_sink,
+        extra_join_unkeyed,
     )
 }
 
@@ -344,6 +364,17 @@ with each as (
     strftime(o_orderdate, '%Y-%m-%d') as "date" from orders
   where year(o_orderdate) not in (1996, 1997) or o_orderkey % 2 = 0)
 select "year", 2 * count(*) as races, max(m) * 10 as last, max("date") as "date" from each group by 1""",
+    "sprint_sink": f"""
+with {ORDER_LINES}
+select cast("year" + 23 as integer) as "year", status, count(*) as rows, sum(grid) as sprint_grid,
+  sum(pos) as sprint_pos, sum(cast(l_suppkey as double)) as sprint_points
+from lines where "year" + 23 >= 2021 and ("year" + 23 <> 2022 or l_orderkey % 2 = 0) group by 1, 2""",
+    "extra_join_unkeyed": f"""
+with {RACE_RESULTS}, {RACE_TIMING},
+races as (select "year", "round", max(best_lap) as best_lap from extra group by 1, 2),
+starts as (select *, length("DriverName") * 7 % 10 <> cast(right("DriverKey", 1) as integer) as keyed from results)
+select s."year", s."round", "DriverName", case when keyed then e.best_lap else r.best_lap end as best_lap
+from starts s left join extra e using ("year", "round", "DriverKey") left join races r using ("year", "round")""",
     "pit_loss_lists": f"""
 with {RACE_RESULTS},
 losses as (select *, case when "round" % 2 = 0 then (grid + 4.0) / 2 end as loss from results)

@@ -80,15 +80,22 @@ def json_qualifying(spark, folder):
     return rows.groupBy("l_orderkey", "year", "round").agg(F.count("grid").alias("placed"), F.sum("grid").alias("grid"))
 
 
-def json_sprints(spark, folder):
-    """Sprints from their first season on; the given lines end before it, so shift them."""
-    responses = _responses(_order_lines(spark, folder), "SprintResults")
+def late_sprints(lines):
+    """Sprint responses from the first sprint season on; the given lines end before it, so shift them."""
+    responses = _responses(lines, "SprintResults")
     races = F.transform(
         F.col("MRData.RaceTable.Races"),
         lambda r: r.withField("season", (r["season"].cast("int") + 23).cast("string")),
     )
-    shifted = responses.withColumn("MRData", F.struct(F.struct(races.alias("Races")).alias("RaceTable")))
-    rows = landed.sprint_results(shifted)
+    return responses.withColumn("MRData", F.struct(F.struct(races.alias("Races")).alias("RaceTable")))
+
+
+def json_sprints(spark, folder):
+    """Sprints from their first season on."""
+    return sprint_sums(landed.sprint_results(late_sprints(_order_lines(spark, folder))))
+
+
+def sprint_sums(rows):
     return rows.groupBy("year", "status").agg(
         F.count(F.lit(1)).alias("rows"),
         F.sum("sprint_grid").alias("sprint_grid"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from paceline.operators import skew
 from paceline.operators.grouped import fill_group_median, global_medians, group_median
 from paceline.operators.history import Career, Carried, Ordinal, Previous, Recent, RunningSum, with_history
-from paceline.operators.joins import as_of_previous
+from paceline.operators.joins import as_of_previous, attach
 from paceline.operators.laps import timing_features
 from paceline.operators.ranking import dense_scaled_rank, encode_labels, finishing_order, label_index
 from paceline.operators.skew import MAX_ROWS_CONF, RANGE, hot_groups, in_ranges
@@ -147,3 +147,21 @@ def test_shared_folder_is_the_named_one(spark):
 
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert fresh_path(spark).startswith(shared_folder(spark))
+
+
+def test_rows_without_a_key_are_spread_in_a_join(spark):
+    """A tenth of one race's rows have no driver: they match the side's null row, and no task gets them all."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        n = F.col("id")
+        rows_ = spark.range(20_000).select(F.lit(1).alias("race"), F.when(n % 10 != 0, n.cast("string")).alias("driver"), n)
+        side = spark.range(0, 20_000, 3).select(F.lit(1).alias("race"), F.when(n != 0, n.cast("string")).alias("driver"), n.alias("lap"))
+        joined = attach(rows_, side, ["race", "driver"], ["lap"], null_safe=["driver"])
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("part")).count().collect())
+        assert sum(sizes) == 20_000 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+        assert joined.where("driver is null and lap = 0").count() == 2_000
+        assert joined.where("driver is not null and lap = id").count() == joined.where("driver is not null and lap is not null").count() == 6_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

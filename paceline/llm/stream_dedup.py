@@ -11,8 +11,10 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from paceline.llm.batches import without
+from paceline.llm.sharding import PARTITION_BITS
 from paceline.session import durable, fresh_path
 
 #: State on disk. A store is closed after each commit: an open one reserves megabytes of each executor's disk.
@@ -50,21 +52,35 @@ def settings(spark, values):
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def land(docs: DataFrame, folder: str, key="doc_id", text="text", digest=sha256) -> None:
-    """Append rows to the content store, with a locator, a digest and the order of preference.
+def land(docs: DataFrame, folder: str, key="doc_id", text="text", digest=sha256) -> int:
+    """Append rows to the content store, with a locator, a digest and the order of preference; the first locator is returned.
 
-    The locator is unique within one call; a later call starts where its own folder begins.
+    A locator is unique in the store: the high bits number the partitions of all landings so far, the
+    low bits the rows of one. Landings in one store must follow each other and have the same columns.
     """
     content = normal(F.col(f"`{text}`"))
+    first = next_locator(docs.sparkSession, folder)
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
         F.col(f"`{key}`").cast("long").alias("id"),
         F.length(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("chars"),
-        F.monotonically_increasing_id().alias("locator"),
+        (F.monotonically_increasing_id() + first).alias("locator"),
         F.sha2(content, 256).alias("sha256"),
         digest(content).alias("digest"),
     )
     rows.write.mode("append").parquet(folder)
+    return first
+
+
+def next_locator(spark, folder: str) -> int:
+    """The first locator of the partition that follows all that the store has; 0 for a store that is not there yet."""
+    try:
+        last = spark.read.parquet(folder).agg(F.max("locator").alias("last")).first()["last"]
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return 0
+        raise
+    return 0 if last is None else ((last >> PARTITION_BITS) + 1) << PARTITION_BITS
 
 
 def preference():
@@ -93,7 +109,7 @@ def update_state(spark, store: str, checkpoint: str, batch_files=BATCH_FILES) ->
 
 
 def read_state(spark, checkpoint: str) -> DataFrame:
-    """(digest, keep_id, keep_chars, keep_locator, copies) of every digest seen so far."""
+    """(digest, keep_id, keep_locator, copies) of every digest seen so far."""
     kept = spark.read.format("statestore").load(checkpoint)
     best, copies = [f"value.`{f.name}`" for f in kept.schema["value"].dataType.fields]
     return kept.select(F.col("key.digest").alias("digest"), F.col(best).alias("best"), F.col(copies).alias("copies")).select(
@@ -134,9 +150,31 @@ def kept_rows(docs: DataFrame, key="doc_id", text="text", digest=sha256, batch_f
     return rows.join(checked_broadcast(durable(gone)), "locator", "left_anti").select(*[F.col(f"row.`{c}`").alias(c) for c in names])
 
 
-def decisions(spark, store: str, text="text", batch_files=BATCH_FILES) -> DataFrame:
-    """(locator, id, keep_id, group_size, kept, text_sha256) for every row of the store."""
-    checkpoint = fresh_path(spark)
+def dedup_more(docs: DataFrame, store: str, checkpoint: str, key="doc_id", text="text", digest=sha256, batch_files=BATCH_FILES) -> DataFrame:
+    """Land rows in a store and take them into the state kept at ``checkpoint``; decide for every group that got one.
+
+    Store and checkpoint are folders of the caller's, empty at first and used together from then
+    on, in this session or a later one. The result has the rows that are new and the earlier rows of
+    the same texts, in the form of ``exact_dedup`` and with ``landed_now``: an earlier row may have to make
+    way for a new one. No rows change nothing and give no rows. If a call fails after the rows
+    have landed, ``update_state`` takes them in.
+    """
+    spark = docs.sparkSession
+    docs = without(docs, (*RESULT, "landed_now"))
+    names = docs.columns
+    first = land(docs, store, key, text, digest)
+    found = decisions(spark, store, text, batch_files, checkpoint, first)
+    joined = spark.read.parquet(store).select("row", "locator").join(found, "locator")
+    return joined.select(*[F.col(f"row.`{c}`").alias(c) for c in names], *RESULT, (F.col("locator") >= first).alias("landed_now"))
+
+
+def decisions(spark, store: str, text="text", batch_files=BATCH_FILES, checkpoint=None, first=0) -> DataFrame:
+    """(locator, id, keep_id, group_size, kept, text_sha256) for every row of the store.
+
+    With a ``checkpoint`` the state kept there goes on; without, it is made anew. ``first`` leaves out
+    the texts of which no row has a locator from there on.
+    """
+    checkpoint = checkpoint or fresh_path(spark)
     rows = spark.read.parquet(store)
     if rows.isEmpty():
         state = spark.createDataFrame([], "digest string, keep_id long, keep_locator long, copies long")
@@ -144,6 +182,9 @@ def decisions(spark, store: str, text="text", batch_files=BATCH_FILES) -> DataFr
         update_state(spark, store, checkpoint, batch_files)
         state = read_state(spark, checkpoint)
     narrow = rows.select("locator", "id", "chars", "digest", "sha256")
+    if first:
+        fresh = durable(narrow.where(F.col("locator") >= first).select("digest").distinct())
+        narrow = narrow.join(fresh, "digest", "left_semi")
     placed = durable(narrow.join(state, "digest"))
     differing = durable(false_hits(rows, placed, text))
     result = placed

@@ -4,6 +4,10 @@ A template is a function from turns, (role, text) pairs, to a string. Rendering
 at a time and comparing neighbouring outputs shows where each turn's part lies; rendering a
 turn with a mark as its text shows where in its part the text lies. If an output does not
 start with the one before, the template rewrites history, and that is reported.
+
+Every turn is rendered on its whole prefix, since nothing is known of a template. Only one that
+says how many turns before a turn it looks at (an attribute ``reach``) is rendered in blocks,
+each after that many turns, and needs no more than a block at a time.
 """
 
 import hashlib
@@ -15,9 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-#: Longer conversations are rendered in blocks, each after the last turns of the block before.
+#: Turns of a block, where a template's reach allows blocks.
 BLOCK_TURNS = 128
-CONTEXT_TURNS = 1
 MARK = "\ue000"
 START, END = "<|im_start|>", "<|im_end|>\n"
 ESCAPABLE, ESCAPED = re.compile(r"<(\\*)\|"), re.compile(r"<\\(\\*)\|")
@@ -39,6 +42,9 @@ def chat_template(turns):
     return "".join(f"{START}{escape(r).replace('%', '%25').replace(chr(10), '%0A')}\n{escape(t)}{END}" for r, t in turns)
 
 
+chat_template.reach = 0
+
+
 def parse(formatted):
     """(role, text) of every turn of ``chat_template``'s output."""
     out, at = [], 0
@@ -109,9 +115,13 @@ def format_conversations(
 
     Null texts and roles count as empty. Rows of equal turn number go by role and text, null
     turn numbers come first, and rows without a key make one conversation. No rows give no
-    rows. Other columns are not carried. A task passes over its conversations in order and
-    holds one block at a time, whatever the length of a conversation.
+    rows. Other columns are not carried. Texts of any length are formatted whole. A task passes over
+    its conversations in order. For a template with a ``reach`` it holds one block at a time, whatever
+    the length of a conversation; ``reach`` is a promise about the template, which nothing
+    checks. Any other template gets one block for each conversation: it is called with every prefix
+    of it, so the work grows with the square of its length, and the task holds it whole.
     """
+    reach = getattr(template, "reach", None)
     rows = turns.select(
         F.col(f"`{key}`").cast("long").alias("conv_id"), F.col(f"`{turn}`").cast("long").alias("turn"),
         F.coalesce(F.col(f"`{role}`"), F.lit("")).alias("role"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
@@ -133,9 +143,9 @@ def format_conversations(
                 if conversation != current:
                     flush()
                     current, held, context, number = conversation, [], [], 0
-                elif len(held) == block:
+                elif reach is not None and len(held) == block:
                     flush()
-                    context, held, number = held[-CONTEXT_TURNS:], [], number + 1
+                    context, held, number = (context + held)[len(context) + len(held) - reach :], [], number + 1
                 held.append((who, said))
                 if len(ready) >= 64:
                     yield as_batch(ready)

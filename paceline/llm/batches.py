@@ -2,6 +2,7 @@
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import functions as F
 
 #: Bytes of text that an operator turns into Python objects at a time. One longer text still makes one slice.
 SLICE_BYTES = 2_000_000
@@ -68,3 +69,14 @@ def free_name(df, name):
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def packed(docs, text):
+    """The column ``text`` under that name and all other columns in a struct ``row``, so that no added column can clash with one."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    return docs.select(F.struct(*(others or [F.lit(0)])).alias("row"), F.col(f"`{text}`").alias("text"))
+
+
+def unpacked(rows, names, text):
+    """The columns as they came to ``packed``, in their order."""
+    return rows.select([F.col("text" if c == text else f"row.`{c}`").alias(c) for c in names])

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.batches import slices, small_batches, with_columns, without
-from paceline.llm.sharding import numbered
+from paceline.llm.batches import packed, slices, small_batches, unpacked, with_columns, without
+from paceline.operators.history import RunningSum, with_history
 from paceline.session import durable
 
 SIZE = 10
@@ -29,7 +29,7 @@ FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 o
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 SPAN = "array<struct<start:int,end:int>>"
 RESULT = {"n_words": "long", "hit_words": SPAN, "hit_items": "array<string>"}
-FACTORS = np.array([pow(0x9E3779B97F4A7C15, k + 1, 2**64) for k in range(64)], dtype=np.uint64)
+FACTOR = 0x9E3779B97F4A7C15
 
 
 def words_of(text: bytes):
@@ -56,6 +56,20 @@ def windows_of(benchmark: DataFrame, item="item_id", text="text", size=SIZE) ->
     return pairs.groupBy("words").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
+def in_blocks(windows: DataFrame, block: int, most_bytes=None) -> DataFrame:
+    """The windows with the ``block`` they belong to: at most ``block`` windows each, and one window more than BLOCK_BYTES.
+
+    A window costs its bytes and its share of a block; the costs of the windows before it say which block is
+    full, so one long window fills a block of its own and changes no other.
+    """
+    room = most_bytes or BLOCK_BYTES
+    cost = F.octet_length("words") + F.octet_length(F.array_join("items", ",")) + F.lit(-(-room // block))
+    costed = windows.withColumn("cost", cost.cast("long"))
+    return with_history(costed, [], ["words"], [RunningSum("before", "cost")]).select(
+        "words", "items", F.floor(F.col("before") / room).alias("block")
+    )
+
+
 @dataclass
 class Block:
     """Windows by length: sorted hashes, the word numbers in the same order, and the items."""
@@ -99,7 +113,7 @@ def rolling(ids, length):
     values = ids.astype(np.uint64) + np.uint64(1)
     total = np.zeros(max(0, len(ids) - length + 1), dtype=np.uint64)
     for k in range(length):
-        mixed = values[k : k + len(total)] * FACTORS[k]
+        mixed = values[k : k + len(total)] * np.uint64(pow(FACTOR, k + 1, 2**64))
         total += mixed ^ (mixed >> np.uint64(29))
     return total
 
@@ -124,16 +138,14 @@ def scan(docs: DataFrame, benchmark: DataFrame, text="text", item="item_id", siz
     """
     small_batches(docs.sparkSession)
     context = docs.sparkSession.sparkContext
-    windows = durable(numbered(windows_of(benchmark, item, size=size), ["words"], "number"))
-    sizes = windows.agg(F.count(F.lit(1)).alias("rows"), F.max(F.octet_length("words") + F.octet_length(F.array_join("items", ","))).alias("bytes")).first()
-    total = sizes["rows"]
-    block = max(1, min(block, BLOCK_BYTES // max(1, sizes["bytes"] or 1)))
+    windows = durable(in_blocks(windows_of(benchmark, item, size=size), block))
+    blocks = windows.agg(F.max("block").alias("last")).first()["last"]
     docs = without(docs, RESULT).select(
         "*", F.lit(None).cast("long").alias("n_words"), F.array().cast(SPAN).alias("hit_words"),
         F.array().cast("array<string>").alias("hit_items"),
     )
-    for first in range(0, max(1, total), block):
-        rows = windows.where((F.col("number") >= first) & (F.col("number") < first + block)).select("words", "items")
+    for number in range((blocks or 0) + 1):
+        rows = windows.where(F.col("block") == number).select("words", "items")
         table = context.broadcast(Block.of((r["words"], r["items"]) for r in rows.toLocalIterator()))
         docs = docs.mapInArrow(lambda batches, table=table: scanned(batches, table.value, text), docs.schema)
     return docs
@@ -191,14 +203,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove="documents", tex
     what stands between them out of the text and keeps the rest.
     """
     names = docs.columns
-    found = scan(docs, benchmark, text, item, size)
+    found = scan(packed(docs, text), benchmark, "text", item, size)
     if remove == "documents":
-        return found.where(F.size("hit_words") == 0).select(*[f"`{c}`" for c in names])
+        return unpacked(found.where(F.size("hit_words") == 0), names, text)
 
     def clean(batches):
         for batch in batches:
-            texts, spans = batch.column(text).to_pylist(), batch.column("hit_words").to_pylist()
-            yield with_columns(batch, {text: pa.array([cut(t, s) if s else t for t, s in zip(texts, spans)], pa.string())})
+            texts, spans = batch.column("text").to_pylist(), batch.column("hit_words").to_pylist()
+            yield with_columns(batch, {"text": pa.array([cut(t, s) if s else t for t, s in zip(texts, spans)], pa.string())})
 
-    moved = found.select(*[c for c in found.columns if c != text], text)
-    return moved.mapInArrow(clean, moved.schema).select(*[f"`{c}`" for c in names])
+    moved = found.select(*[c for c in found.columns if c != "text"], "text")
+    return unpacked(moved.mapInArrow(clean, moved.schema), names, text)

@@ -11,12 +11,10 @@ share among all identifier-like tokens; a common word beside which anything can
 All of it runs on Spark's own functions; the graph is aggregated before it is shuffled.
 """
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.batches import free_name, without
+from paceline.llm.batches import free_name, packed, unpacked
 from paceline.llm.spans import SPAN, cut, kind_first, let, listed, matches, named
 from paceline.session import durable
 
@@ -202,5 +200,5 @@ def summary(scanned: DataFrame, key="doc_id") -> DataFrame:
 
 def documents_with(docs: DataFrame, text="text", rounds=ROUNDS) -> DataFrame:
     """The documents with any span, with the columns they came with."""
-    rest = without(docs, ["base", "found"])
-    return scan(rest, text, rest.columns, rounds).where(reduce(lambda a, b: a | b, [F.size(c) > 0 for c in ("base", "found")])).drop("base", "found")
+    found = scan(packed(docs, text), "text", ("row", "text"), rounds)
+    return unpacked(found.where((F.size("base") > 0) | (F.size("found") > 0)), docs.columns, text)

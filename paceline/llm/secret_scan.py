@@ -14,7 +14,7 @@ All of it runs on Spark's own functions. What is gathered from the corpus is one
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.batches import without
+from paceline.llm.batches import free_name, packed, unpacked
 from paceline.llm.spans import listed, matches, named, start_first
 from paceline.session import durable
 
@@ -222,10 +222,12 @@ def scan(docs: DataFrame, text="text", keep=("doc_id",)) -> DataFrame:
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     assign = F.filter(matches(content, ASSIGN), lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 2)) >= ASSIGN_CHARS)
     spans = [named(assign, BASE[0], 0), named(matches(content, ACCESS), BASE[1], 1), named(matches(content, HEX), BASE[2], 2)]
-    kept = [f"`{c}`" for c in keep if c.lower() not in ("base", "found", "candidates")]
-    rows = docs.select(*kept, start_first(F.concat(*spans)).alias("base"), matches(content, CANDIDATE).alias("tokens"))
-    rows = durable(rows.select(*kept, "base", tested(F.col("tokens")).alias("candidates")))
-    limits = thresholds(rows)
+    kept = [f"`{c}`" for c in keep if c.lower() not in ("base", "found")]
+    own = docs.select(*kept)
+    tokens, tried = free_name(own, "tokens"), free_name(own, "candidates")
+    rows = docs.select(*kept, start_first(F.concat(*spans)).alias("base"), matches(content, CANDIDATE).alias(tokens))
+    rows = durable(rows.select(*kept, "base", tested(F.col(tokens)).alias(tried)))
+    limits = thresholds(rows.select(F.col(tried).alias("candidates")))
     chosen = F.lit(False)
 
     def passes(s):
@@ -234,7 +236,7 @@ def scan(docs: DataFrame, text="text", keep=("doc_id",)) -> DataFrame:
             out = out | ((s["length"] == length) & (s["encoding"] == encoding) & (bin_of(s["p"]) >= lowest))
         return out
 
-    found = named(F.filter("candidates", passes), RANDOM, len(BASE))
+    found = named(F.filter(tried, passes), RANDOM, len(BASE))
     return rows.select(*kept, "base", found.alias("found"))
 
 
@@ -249,17 +251,15 @@ def summary(scanned: DataFrame, key="doc_id") -> DataFrame:
 
 
 def redact(docs: DataFrame, text="text", mask="[secret]") -> DataFrame:
-    """The documents with every span replaced by a mask; null texts stay null."""
-    names = docs.columns
-    rest = without(docs, ["base", "found"])
-    found = scan(rest, text, rest.columns)
+    """The documents with every span replaced by a mask, and the columns they came with; null texts stay null."""
+    found = scan(packed(docs, text), "text", ("row", "text"))
     pieces = F.aggregate(
         start_first(F.concat("base", "found")), F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda a, s: F.struct(
-            F.when(s["start"] >= a["at"], F.concat(a["out"], F.substring(F.col(text), a["at"] + 1, s["start"] - a["at"]), F.lit(mask)))
+            F.when(s["start"] >= a["at"], F.concat(a["out"], F.substring("text", a["at"] + 1, s["start"] - a["at"]), F.lit(mask)))
             .otherwise(a["out"]).alias("out"),
             F.greatest(a["at"], s["end"]).alias("at"),
         ),
-        lambda a: F.concat(a["out"], F.substring(F.col(text), a["at"] + 1, F.lit(2**31 - 1) - a["at"] - 1)),
+        lambda a: F.concat(a["out"], F.substring("text", a["at"] + 1, F.lit(2**31 - 1) - a["at"] - 1)),
     )
-    return found.withColumn(text, pieces).select(*[f"`{c}`" for c in names if c in rest.columns])
+    return unpacked(found.withColumn("text", pieces), docs.columns, text)

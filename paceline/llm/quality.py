@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paceline.llm.batches import free_name, slices, small_batches, with_columns, without
+from paceline.llm.batches import slices, small_batches, with_columns, without
 from paceline.session import durable
 
 #: The bound of the training sample: rows with the smallest hash of the key are taken.
@@ -210,6 +210,6 @@ def score(docs: DataFrame, model, settings=Settings(), text="text", column="scor
 
 
 def good(docs: DataFrame, labels: DataFrame, threshold=THRESHOLD, settings=Settings()) -> DataFrame:
-    """The documents whose score reaches the threshold, with the columns they came with."""
-    column = free_name(docs, "_score")
-    return score(docs, fit(docs, labels, settings), settings, column=column).where(F.col(column) >= threshold).drop(column)
+    """The documents whose score reaches the threshold, with the columns they came with, but for one named ``_score``."""
+    scored = score(without(docs, ["_score"]), fit(docs, labels, settings), settings, column="_score")
+    return scored.where(F.col("_score") >= threshold).drop("_score")

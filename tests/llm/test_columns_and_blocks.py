@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from paceline.llm import decontaminate, importance, ngram_join, pii, quality, secret_scan, stream_dedup
 from tests.llm import brute
 
-NAMES = ["base", "found", "tokens", "candidates", "runs", "n_words", "hit_words", "_score", "row", "score", "component", "locator", "Words", "key"]
+NAMES = ["base", "found", "tokens", "candidates", "runs", "n_words", "hit_words", "row", "score", "component", "locator", "Words", "key"]
 ROWS = [
     (1, "mail jo@example.org and token = abcdefABCDEF1234", "en"), (2, "the quick brown fox jumps over the lazy dog", "en"),
     (3, "nothing to see here at all", None), (4, None, "de"), (5, "", "en"), (None, "the quick  brown fox jumps over the lazy dog", "en"),

@@ -10,6 +10,8 @@ from paceline.llm import bpe, decontaminate, ngram_join, quality, stream_dedup
 from paceline.llm.queries import digests, table, tokenizer_path
 from paceline.session import durable
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def good_quality(spark, docs, sf_dir):
     """Documents whose quality score reaches the threshold."""
@@ -22,8 +24,8 @@ def distinct_texts(spark, docs, sf_dir):
 
 
 def distinct_ngrams(spark, docs, sf_dir):
-    """One document of each group of near copies."""
-    return ngram_join.one_of_each(docs)
+    """One document of each group of near copies, by sets of five-word n-grams at a similarity of 0.8 or more."""
+    return ngram_join.one_of_each(docs, size=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def uncontaminated(spark, docs, sf_dir):

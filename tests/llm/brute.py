@@ -21,9 +21,9 @@ def shingle_set(text, size=3):
     return {tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))} if words else set()
 
 
-def groups(texts, percent=90):
+def groups(texts, percent=90, size=3):
     """key -> (set size, smallest key reachable)."""
-    sets = {k: shingle_set(t) for k, t in texts.items()}
+    sets = {k: shingle_set(t, size) for k, t in texts.items()}
     home = {k: k for k in sets}
 
     def find(k):

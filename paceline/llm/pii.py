@@ -2,12 +2,13 @@
 
 The matches of the fixed patterns are seeds. The words around a seed are lexical patterns; other
 tokens that look like identifiers and stand in the same contexts are instances. Patterns and
-instances make a graph that Spark scores in rounds: a pattern is as good as the known share of
-what stands in it, an instance as good as the patterns it stands in. Instances of high score that
+instances make a graph that Spark scores in rounds until they settle: a pattern is as good as the known share of
+its places, an instance as good as the patterns it stands in. Instances of high score that
 no fixed pattern knows are reported as found.
 
-What counts for a pattern is the lower confidence bound of its known share, and it must exceed the
-share among all identifier-like tokens; a common word beside which anything can stand never does.
+What counts for a pattern is the lower confidence bound of the share of its places that known instances
+fill, among all places where its words occur in any text; so a common word beside which anything can
+stand is never trusted, and a rare one is even where most identifiers are known.
 All of it runs on Spark's own functions; the graph is aggregated before it is shuffled.
 """
 
@@ -15,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paceline.llm.batches import free_name, packed, unpacked
-from paceline.llm.spans import SPAN, cut, kind_first, let, listed, matches, named
+from paceline.llm.spans import SPAN, cut, kind_first, let, listed, matches, running_ends
+from paceline.llm.stream_dedup import checked_broadcast
 from paceline.session import durable
 
 #: Written so that no long text makes them slow or deep: a match can only begin where a run begins or the
@@ -33,11 +35,12 @@ CONTEXT = "context"
 CANDIDATE = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+(?:\x20[^\s0-9@]*+[0-9@]\S*+)*+"
 SHORTEST, LONGEST = 5, 64
 CONTEXT_CHARS = 64
-ROUNDS = 3
-#: A pattern is trusted if at least SUPPORT known instances stand in it and the lower bound of their share
-#: is in the upper part of what lies between the share at large and 1; an instance from SCORE on.
+#: Far more rounds than scores need to settle; that they did not is an error, not an end.
+MAX_ROUNDS = 100
+#: A pattern is trusted if at least SUPPORT known instances stand in it and the lower bound of the share of
+#: its places that they fill reaches TRUST; an instance from SCORE on.
 SUPPORT = 3
-UPPER_PART = 0.5
+TRUST = 0.7
 SCORE = 0.8
 Z = 1.0
 
@@ -54,17 +57,24 @@ def luhn(digits):
 
 
 def base_spans(content):
-    """The spans of the fixed kinds as one array, sorted by kind and start."""
+    """The spans of the fixed kinds with what stands in them, as one array sorted by kind and start."""
     within = lambda s, bounds: F.length(digits_of(s["value"])).between(*bounds)
     email = matches(content, EMAIL, content.contains("@"))
     ip = F.filter(matches(content, IP, content.rlike(r"[0-9]\.[0-9]")), lambda s: s["value"].rlike(IP_PARTS))
     card = F.filter(matches(content, CARD, content.rlike(CARD_LIKELY)), lambda s: within(s, CARD_DIGITS))
     card = F.filter(card, lambda s: luhn(digits_of(s["value"])))
     phone = F.filter(matches(content, PHONE, content.contains("+")), lambda s: within(s, PHONE_DIGITS))
-    found = [named(f, k, n) for n, (k, f) in enumerate(zip(BASE, (email, ip, card, phone)))]
+    with_value = lambda f, kind, number: F.transform(
+        f, lambda s: F.struct(s["start"].alias("start"), F.lit(number).alias("number"), s["end"].alias("end"), F.lit(kind).alias("kind"), s["value"].alias("value"))
+    )
+    found = [with_value(f, k, n) for n, (k, f) in enumerate(zip(BASE, (email, ip, card, phone)))]
     return kind_first(F.concat(*found))
 
 
+def without_value(spans):
+    return F.transform(spans, lambda s: F.struct(*[s[c].alias(c) for c in ("start", "number", "end", "kind")]))
+
+
 def with_context(content):
     """Identifier-like runs with the text on both sides: structs of start, end, value, before, after."""
 
@@ -99,20 +109,96 @@ def patterns(before, after):
     )
 
 
-def candidates(runs, base):
-    """Runs without the punctuation around them, whether a fixed pattern knows them, and their contexts."""
+def overlap(a, b):
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
-    def trimmed(r):
-        head = F.regexp_replace(r["value"], r"^[^A-Za-z0-9+(]+", "")
-        core = F.regexp_replace(head, r"[^A-Za-z0-9)]+$", "")
-        start = r["end"] - F.length(head)
+
+def tokens_of(run):
+    """The single tokens of a run; the context of a side where another token of the run stands is empty."""
+
+    def placed(p):
+        words, ends = p["words"], p["ends"]
+        return F.transform(
+            words,
+            lambda w, k: F.struct(
+                (run["start"] + F.get(ends, k) - F.length(w) - 1).alias("start"), (run["start"] + F.get(ends, k) - 1).alias("end"),
+                w.alias("value"), F.when(k == 0, run["before"]).otherwise(F.lit("")).alias("before"),
+                F.when(k == F.size(words) - 1, run["after"]).otherwise(F.lit("")).alias("after"),
+            ),
+        )
+
+    ends = lambda words: running_ends(F.transform(words, lambda w: F.length(w) + 1))
+    return let(F.split(run["value"], " "), lambda words: let(F.struct(words.alias("words"), ends(words).alias("ends")), placed))
+
+
+def parts_of(token, near):
+    """What the fixed spans ``near`` leave of a token; a side where a span stands has an empty context."""
+
+    def part(s, e):
         return F.struct(
-            start.alias("start"), (start + F.length(core)).alias("end"), F.lower(core).alias("instance"),
-            F.exists(base, lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])).alias("seed"),
-            patterns(r["before"], r["after"]).alias("patterns"),
+            s.alias("start"), e.alias("end"), token["value"].substr(s - token["start"] + 1, e - s).alias("value"),
+            F.when(s == token["start"], token["before"]).otherwise(F.lit("")).alias("before"),
+            F.when(e == token["end"], token["after"]).otherwise(F.lit("")).alias("after"),
+        )
+
+    def until(s):
+        later = F.transform(F.filter(near, lambda b: b["start"] >= s), lambda b: b["start"])
+        return F.least(F.coalesce(F.array_min(later), token["end"]), token["end"])
+
+    starts = F.array_distinct(F.concat(F.array(token["start"]), F.transform(near, lambda b: b["end"])))
+    open_at = lambda s: (s < token["end"]) & ~F.exists(near, lambda b: (b["start"] <= s) & (s < b["end"]))
+    return F.transform(F.filter(starts, open_at), lambda s: let(until(s), lambda e: part(s, e)))
+
+
+def instance(value):
+    """The key of an identifier: its text in lower case, or a hash of it if it is long."""
+    return F.when(F.length(value) > LONGEST, F.concat(F.lit("#"), F.sha2(F.lower(value), 256))).otherwise(F.lower(value))
+
+
+def unit(run, start, end, value, seed, joined, before, after):
+    """One candidate; ``run`` and ``joined`` tell which run it belongs to and whether it is all of several tokens."""
+    return F.struct(
+        start.alias("start"), end.alias("end"), instance(value).alias("instance"), F.lit(seed).alias("seed"),
+        F.lit(joined).alias("joined"), run["start"].alias("run"), patterns(before, after).alias("patterns"),
+    )
+
+
+def trimmed(run, found, joined):
+    """Candidates of spans without the punctuation around them; too short ones are none."""
+
+    def one(s):
+        head = F.regexp_replace(s["value"], r"^[^A-Za-z0-9+(]+", "")
+        core = F.regexp_replace(head, r"[^A-Za-z0-9)]+$", "")
+        start = s["end"] - F.length(head)
+        return F.struct(start.alias("start"), (start + F.length(core)).alias("end"), core.alias("value"), s["before"].alias("before"), s["after"].alias("after"))
+
+    cores = F.filter(F.transform(found, one), lambda s: (F.length(s["value"]) >= SHORTEST) & s["value"].rlike("[0-9@]"))
+    return F.transform(cores, lambda s: unit(run, s["start"], s["end"], s["value"], False, joined, s["before"], s["after"]))
+
+
+def candidates(runs, base):
+    """Fixed spans as seeds, what they leave of the tokens, and untouched runs of several tokens as a whole."""
+
+    def of_token(run, token, near):
+        at_edge = F.filter(near, lambda b: (b["start"] >= token["start"]) | (b["end"] <= token["end"]))
+        seeds = F.transform(
+            at_edge,
+            lambda b: unit(
+                run, b["start"], b["end"], b["value"], True, False,
+                F.when(b["start"] >= token["start"], token["before"]).otherwise(F.lit("")),
+                F.when(b["end"] <= token["end"], token["after"]).otherwise(F.lit("")),
+            ),
         )
+        return F.concat(seeds, trimmed(run, parts_of(token, near), False))
+
+    def of_run(run, touching):
+        near = lambda t: F.filter(touching, lambda b: overlap(b, t))
+        single = F.flatten(F.transform(tokens_of(run), lambda t: let(near(t), lambda n: of_token(run, t, n))))
+        whole = (F.size(touching) == 0) & run["value"].contains(" ")
+        return F.concat(single, trimmed(run, F.filter(F.array(run), lambda _: whole), True))
 
-    return F.filter(F.transform(runs, trimmed), lambda c: F.length(c["instance"]).between(SHORTEST, LONGEST))
+    touching = lambda run: F.filter(base, lambda b: overlap(b, run))
+    return F.flatten(F.transform(runs, lambda run: let(touching(run), lambda t: of_run(run, t))))
 
 
 def edges_of(rows: DataFrame) -> DataFrame:
@@ -128,17 +214,31 @@ def lower_bound(known, total):
     return (share + Z * Z / (total * 2) - Z * root) / (1 + Z * Z / total)
 
 
-def trusted(edges: DataFrame, scores: DataFrame, share: float) -> DataFrame:
-    """(pattern, confidence) of the patterns whose instances are known far more often than at large."""
-    bar = share + (1 - share) * UPPER_PART
+def words_of(pattern):
+    """A pattern's word or two words, without the side that they stand on."""
+    return F.regexp_replace(pattern, "^[<>]+ ", "")
+
+
+def occurrences(texts: DataFrame, edges: DataFrame) -> DataFrame:
+    """(words, places): how often the words of a pattern occur at all, for patterns that can get support."""
+    wanted = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")).where(F.col("instances") >= SUPPORT)
+    wanted = durable(wanted.select(words_of("pattern").alias("words")).distinct())
+    both = lambda w: F.concat(w, F.zip_with(F.slice(w, F.lit(1), F.size(w) - 1), F.slice(w, F.lit(2), F.size(w)), lambda a, b: F.concat_ws(" ", a, b)))
+    words = let(F.filter(F.split(F.lower("content"), r"\s+"), lambda w: w != ""), lambda w: F.when(F.size(w) > 1, both(w)).otherwise(w))
+    each = texts.select(F.explode(words).alias("words")).join(checked_broadcast(wanted), "words", "left_semi")
+    return durable(each.groupBy("words").agg(F.count(F.lit(1)).alias("places")))
+
+
+def trusted(edges: DataFrame, scores: DataFrame, places: DataFrame) -> DataFrame:
+    """(pattern, confidence) of the patterns that known instances fill in nearly all places where their words occur."""
     scored = edges.join(scores, "instance")
     found = scored.groupBy("pattern").agg(
-        F.sum(F.col("n") * F.col("score")).alias("known"), F.sum("n").alias("total"),
+        F.sum(F.col("n") * F.col("score")).alias("known"), F.sum("n").alias("filled"),
         F.sum((F.col("score") >= SCORE).cast("int")).alias("support"),
     )
-    return found.select("pattern", "support", lower_bound(F.col("known"), F.col("total")).alias("confidence")).where(
-        (F.col("support") >= SUPPORT) & (F.col("confidence") >= bar)
-    )
+    found = found.where(F.col("support") >= SUPPORT).withColumn("words", words_of("pattern")).join(places, "words", "left")
+    total = F.greatest("filled", F.coalesce("places", "filled"))
+    return found.select("pattern", "support", lower_bound(F.col("known"), total).alias("confidence")).where(F.col("confidence") >= TRUST)
 
 
 def rescored(edges: DataFrame, good: DataFrame, seeds: DataFrame) -> DataFrame:
@@ -149,40 +249,52 @@ def rescored(edges: DataFrame, good: DataFrame, seeds: DataFrame) -> DataFrame:
     return joined.select("instance", F.greatest(F.col("seed").cast("double"), F.coalesce("reached", F.lit(0.0))).alias("score"))
 
 
-def bootstrap(rows: DataFrame, rounds=ROUNDS):
-    """(trusted patterns, scored instances) after some rounds; each round is written."""
+def bootstrap(rows: DataFrame, texts: DataFrame):
+    """(trusted patterns, scored instances) once a round adds no pattern and no instance; each round is written.
+
+    Scores only rise from round to round, so what is trusted or accepted once stays so.
+    """
     edges = durable(edges_of(rows))
     seeds = durable(edges.groupBy("instance").agg(F.max("seed").alias("seed")))
-    totals = edges.agg(F.sum("n").alias("all"), F.sum(F.when(F.col("seed"), F.col("n"))).alias("known")).first()
-    share = (totals["known"] or 0) / (totals["all"] or 1)
-    scores = seeds.select("instance", F.col("seed").cast("double").alias("score"))
-    good = None
-    for _ in range(rounds):
-        good = durable(trusted(edges, scores, share))
+    places = occurrences(texts, edges)
+    scores, before = seeds.select("instance", F.col("seed").cast("double").alias("score")), None
+    for _ in range(MAX_ROUNDS):
+        good = durable(trusted(edges, scores, places))
         scores = durable(rescored(edges, good, seeds))
-    return good, scores
+        now = good.count(), scores.where(F.col("score") >= SCORE).count()
+        if now == before or now[0] == 0:
+            return good, scores
+        before = now
+    raise RuntimeError("scores did not settle")
 
 
-def scan(docs: DataFrame, text="text", keep=("doc_id",), rounds=ROUNDS) -> DataFrame:
+def scan(docs: DataFrame, text="text", keep=("doc_id",)) -> DataFrame:
     """The columns in ``keep`` with ``base`` and ``found``: spans of the fixed kinds, and those found by context.
 
     Spans are structs of start, number, end and kind, in code points, sorted by kind and start. Null and
-    empty texts have none. Texts are read once; what is written in between is spans and contexts.
+    empty texts have none. Texts are read twice, for spans and to count the words of contexts; what is
+    written in between is spans, contexts and counts. What a fixed span touches of a token is known, the
+    rest of the token and its neighbours stay open. Several tokens one space apart are also tried as one
+    identifier, which is found only where none of its tokens is. A side of a token where another one or a
+    fixed span stands has no context; an identifier without any context is not found.
     """
     kept = [c for c in keep if c.lower() not in ("base", "found", "candidates", "runs")]
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     columns = [f"`{c}`" for c in kept]
     rows = docs.select(*columns, base_spans(content).alias("base"), with_context(content).alias("runs"))
     row = free_name(rows, "row")
-    rows = rows.select(*columns, "base", candidates(F.col("runs"), F.col("base")).alias("candidates"))
+    rows = rows.select(*columns, candidates(F.col("runs"), F.col("base")).alias("candidates"), without_value(F.col("base")).alias("base"))
     rows = durable(rows.withColumn(row, F.monotonically_increasing_id()))
-    _, scores = bootstrap(rows, rounds)
+    _, scores = bootstrap(rows, docs.select(content.alias("content")))
     accepted = scores.where(F.col("score") >= SCORE).select("instance")
-    open_ones = rows.select(row, F.explode("candidates").alias("c")).where(~F.col("c.seed")).select(row, "c.start", "c.end", "c.instance")
-    spans = open_ones.join(accepted, "instance", "left_semi").select(
-        row, F.struct("start", F.lit(len(BASE)).alias("number"), "end", F.lit(CONTEXT).alias("kind")).alias("span")
+    opened = rows.select(F.col(row).alias("place"), F.explode("candidates").alias("c")).where(~F.col("c.seed")).select("place", "c.*")
+    spans = opened.join(accepted, "instance", "left_semi").select(
+        "place", "run", "joined", F.struct("start", F.lit(len(BASE)).alias("number"), "end", F.lit(CONTEXT).alias("kind")).alias("span")
     )
-    found = spans.groupBy(row).agg(F.collect_list("span").alias("found"))
+    single = F.collect_list(F.when(~F.col("joined"), F.col("span")))
+    runs = spans.groupBy("place", "run").agg(F.collect_list("span").alias("every"), single.alias("single"))
+    runs = runs.select("place", F.when(F.size("single") > 0, F.col("single")).otherwise(F.col("every")).alias("spans"))
+    found = runs.groupBy("place").agg(F.flatten(F.collect_list("spans")).alias("found")).withColumnRenamed("place", row)
     empty = F.array().cast("array<struct<start:int,number:int,end:int,kind:string>>")
     joined = rows.drop("candidates").join(found, row, "left")
     return joined.select(*columns, "base", kind_first(F.coalesce("found", empty)).alias("found"))
@@ -198,7 +310,7 @@ def summary(scanned: DataFrame, key="doc_id") -> DataFrame:
     )
 
 
-def documents_with(docs: DataFrame, text="text", rounds=ROUNDS) -> DataFrame:
+def documents_with(docs: DataFrame, text="text") -> DataFrame:
     """The documents with any span, with the columns they came with."""
-    found = scan(packed(docs, text), "text", ("row", "text"), rounds)
+    found = scan(packed(docs, text), "text", ("row", "text"))
     return unpacked(found.where((F.size("base") > 0) | (F.size("found") > 0)), docs.columns, text)

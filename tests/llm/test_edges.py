@@ -306,6 +306,31 @@ def test_contexts_find_unseen_identifiers(spark):
     assert [r.doc_id for r in pii.documents_with(some).collect()] == [1]
 
 
+def test_neighbours_of_known_identifiers_stay_open(spark):
+    """Tokens beside a fixed span, parts glued to one and long ones are found; a run is cut into its tokens."""
+    rows = [(k, f"issued badge: user{k}@mail{k}.com soon") for k in range(40)]
+    long = "Q7" * 40
+    odd = {
+        100: ("issued badge: EMP-20931 jo@x.org now", {(14, 23)}), 101: ("issued badge: EMP-20932 2024-01-02 now", {(14, 23)}),
+        102: (f"issued badge: {long} soon", {(14, 94)}), 103: ("issued badge: EMP-20933|jo@x.org now", {(14, 23)}),
+        104: ("of jo@x.org EMP-20934 soon", {(12, 21)}), 105: ("of EMP-20935 here", set()), 106: ("issued badge: 12 34 567 now", {(14, 23)}),
+    }
+    rows += [(k, text) for k, (text, _) in odd.items()]
+    found = {r.doc_id: {(s.start, s.end) for s in r.found} for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: found[k] for k in odd} == {k: spans for k, (_, spans) in odd.items()}
+    assert not any(found[k] for k in range(40))
+
+
+def test_contexts_pass_on_until_they_settle(spark):
+    """A chain of contexts, each known by the identifiers that the one before it found, is followed to its end."""
+    rows = [(k, f"mail: u{k}@x{k}.org done") for k in range(40)] + [(1000 + k, f"mail: ID-1{k:02d} done") for k in range(4)]
+    for step, name in enumerate("abcdef", 1):
+        rows += [(1000 + 100 * step + k, f"step{name}: ID-{step}{k % 4:02d} end{name}") for k in range(40)]
+        rows += [(2000 + 10 * step + k, f"step{name}: ID-{step + 1}{k:02d} end{name}") for k in range(4)]
+    found = {r.doc_id for r in pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect() if r.found}
+    assert found >= {k for k, text in rows if k >= 1000}
+
+
 def test_very_long_runs_are_no_burden(spark):
     text = "1" * 150_000 + " " + "a" * 150_000 + " " + "1 " * 50_000 + "a.1@" * 20_000 + "+1" * 30_000
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")

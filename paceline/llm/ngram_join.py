@@ -8,8 +8,11 @@ that only one node has end there, and the others are the lists that candidates c
 
 A list of many similar nodes would give a pair for every two of them. Therefore each node is
 first linked to the node that has the n-gram earliest in its order (the one with the fewest rare
-n-grams of its own), and only nodes of different groups are paired after that. Every pair that
+n-grams of its own), and only nodes of different groups are paired after that. The smaller set of
+such a pair must have the n-gram so early that a set at least as large can still match; it meets only
+sets of the sizes that its place allows, which are part of the join's key. Every pair that
 is left passes the length, positional and suffix filters and is verified once, on whole sets.
+Lists and nodes of very many pairs are cut into pieces, each with a copy of what it is compared with.
 """
 
 import numpy as np
@@ -36,6 +39,12 @@ SETS = "node long, n_shingles long, digest binary, signature array<tinyint>, par
 MAX_ROUNDS = 100
 SHORT_LIST = 16
 HOT_LIST = 100_000
+#: Rows of one n-gram, or pairs of one node, that go to a task together.
+PIECE = 500
+#: Size classes within which a set and the largest that it can be linked with lie.
+SIZE_STEPS = 2
+#: The grade of a bucket of usual load, and the steps that grades widen by.
+USUAL, WIDER = 64, 8
 
 
 class WordHashes(dict):
@@ -115,8 +124,21 @@ def sets_batch(nodes, sizes, digests, signatures, parts, counts):
     return pa.RecordBatch.from_arrays(columns, names=["node", "n_shingles", "digest", "signature", "part", "counts"])
 
 
-def rarity(described: DataFrame):
-    """A byte per bucket of the sketch, growing with the count; 4 MB whatever the corpus."""
+def grade_of(counts, usual):
+    """Grades of counts (0 to 255): the standard deviations above the usual load, ever wider apart.
+
+    What light n-grams add to a bucket varies by the root of their number, so an n-gram stands
+    out once it has a few times that many documents, however full the buckets are.
+    """
+    above = (np.asarray(counts, dtype=np.float64) - usual) / max(usual**0.5, 1.0)
+    return np.clip(USUAL + WIDER * np.arcsinh(above), 0, 255).astype(np.uint8)
+
+
+def rarity(described: DataFrame, hot=HOT_LIST):
+    """A byte per bucket of the sketch, growing with the count (4 MB whatever the corpus), and the grade of very common n-grams.
+
+    Those are in ``hot`` documents, and in far more than their bucket would hold by chance.
+    """
     parts = described.where(F.col("part").isNotNull()).select("part", "counts")
 
     def add(batches):
@@ -127,29 +149,26 @@ def rarity(described: DataFrame):
                 found = np.frombuffer(data, dtype=f"<u{len(data) * SKETCH_RANGES >> SKETCH_BITS}")
                 totals[part] = totals.get(part, np.zeros(len(found), dtype=np.uint64)) + found
         for part, total in totals.items():
-            grade = np.minimum(4 * np.log2(total + 1.0), 255).astype(np.uint8)
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([grade.tobytes()], pa.binary())], names=["part", "grades"])
+            usual = float(np.median(total))
+            columns = [pa.array([part], pa.int32()), pa.array([grade_of(total, usual).tobytes()], pa.binary()), pa.array([usual])]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "grades", "usual"])
 
-    rows = parts.repartition(SKETCH_RANGES, "part").mapInArrow(add, "part int, grades binary").collect()
+    rows = parts.repartition(SKETCH_RANGES, "part").mapInArrow(add, "part int, grades binary, usual double").collect()
     if not rows:
-        return np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
-    return np.concatenate([np.frombuffer(r["grades"], dtype=np.uint8) for r in sorted(rows, key=lambda r: r["part"])])
-
+        return np.zeros(1 << SKETCH_BITS, dtype=np.uint8), 255
+    usual = float(np.mean([r["usual"] for r in rows]))
+    grades = np.concatenate([np.frombuffer(r["grades"], dtype=np.uint8) for r in sorted(rows, key=lambda r: r["part"])])
+    return grades, int(grade_of(max(hot, 32 * usual), usual))
 
-def hot_grade(grades, hot=HOT_LIST):
-    """The grade from which on an n-gram counts as very common: ``hot`` documents, and far more than its bucket would hold by chance."""
-    mean = float(np.mean(2.0 ** (grades / 4.0))) if len(grades) else 0.0
-    return int(min(255, 4 * np.log2(max(hot, 32 * mean) + 1)))
 
-
-def prefixes(docs: DataFrame, grades, size=WORDS, percent=PERCENT, hot=HOT_LIST) -> DataFrame:
+def prefixes(docs: DataFrame, grades, lowest, size=WORDS, percent=PERCENT) -> DataFrame:
     """(n-gram, node, place) of every n-gram in a prefix that nodes which may be similar share.
 
     Entries travel packed by range of the n-gram; equal sets within a task travel once. An n-gram
-    that stands out as very common (``hot``) goes by its node instead, so its list is spread over
-    all tasks, and all of it stays.
+    that stands out as very common (a grade of ``lowest`` or more) goes by its node instead, so its
+    list is spread over all tasks, and all of it stays.
     """
-    shared, lowest = docs.sparkSession.sparkContext.broadcast(grades), hot_grade(grades, hot)
+    shared = docs.sparkSession.sparkContext.broadcast(grades)
     pieces = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     width = np.uint64(2**64 // pieces + 1)
 
@@ -208,12 +227,14 @@ def prefixes(docs: DataFrame, grades, size=WORDS, percent=PERCENT, hot=HOT_LIST)
 def with_partner(keys, places, sizes, percent=PERCENT):
     """Which entries (sorted by key) have another one in their list that length and place leave possible.
 
-    Lists of up to SHORT_LIST entries are gone through; in longer ones every entry stays.
+    Lists of up to SHORT_LIST entries are gone through; longer ones stay whole if any entry can be
+    the smaller one of a pair, and else have none.
     """
     starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, dtype=np.int64)
     lengths = np.diff(np.append(starts, len(keys)))
-    alive = np.repeat(lengths > SHORT_LIST, lengths)
     sizes, rest = sizes.astype(np.int64), (sizes - places).astype(np.int64)
+    smaller = (rest * (100 + percent) >= 2 * sizes * percent).astype(np.int64)
+    alive = np.repeat((lengths > SHORT_LIST) & (np.add.reduceat(smaller, starts) > 0), lengths) if len(keys) else smaller > 0
     for k in range(1, SHORT_LIST):
         near, far = slice(None, -k), slice(k, None)
         fits = keys[near] == keys[far]
@@ -246,18 +267,72 @@ def candidates(pairs: DataFrame, percent=PERCENT) -> DataFrame:
     )
 
 
-def side(lists: DataFrame, name) -> DataFrame:
-    return lists.select("ngram", *[F.col(c).alias(f"{c}_{name}") for c in ("node", "place", "n", "signature", "component") if c in lists.columns])
+def largest_partner(n, place, percent=PERCENT):
+    """The size of the largest set that can be linked with a set of ``n`` by an n-gram at this place (columns)."""
+    by_place = F.floor((n - place) * (100 + percent) / F.lit(percent)) - n
+    return F.least(by_place, F.floor(n * 100 / F.lit(percent)))
+
+
+def size_class(n, percent=PERCENT):
+    """A number that grows with the size, so that sizes which can be linked lie SIZE_STEPS apart at most (a column)."""
+    return F.floor(F.log(n.cast("double")) * (SIZE_STEPS / np.log(max(100 / percent, 1.01))))
+
+
+def pieces_of(count):
+    return F.ceil(count / F.lit(PIECE)).cast("int")
+
+
+def copies(pieces):
+    """The numbers of the pieces, to be exploded (a column)."""
+    return F.sequence(F.lit(0), pieces - 1)
+
+
+def placed_in_pieces(rows: DataFrame, counts: DataFrame, key, by) -> DataFrame:
+    """``rows`` with ``pieces`` and ``piece``: those of a key that has over PIECE of them are dealt by ``by``.
+
+    ``counts`` holds (key, rows). Only keys of many rows are looked up.
+    """
+    many = durable(counts.where(F.col("rows") > PIECE).select(key, pieces_of(F.col("rows")).alias("pieces")))
+    found = rows.join(checked_broadcast(many), key, "left").withColumn("pieces", F.coalesce("pieces", F.lit(1)))
+    return found.withColumn("piece", F.pmod(F.xxhash64(by), "pieces").cast("int"))
+
+
+def renamed(lists: DataFrame, name, *more) -> DataFrame:
+    return lists.select(*more, *[F.col(c).alias(f"{c}_{name}") for c in ("node", "place", "n", "signature", "component") if c in lists.columns])
+
+
+def open_pairs(lists: DataFrame, found: DataFrame, percent=PERCENT) -> DataFrame:
+    """Entries of one list that lie in different groups and whose sizes and places leave a link possible, the smaller set as a."""
+    grouped = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    most = largest_partner(F.col("n"), F.col("place"), percent)
+    grouped = grouped.withColumn("most", most).withColumn("small", F.col("most") >= F.col("n"))
+    mixed = grouped.groupBy("ngram").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.first("pieces").alias("pieces"),
+        F.sum(F.col("small").cast("long")).alias("smaller"),
+    )
+    mixed = mixed.where((F.col("low") < F.col("high")) & (F.col("smaller") > 0))
+    mixed = mixed.select("ngram", F.explode(copies(F.col("pieces"))).alias("piece"), pieces_of(F.col("smaller")).alias("blocks"))
+    still = durable(grouped.drop("pieces").join(mixed, ["ngram", "piece"]))
+
+    small = still.where("small").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    reach = F.explode(F.sequence(size_class(F.col("n"), percent), size_class(F.col("most"), percent))).alias("sizes")
+    left = renamed(small, "a", "ngram", "block", F.col("most").alias("most_a"), reach)
+    large = still.withColumn("block", F.explode(copies(F.col("blocks"))))
+    right = renamed(large, "b", "ngram", "block", F.col("most").alias("most_b"), size_class(F.col("n"), percent).alias("sizes"))
+    fits = (F.col("n_b") <= F.col("most_a")) & (F.col("n_a") <= F.col("most_b"))
+    fits &= (F.col("n_a") < F.col("n_b")) | ((F.col("n_a") == F.col("n_b")) & (F.col("node_a") < F.col("node_b")))
+    return left.join(right, ["ngram", "block", "sizes"]).where(fits & (F.col("component_a") != F.col("component_b")))
 
 
 def verify(pairs: DataFrame, docs: DataFrame, size=WORDS, percent=PERCENT) -> DataFrame:
     """The pairs with their whole sets compared: (a, b, linked).
 
-    Sets are made anew from the texts of the nodes concerned. A pair carries the set of b to
-    where the set of a comes first in order, so a set of many pairs is sent there once.
+    Sets are made anew from the texts of the nodes concerned. Of a pair, the node of more pairs is
+    its hub and the other one's set travels. A hub's set comes first in order, so it is sent once for
+    each of its pieces.
     """
-    needed = durable(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    texts = docs.join(checked_broadcast(needed), "node", "left_semi")
+    needed = durable(pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("rows")))
+    texts = docs.join(checked_broadcast(needed.select("node")), "node", "left_semi")
 
     def sets(batches):
         known = WordHashes()
@@ -266,28 +341,36 @@ def verify(pairs: DataFrame, docs: DataFrame, size=WORDS, percent=PERCENT) -> Da
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(found, pa.binary())], names=["node", "grams"])
 
     grams = durable(texts.select("node", "text").mapInArrow(sets, "node long, grams binary"))
-    of_b = pairs.join(grams.withColumnRenamed("node", "b"), "b").select("a", "b", "grams")
-    firsts = grams.join(pairs.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
-    rows = of_b.unionByName(firsts.select(F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "grams"))
+    busy = checked_broadcast(durable(needed.where(F.col("rows") > PIECE)))
+    for end in ("a", "b"):
+        pairs = pairs.join(busy.select(F.col("node").alias(end), F.col("rows").alias(f"of_{end}")), end, "left")
+    turned = F.coalesce("of_b", F.lit(0)) > F.coalesce("of_a", F.lit(0))
+    hubs = pairs.select(F.when(turned, F.col("b")).otherwise(F.col("a")).alias("hub"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("node"))
+    dealt = durable(placed_in_pieces(hubs, hubs.groupBy("hub").agg(F.count(F.lit(1)).alias("rows")), "hub", "node"))
+    travelling = dealt.join(grams, "node").select("hub", "piece", "node", "grams")
+    first = dealt.groupBy("hub").agg(F.first("pieces").alias("pieces")).join(grams.withColumnRenamed("node", "hub"), "hub")
+    first = first.select("hub", F.explode(copies(F.col("pieces"))).alias("piece"), F.lit(None).cast("long").alias("node"), "grams")
 
     def compare(batches):
-        node, own = None, None
+        place, own = None, None
         for batch in batches:
-            a, b, grams = (batch.column(c) for c in ("a", "b", "grams"))
+            hubs, pieces, nodes, grams = (batch.column(c) for c in ("hub", "piece", "node", "grams"))
             out = []
             for k in range(batch.num_rows):
-                values = np.frombuffer(grams[k].as_py(), dtype="<u8")
-                if not b[k].is_valid:
-                    node, own = a[k].as_py(), values
+                values, here = np.frombuffer(grams[k].as_py(), dtype="<u8"), (hubs[k].as_py(), pieces[k].as_py())
+                if not nodes[k].is_valid:
+                    place, own = here, values
                     continue
-                assert a[k].as_py() == node
+                assert here == place
+                hub, node = here[0], nodes[k].as_py()
                 shared = len(own) + len(values) - len(np.union1d(own, values))
-                out.append((node, b[k].as_py(), shared * 100 >= percent * (len(own) + len(values) - shared)))
+                out.append((min(hub, node), max(hub, node), shared * 100 >= percent * (len(own) + len(values) - shared)))
             columns = list(zip(*out)) if out else [[], [], []]
             types = (pa.int64(), pa.int64(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["a", "b", "linked"])
 
-    ordered = rows.repartition("a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
+    rows = travelling.unionByName(first).repartition("hub", "piece")
+    ordered = rows.sortWithinPartitions("hub", "piece", F.col("node").asc_nulls_first())
     return durable(ordered.mapInArrow(compare, "a long, b long, linked boolean"))
 
 
@@ -320,23 +403,22 @@ def joined(docs: DataFrame, size=WORDS, percent=PERCENT, hot=HOT_LIST) -> DataFr
     members = sets.select("node", "n_shingles", "digest").join(classes, ["n_shingles", "digest"], "left")
     members = durable(members.select("node", "n_shingles", F.coalesce("class", "node").alias("class"), "signature"))
 
-    entries = durable(prefixes(docs, rarity(described), size, percent, hot))
+    grades, lowest = rarity(described, hot)
+    entries = durable(prefixes(docs, grades, lowest, size, percent))
     known = members.select(F.col("node").alias("member"), F.col("class").alias("node"), F.col("n_shingles").alias("n"), "signature")
-    placed = entries.join(known, "member").groupBy("ngram", "node").agg(*[F.first(c).alias(c) for c in ("place", "n", "signature")])
-    heads = placed.groupBy("ngram").agg(F.min(F.struct("place", "node")).alias("head"), F.count(F.lit(1)).alias("nodes"))
-    heads = heads.where("nodes > 1").select("ngram", F.col("head.node").alias("head"))
-    lists = durable(placed.join(heads, "ngram"))
-
-    first = side(lists.where(F.col("node") == F.col("head")), "a")
-    rest = side(lists.where(F.col("node") != F.col("head")), "b")
-    tried = verify(durable(candidates(first.join(rest, "ngram"), percent)), docs, size, percent)
+    placed = durable(entries.join(known, "member").groupBy("ngram", "node").agg(*[F.first(c).alias(c) for c in ("place", "n", "signature")]))
+    heads = placed.groupBy("ngram").agg(F.min(F.struct("place", "node")).alias("head"), F.count(F.lit(1)).alias("rows"))
+    heads = durable(heads.where("rows > 1"))
+    every = heads.select("ngram", F.col("head.node").alias("head"), F.explode(copies(pieces_of(F.col("rows")))).alias("piece"))
+    lists = durable(placed_in_pieces(placed, heads, "ngram", "node").join(every, ["ngram", "piece"]))
+
+    first = lists.where(F.col("node") == F.col("head")).drop("piece").withColumn("piece", F.explode(copies(F.col("pieces"))))
+    rest = lists.where(F.col("node") != F.col("head"))
+    with_head = renamed(first, "a", "ngram", "piece").join(renamed(rest, "b", "ngram", "piece"), ["ngram", "piece"])
+    tried = verify(durable(candidates(with_head, percent)), docs, size, percent)
     found = components(tried.where("linked"))
 
-    grouped = lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = grouped.groupBy("ngram").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_lists = durable(grouped.join(mixed.where("low < high").select("ngram"), "ngram", "left_semi"))
-    left, right = side(open_lists, "a"), side(open_lists, "b")
-    pairs = left.join(right, "ngram").where(F.col("node_a") < F.col("node_b")).where(F.col("component_a") != F.col("component_b"))
+    pairs = open_pairs(lists, found, percent)
     fresh = durable(candidates(pairs, percent).join(tried.select("a", "b"), ["a", "b"], "left_anti"))
     late = verify(fresh, docs, size, percent)
     links = tried.where("linked").unionByName(late.where("linked")).select("a", "b")

@@ -43,11 +43,18 @@ def attach(fact: DataFrame, side: DataFrame, keys, values, suffix="_extra", null
     return left.join(right, on, "left").drop(*[f"_key_{k}" for k in keys], "_part", "_key_part")
 
 
-def with_circuit(fact: DataFrame, calendar: DataFrame, race=RACE, circuit="circuitId") -> DataFrame:
+def with_circuit(fact: DataFrame, calendar: DataFrame, race=RACE, circuit="circuitId", times=None) -> DataFrame:
     """The circuit from the calendar, unless the fact already names it.
 
-    Two suffixed circuit columns left by an earlier merge are folded into one.
+    Two suffixed circuit columns left by an earlier merge are folded into one. A calendar that repeats a race
+    multiplies its rows; with ``times`` equal rows of the calendar give one row, and how many they are in that column.
     """
+    if times:
+        rows = fact.drop(times)
+        if circuit in fact.columns or {f"{circuit}_x", f"{circuit}_y"} <= set(fact.columns):
+            return with_circuit(rows, calendar, race, circuit).withColumn(times, F.lit(1).cast("long"))
+        each = calendar.groupBy(*race, circuit).agg(F.count(F.lit(1)).alias(times))
+        return attach(rows, each, race, [circuit, times]).withColumn(times, F.coalesce(times, F.lit(1).cast("long")))
     left, right = f"{circuit}_x", f"{circuit}_y"
     if circuit not in fact.columns and left in fact.columns and right in fact.columns:
         return fact.withColumn(circuit, F.coalesce(left, right)).drop(left, right)

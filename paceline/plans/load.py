@@ -21,10 +21,12 @@ def read_stored(spark: SparkSession, folder, name, fmt="parquet") -> DataFrame |
     return read_table(spark, f"{folder}/{name}", TABLES[name], fmt)
 
 
-def load_facts(spark: SparkSession, folder, fmt="parquet") -> DataFrame | None:
+def load_facts(spark: SparkSession, folder, fmt="parquet", times=None) -> DataFrame | None:
     """Results with circuit and sprint columns, or None if no results are stored.
 
-    A circuit the results name themselves goes before the calendar's.
+    A circuit the results name themselves goes before the calendar's. A stored calendar may repeat a race;
+    then a result is there once for each of these rows, or, with ``times``, once for each circuit with
+    the number of rows in that column: the rows then do not grow with the square of a race's rows.
     """
     results = read_stored(spark, folder, "results", fmt)
     if results is None:
@@ -32,5 +34,7 @@ def load_facts(spark: SparkSession, folder, fmt="parquet") -> DataFrame | None:
     calendar = read_stored(spark, folder, "calendar", fmt)
     if calendar is not None:
         own = results.withColumnRenamed("circuitId", "_own")
-        results = with_circuit(own, calendar).withColumn("circuitId", F.coalesce("_own", "circuitId")).drop("_own")
+        results = with_circuit(own, calendar, times=times).withColumn("circuitId", F.coalesce("_own", "circuitId")).drop("_own")
+    elif times:
+        results = results.withColumn(times, F.lit(1).cast("long"))
     return with_sprint(results, read_stored(spark, folder, "sprint", fmt))

@@ -208,9 +208,10 @@ def timing_sink(spark, folder):
 
 def facts_stored(spark, folder):
     """The stored tables as one fact table; the results name no circuit, so the calendar's counts."""
-    rows = load_facts(spark, _stored(spark, folder))
+    rows, times = load_facts(spark, _stored(spark, folder), times="_times"), F.col("_times")
+    sprints = F.sum(F.when(F.col("sprint_pos").isNotNull(), times))
     return rows.groupBy("year", "round").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum("grid").alias("grid"), F.count("sprint_pos").alias("sprints"),
+        F.sum(times).alias("rows"), F.sum(F.col("grid") * times).alias("grid"), F.coalesce(sprints, F.lit(0)).alias("sprints"),
     )
 
 

@@ -96,7 +96,7 @@ def global_medians(df: DataFrame, columns, approx=False, rows=None) -> dict:
     """Column to its median over the whole table (None without values).
 
     Tables small enough for one task take one aggregate for all columns. Larger ones
-    are reduced to value counts, column by column.
+    are reduced to the value counts of all columns in one pass, which are written; all else works on these.
     """
     columns = list(columns)
     if not columns:
@@ -108,8 +108,15 @@ def global_medians(df: DataFrame, columns, approx=False, rows=None) -> dict:
     if rows <= max_group_rows(df.sparkSession):
         found = df.agg(*[F.median(c).alias(c) for c in columns]).first()
         return {c: found[c] for c in columns}
-    middles = {c: group_median(df, [], c, "_median").collect() for c in columns}
-    return {c: m[0]["_median"] if m else None for c, m in middles.items()}
+    middles = {}
+    for kind in dict.fromkeys(df.schema[c].dataType for c in columns):
+        same = [c for c in columns if df.schema[c].dataType == kind]
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("_column"), F.col(c).alias("_value")) for c in same]))
+        values = df.select(each.alias("_each")).select("_each.*").where(F.col("_value").isNotNull())
+        counts = durable(values.groupBy("_column", "_value").agg(F.count(F.lit(1)).alias("_n")))
+        found = _median_of_counts(counts, ["_column"], "_value", "_median").collect()
+        middles.update({r["_column"]: r["_median"] for r in found})
+    return {c: middles.get(c) for c in columns}
 
 
 def guarded_corr(x, y):

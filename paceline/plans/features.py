@@ -8,7 +8,7 @@ from paceline.operators.grouped import correlation_by, correlation_by_cutoff, fi
 from paceline.operators.history import Career, Recent, RunningSum, with_history
 from paceline.operators.joins import RACE, attach, sprint_features, with_circuit
 from paceline.operators.ranking import dense_scaled_rank
-from paceline.operators.skew import MARK, HotGroups, hot_groups, hot_groups_of_each, lookup_side
+from paceline.operators.skew import MARK, HotGroups, hot_groups, hot_groups_of_each, lookup_side, max_group_rows
 from paceline.session import durable, fresh_path
 from paceline.sources.tables import with_defaults
 
@@ -58,11 +58,15 @@ def attach_timing(df: DataFrame, extra: DataFrame):
 def timing(df: DataFrame, extra: DataFrame | None, cutoff=None, rows=None) -> DataFrame:
     """Race timing; gaps take the column's median, missing columns are zero.
 
-    ``rows`` is the number of starts, where the caller knows it.
+    ``rows`` is the number of starts, where the caller knows it. Many starts are written with
+    their timing, since the medians need them before the steps that follow do.
     """
     if extra is None:
         return df.withColumns({c: F.lit(0.0) for c in TIMING})
+    rows = df.count() if rows is None else rows
     df, known = attach_timing(df, extra)
+    if rows > max_group_rows(df.sparkSession):
+        df = durable(df)
     of = df.where(before(*RACE, cutoff)) if cutoff else None
     return with_defaults(fill_global_median(df, known, of=of, rows=rows), {c: 0.0 for c in TIMING})
 

@@ -54,3 +54,21 @@ def test_stored_facts_do_not_grow_with_the_square(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(edges, "load_facts", lambda *a, **b: made.append(load_facts(*a, **b)) or made[0])
     assert rows(edges.facts_stored(spark, home)) == [(1999, 1, 120_000, 400.0 * 299 * 150, 0)]
     assert made[0].count() == 300
+
+
+def test_medians_of_many_rows_in_one_pass(spark, small_groups):
+    df = spark.range(101).selectExpr("double(id * 7 % 101) as a", "if(id % 3 = 0, null, double(id)) as b", "double(null) as c", "id % 5 as d")
+    read, reads = _counted(spark, df)
+    assert global_medians(read, ["a", "b", "c"], rows=101) == {"a": 50.0, "b": 50.0, "c": None}
+    assert reads.value == 101
+    assert global_medians(df, ["a", "d"], rows=101) == {"a": 50.0, "d": 2.0}
+
+
+def test_timing_of_many_starts_is_joined_once(spark, small_groups):
+    starts = spark.range(60).selectExpr("1999 as year", "int(id % 6) as round", "concat('d', id) as DriverKey")
+    extra = starts.where("round % 2 = 0").selectExpr("*", "double(substr(DriverKey, 2)) as best_lap", "1.0D as mean_pit_loss")
+    extra, reads = _counted(spark, extra)
+    found = timing(starts, extra)
+    assert found.where("mean_pit_loss = 1.0 and avg_race_pace = 0.0").count() == 60
+    assert found.where("round = 1").select("best_lap").distinct().collect() == [(29.0,)]
+    assert reads.value == 30

@@ -19,6 +19,10 @@ from paceline.sources.tables import (
 )
 
 
+# Lines of a landed file.
+LANDED_LINES = 500_000
+
+
 def _order_lines(spark, folder):
     """Orders in the shape of lines."""
     orders, key = table(spark, folder, "orders"), F.col("o_orderkey")
@@ -119,9 +123,11 @@ def json_props(spark, folder):
 
 
 def landed_files(spark, folder):
-    """Responses written as files, one document per line, and read back with the fixed schema."""
+    """Responses written as packed files, one document per line, and read back with the fixed schema."""
     path = fresh_path(spark)
-    _responses(table(spark, folder, "lineitem"), "Results").drop("l_orderkey").write.json(path)
+    landing = _responses(table(spark, folder, "lineitem"), "Results").drop("l_orderkey").write
+    # a packed file is read by one task, so its lines are bounded
+    landing.option("maxRecordsPerFile", LANDED_LINES).json(path, compression="gzip")
     rows = landed.race_results(landed.read_responses(spark, path, one_per_line=True))
     return rows.groupBy("DriverKey").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("grid").alias("grid"), F.sum("position").alias("position")

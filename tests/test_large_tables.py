@@ -72,3 +72,18 @@ def test_timing_of_many_starts_is_joined_once(spark, small_groups):
     assert found.where("mean_pit_loss = 1.0 and avg_race_pace = 0.0").count() == 60
     assert found.where("round = 1").select("best_lap").distinct().collect() == [(29.0,)]
     assert reads.value == 30
+
+
+def test_landed_files_are_packed(spark, tmp_path, monkeypatch):
+    lines = spark.range(40).selectExpr(
+        "id as l_orderkey", "id % 3 as l_suppkey", "id as l_partkey", "int(1 + id % 7) as l_linenumber", "double(id % 50) as l_quantity",
+        "id % 10 / 100 as l_tax", "if(id % 2 = 0, 'R', 'A') as l_returnflag", "'O' as l_linestatus", "timestamp_ntz'1999-03-04' as l_shipdate",
+    )
+    lines.coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    path = f"{tmp_path}/landed"
+    monkeypatch.setattr(ingest, "fresh_path", lambda _: path)
+    monkeypatch.setattr(ingest, "LANDED_LINES", 15)
+    found = ingest.landed_files(spark, str(tmp_path))
+    assert found.agg(F.sum("rows"), F.sum("position")).first() == (40, sum(1.0 + k % 7 for k in range(40) if k % 2))
+    written = list(Path(path).glob("part-*"))
+    assert len(written) == 3 and all(f.name.endswith(".json.gz") for f in written)

@@ -16,13 +16,14 @@ def number_rows(df: DataFrame, keys, order, name, hot: HotGroups | None = None)
 def dense_scaled_rank(df: DataFrame, keys, value, name, fill=0.5, rank_name=None, hot=None) -> DataFrame:
     """Dense rank of ``value`` within ``keys`` divided by the group's largest rank.
 
-    Null values and rows with a null key are not ranked and get ``fill``. With a hot group the distinct
-    (group, value) pairs are ranked instead of the rows, and joined back; the rows are
-    needed twice for that, so they are written once.
+    Null values and rows with a null key are not ranked and get ``fill``. With a hot group, or more rows in
+    all than a group may have, the distinct (group, value) pairs are ranked instead of the rows, and joined back, so
+    no task holds a group of whole rows; the rows are needed twice for that, so they are written once.
     """
     keys = list(keys)
     hot = hot_groups(df, keys) if hot is None else hot
-    ranked = _ranked_pairs(durable(df), keys, value) if hot else _ranked_rows(df, keys, value, hot)
+    by_pairs = hot or hot.rows > hot.max_rows
+    ranked = _ranked_pairs(durable(df), keys, value) if by_pairs else _ranked_rows(df, keys, value, hot)
     scaled = F.coalesce(F.col("_rank").cast("double") / F.col("_top"), F.lit(float(fill)))
     out = ranked.withColumn(name, scaled)
     if rank_name:

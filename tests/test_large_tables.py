@@ -74,6 +74,19 @@ def test_timing_of_many_starts_is_joined_once(spark, small_groups):
     assert reads.value == 30
 
 
+def test_ranks_of_many_rows_by_pairs(spark, small_groups, monkeypatch):
+    df = spark.range(48).selectExpr("id", "if(id = 9, null, id % 4) as season", "if(id % 7 = 0, null, double(id % 5)) as pace", "repeat('x', 50) as wide")
+    spark.conf.set("spark.paceline.maxGroupRows", "100")
+    expected = rows(ranking.dense_scaled_rank(df, ["season"], "pace", "scaled", rank_name="dense"))
+    spark.conf.set("spark.paceline.maxGroupRows", "20")  # 48 rows, but no season has more than 12
+
+    def refuse(*_):
+        raise AssertionError("whole rows of a season in one task")
+
+    monkeypatch.setattr(ranking, "_ranked_rows", refuse)
+    assert rows(ranking.dense_scaled_rank(df, ["season"], "pace", "scaled", rank_name="dense")) == expected
+
+
 def test_landed_files_are_packed(spark, tmp_path, monkeypatch):
     lines = spark.range(40).selectExpr(
         "id as l_orderkey", "id % 3 as l_suppkey", "id as l_partkey", "int(1 + id % 7) as l_linenumber", "double(id % 50) as l_quantity",

@@ -22,6 +22,10 @@ RACE_FEATURES = [
     "career_pit_loss", "has_sprint", "sprint_delta",
 ]
 
+# What a task of a forest may hold of the rows, and what a row takes besides its numbers.
+TASK_BYTES = 128 << 20
+ROW_BYTES = 64
+
 # The forests. Spark bounds the depth at 30 and has no minimum split size;
 # a leaf minimum is its nearest setting.
 # Splits are binned: maxBins bounds how many values of a feature can be told apart.
@@ -65,10 +69,12 @@ def train(rows: DataFrame, settings: ForestSettings | None = None) -> TwoStage:
     race_features = [c for c in RACE_FEATURES if c in rows.columns]
     wanted = list(dict.fromkeys([*grid_features, *race_features]))
     rows = durable(rows.select(*dict.fromkeys([*wanted, "grid", "position"])))
-    gaps = rows.select(*[F.count_if(F.col(c).isNull()).alias(c) for c in wanted]).first()
+    gaps = rows.select(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in wanted]).first()
     medians = {c: m or 0.0 for c, m in global_medians(rows, [c for c in wanted if gaps[c]]).items()}
     grid_rows = rows.where(F.col("grid").isNotNull()).fillna(medians)
     race_rows = rows.where(F.col("position").isNotNull()).fillna(medians)
+    grid_rows = _spread(grid_rows, gaps["_rows"], grid_features, settings.grid)
+    race_rows = _spread(race_rows, gaps["_rows"], race_features, settings.race)
     return TwoStage(
         _forest(grid_features, "grid", "pred_grid", settings.grid).fit(_assemble(grid_rows, grid_features)),
         _forest(race_features, "position", "Course_Score", settings.race).fit(_assemble(race_rows, race_features)),
@@ -78,6 +84,17 @@ def train(rows: DataFrame, settings: ForestSettings | None = None) -> TwoStage:
     )
 
 
+def _spread(rows, count, features, settings):
+    """The rows in enough parts that a forest's copy of a part stays near TASK_BYTES.
+
+    The forest keeps for each row its bins and how often each tree draws it: four bytes for
+    a feature and a tree. Files are read by their size on disk, which says little about that.
+    """
+    each = 4 * (len(features) + settings["numTrees"]) + ROW_BYTES
+    parts = -(-count * each // TASK_BYTES)
+    return rows.repartition(parts) if parts > rows.rdd.getNumPartitions() else rows
+
+
 def _assemble(rows, features):
     return VectorAssembler(inputCols=features, outputCol="features").transform(rows)
 

@@ -100,3 +100,12 @@ def test_landed_files_are_packed(spark, tmp_path, monkeypatch):
     assert found.agg(F.sum("rows"), F.sum("position")).first() == (40, sum(1.0 + k % 7 for k in range(40) if k % 2))
     written = list(Path(path).glob("part-*"))
     assert len(written) == 3 and all(f.name.endswith(".json.gz") for f in written)
+
+
+def test_forest_rows_of_a_task_are_bounded(spark, monkeypatch):
+    df = spark.range(1000).selectExpr("double(id % 7) as form_grid", "double(id % 20) as grid", "double(id % 13) as position").coalesce(1)
+    settings = {"numTrees": 200}
+    assert models._spread(df, 1000, ["form_grid"], settings).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(models, "TASK_BYTES", 100_000)
+    spread = models._spread(df, 1000, ["form_grid"], settings)
+    assert spread.rdd.getNumPartitions() == 9 and rows(spread) == rows(df)  # 868 bytes a row

@@ -60,7 +60,9 @@ def with_circuit(fact: DataFrame, calendar: DataFrame, race=RACE, circuit="circu
         return fact.withColumn(circuit, F.coalesce(left, right)).drop(left, right)
     if circuit in fact.columns:
         return fact
-    return attach(fact, calendar, race, [circuit])
+    # a calendar is small beside the starts, but its plan says nothing of its size
+    side = calendar.select(*[c for c in (*race, circuit) if c in calendar.columns])
+    return attach(fact, lookup_side(side), race, [circuit])
 
 
 def with_sprint(fact: DataFrame, sprint: DataFrame | None, entity="DriverKey", race=RACE) -> DataFrame:

@@ -43,8 +43,8 @@ def _ranked_pairs(df, keys, value):
     pairs = df.where(all_present([*keys, value])).select(*keys, value).distinct()
     ranked = number_rows(pairs, keys, [value], "_rank")
     tops = ranked.groupBy(*keys).agg(F.max("_rank").alias("_top"))
-    ranked = ranked.join(lookup_side(tops), keys)
-    # a value that many rows share is a skewed key, which the adaptive join splits
+    # few pairs are broadcast; of many, a value that many rows share is a skewed key, which the adaptive join splits
+    ranked = lookup_side(ranked.join(lookup_side(tops), keys))
     return df.join(ranked, [*keys, value], "left").select(*df.columns, "_rank", "_top")
 
 

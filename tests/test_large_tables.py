@@ -4,12 +4,15 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from paceline.functions.scalars import number, text_number
 from paceline.operators import ranking
 from paceline.operators.grouped import global_medians
+from paceline.operators.joins import with_circuit
 from paceline.plans import models
 from paceline.plans.features import timing
 from paceline.plans.load import load_facts
 from paceline.queries import edges, ingest
+from paceline.sources.landed import race_results
 from paceline.sources.tables import write_whole
 from tests.helpers import rows
 
@@ -87,6 +90,43 @@ def test_ranks_of_many_rows_by_pairs(spark, small_groups, monkeypatch):
     assert rows(ranking.dense_scaled_rank(df, ["season"], "pace", "scaled", rank_name="dense")) == expected
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_calendar_and_few_pairs_are_not_shuffled(spark, small_groups):
+    # the threshold stands for starts and calendars whose size Spark cannot tell from their plans
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        starts = spark.range(60).selectExpr("int(1999 + id % 2) as year", "if(id = 9, null, int(id % 3)) as round", "id", "double(id % 5) as pace")
+        calendar = spark.range(4).selectExpr("int(1999 + id % 2) as year", "int(id / 2) as round", "concat('c', id) as circuitId")
+        calendar = calendar.union(calendar.where("circuitId = 'c2'"))
+        joined = with_circuit(starts, calendar)
+        assert "SortMergeJoin" not in _plan(joined) and joined.columns == [*starts.columns, "circuitId"]
+        assert joined.count() == 70 and joined.where("circuitId = 'c2'").count() == 20 and joined.where("circuitId is null").count() == 21
+        ranked = ranking.dense_scaled_rank(starts, ["year"], "pace", "scaled")
+        assert "SortMergeJoin" not in _plan(ranked)
+        assert sorted({(r["pace"], r["scaled"]) for r in ranked.collect()}) == [(float(k), (k + 1) / 5) for k in range(5)]
+        spark.conf.set("spark.paceline.maxLookupRows", "1")
+        assert rows(ranking.dense_scaled_rank(starts, ["year"], "pace", "scaled")) == rows(ranked)
+        assert rows(with_circuit(starts, calendar)) == rows(joined)
+    finally:
+        spark.conf.unset("spark.paceline.maxLookupRows")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_texts_that_are_no_numbers_are_not_tried(spark):
+    texts = ["1", " 3 ", "R", "", " ", None, "NaN", "nan", "inf", "-Infinity", "+INF", "1e3", "0x1p3", "1d", ".5", "5.", "\u0663", "e", "DNF", "1_0", "-", "+2"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id int, text string")
+    assert rows(df.select("id", text_number("text").alias("v"))) == rows(df.select("id", number("text").alias("v")))
+    responses = spark.sql("select named_struct('RaceTable', named_struct('Races', array(named_struct('season', '1999', 'round', '1', 'Results', array(named_struct("
+                          "'Driver', named_struct('givenName', 'a', 'familyName', 'b'), 'Constructor', named_struct('name', 'c'), 'position', 'R', 'grid', '4', "
+                          "'points', '0', 'status', 's', 'circuitId', 'x')))))) as MRData")
+    flat = race_results(responses)
+    assert rows(flat, "grid", "position") == [(4.0, None)]
+    assert flat._jdf.queryExecution().analyzed().toString().count("RLIKE(entry") >= 2
+
+
 def test_landed_files_are_packed(spark, tmp_path, monkeypatch):
     lines = spark.range(40).selectExpr(
         "id as l_orderkey", "id % 3 as l_suppkey", "id as l_partkey", "int(1 + id % 7) as l_linenumber", "double(id % 50) as l_quantity",

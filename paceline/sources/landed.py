@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paceline import schemas
-from paceline.functions.scalars import entity_key, full_name, number, or_empty
+from paceline.functions.scalars import entity_key, full_name, or_empty, text_number
 from paceline.operators.grouped import last_wins
 
 # Fixed value: the first season with sprint races.
@@ -56,8 +56,8 @@ def race_results(responses: DataFrame) -> DataFrame:
     return rows.select(
         *kept,
         *_identity(),
-        number("entry.grid").alias("grid"),
-        number("entry.position").alias("position"),
+        text_number("entry.grid").alias("grid"),
+        text_number("entry.position").alias("position"),
         F.col("entry.status").alias("status"),
         F.col("entry.points").alias("points"),
         F.col("entry.circuitId").alias("circuitId"),
@@ -68,7 +68,7 @@ def race_results(responses: DataFrame) -> DataFrame:
 def qualifying_results(responses: DataFrame) -> DataFrame:
     """The qualifying position is the starting grid."""
     rows, kept = _entries(responses, "QualifyingResults")
-    return rows.select(*kept, *_identity(), number("entry.position").alias("grid"), *_when())
+    return rows.select(*kept, *_identity(), text_number("entry.position").alias("grid"), *_when())
 
 
 def sprint_results(responses: DataFrame) -> DataFrame:
@@ -76,10 +76,10 @@ def sprint_results(responses: DataFrame) -> DataFrame:
     flat = rows.select(
         *kept,
         *_identity(),
-        number("entry.grid").alias("sprint_grid"),
-        number("entry.position").alias("sprint_pos"),
+        text_number("entry.grid").alias("sprint_grid"),
+        text_number("entry.position").alias("sprint_pos"),
         F.col("entry.status").alias("status"),
-        number("entry.points").alias("sprint_points"),
+        text_number("entry.points").alias("sprint_points"),
         *_when(),
     )
     return flat.where(F.col("year") >= FIRST_SPRINT_SEASON)

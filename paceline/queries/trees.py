@@ -4,8 +4,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from paceline.operators.catalog import participants
-from paceline.plans.features import enrich
-from paceline.plans.forecast import rank, scoring_defaults, season_entries, train_before
+from paceline.plans.features import ORDER, enrich
+from paceline.plans.forecast import LABELS, rank, scoring_defaults, season_entries, train_before
 from paceline.plans.models import GRID_FEATURES, RACE_FEATURES, ForestSettings, importances, score
 from paceline.operators.joins import with_sprint
 from paceline.queries.contexts import FEATURES, KEY, SQL as CONTEXT_SQL
@@ -18,20 +18,24 @@ DEPTH = 2
 TREE = ForestSettings.smaller(
     numTrees=1, maxDepth=DEPTH, minInstancesPerNode=LEAST, featureSubsetStrategy="all", bootstrap=False, maxBins=100_000
 )
+# What the trees and the places need of a start; anything else would be shuffled and written along with it.
+NEEDED = list(dict.fromkeys([*ORDER, "position", "status", *LABELS, *GRID_FEATURES, *RACE_FEATURES]))
 
 
 def _features(spark, folder):
     """Every feature of every start, rounded, so that equal values are equal everywhere."""
-    facts = durable(with_sprint(race_results(spark, folder), race_sprints(spark, folder)))
+    facts = with_sprint(race_results(spark, folder), race_sprints(spark, folder))
+    facts = durable(facts.drop("DriverName", "sprint_points"))
     rows = enrich(facts, race_calendar(spark, folder), race_timing(spark, folder))
-    return durable(rows.withColumns({c: F.round(c, 8) for c in FEATURES if c != "has_sprint"}))
+    rows = rows.withColumns({c: F.round(c, 8) for c in FEATURES if c != "has_sprint"})
+    return durable(rows.select(*[c for c in rows.columns if c in NEEDED]))
 
 
 def tree_two_stage(spark, folder):
     """Every entry of a season in both modes: trees over all features, trained on the finishers of earlier seasons."""
     rows = _features(spark, folder)
     models, encoders = train_before(rows, (2000, 1), TREE)
-    entries = encoders.apply(season_entries(rows, F.col("year") == 2000, scoring_defaults(rows)))
+    entries = encoders.apply(season_entries(rows.drop("position", "status"), F.col("year") == 2000, scoring_defaults(rows)))
     both = durable(entries).withColumn("mode", F.explode(F.array(F.lit("oracle"), F.lit("analyst"))))
     placed = rank(score(models, both, F.col("mode") == "analyst"), ["year", "round", "mode"])
     return placed.select("mode", *KEY, *[F.round(c, 6).alias(c) for c in ("Grid_Input", "Course_Score")], "Grid", "Pos", "Delta")

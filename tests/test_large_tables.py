@@ -2,6 +2,7 @@
 
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from paceline.functions.scalars import number, text_number
@@ -10,8 +11,9 @@ from paceline.operators.grouped import global_medians
 from paceline.operators.joins import with_circuit
 from paceline.plans import models
 from paceline.plans.features import timing
+from paceline.plans.forecast import Encoders
 from paceline.plans.load import load_facts
-from paceline.queries import edges, ingest
+from paceline.queries import edges, ingest, trees
 from paceline.sources.landed import race_results
 from paceline.sources.tables import write_whole
 from tests.helpers import rows
@@ -149,3 +151,32 @@ def test_forest_rows_of_a_task_are_bounded(spark, monkeypatch):
     monkeypatch.setattr(models, "TASK_BYTES", 100_000)
     spread = models._spread(df, 1000, ["form_grid"], settings)
     assert spread.rdd.getNumPartitions() == 9 and rows(spread) == rows(df)  # 868 bytes a row
+
+
+def test_tree_rows_hold_only_what_is_used(spark, tmp_path, monkeypatch):
+    orders = spark.range(240).selectExpr(
+        "id as o_orderkey", "id % 12 as o_custkey", "if(id % 5 = 0, 'P', 'O') as o_orderstatus", "double(1000 + id * 37 % 500) as o_totalprice",
+        "timestamp_ntz'1999-01-15' + make_interval(0, int(id / 12)) as o_orderdate", "if(id % 2 = 0, '1-URGENT', '3-MEDIUM') as o_orderpriority",
+    )
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    seen = {}
+
+    def spy(name, then):
+        def call(rows, *rest):
+            seen[name] = set(rows.columns)
+            return then(rows, *rest)
+
+        monkeypatch.setattr(trees, name, call)
+
+    def stop(*_):
+        raise StopIteration
+
+    spy("enrich", trees.enrich)
+    spy("train_before", lambda *_: (None, Encoders({})))
+    spy("season_entries", stop)
+    with pytest.raises(StopIteration):
+        trees.tree_two_stage(spark, str(tmp_path))
+    assert not seen["enrich"] & {"DriverName", "sprint_points"}
+    used = {"year", "round", "DriverKey", "Team", "circuitId", "status", "grid", "position", *models.GRID_FEATURES, *models.RACE_FEATURES}
+    assert seen["train_before"] == used - {"driver_id", "team_id", "circuit_id"}
+    assert seen["season_entries"] == seen["train_before"] - {"position", "status"}
